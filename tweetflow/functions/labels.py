@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tweetflow.functions.text import as_column
 
@@ -11,7 +12,10 @@ from tweetflow.functions.text import as_column
 NEG, NEU, POS = "NEG", "NEU", "POS"
 LABELS = (NEG, NEU, POS)
 
-SCORES_TYPE = "array<struct<label:string,score:double>>"
+#: The scores of all labels for one text.
+SCORES_TYPE = T.ArrayType(
+    T.StructType([T.StructField("label", T.StringType()), T.StructField("score", T.DoubleType())])
+)
 
 
 def apply_label_rule(df: DataFrame, scores: str, out: str) -> DataFrame:
@@ -50,6 +54,22 @@ def apply_label_rule(df: DataFrame, scores: str, out: str) -> DataFrame:
     )
 
 
+def label_from_votes(negative: Column, neutral: Column, positive: Column) -> Column:
+    """The same rule for votes listed in the order NEG, NEU, POS, written out:
+    no array is built or sorted. The score is the share of the votes."""
+    is_negative = (negative >= neutral) & (negative >= positive)
+    is_neutral = neutral >= positive
+    votes = negative + neutral + positive
+    return F.struct(
+        F.when(is_negative, NEG).when(is_neutral, NEU).otherwise(POS).alias("label"),
+        (F.greatest(negative, neutral, positive).cast("double") / votes).alias("score"),
+        F.when(is_negative, 0)
+        .when(is_neutral, (positive > negative).cast("int"))
+        .otherwise(1)
+        .alias("binary"),
+    )
+
+
 def sentiment_id(sentiment: Column | str) -> Column:
     """1 for a positive given sentiment, 0 for anything else, null included."""
     return F.when(F.lower(as_column(sentiment)) == "positive", 1).otherwise(0)

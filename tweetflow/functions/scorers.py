@@ -11,10 +11,10 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tweetflow.functions.labels import NEG, NEU, POS, SCORES_TYPE, apply_label_rule
+from tweetflow.functions.labels import SCORES_TYPE, apply_label_rule, label_from_votes
 from tweetflow.functions.text import as_column
 
 Scorer = Callable[[DataFrame, str, str], DataFrame]
@@ -33,44 +33,40 @@ class Lexicon:
         words = self.positive + self.negative
         if len(set(words)) != len(words):
             raise ValueError("a word may stand in a lexicon only once")
-        if not words or not all(w.isalpha() and w == w.lower() for w in words):
-            raise ValueError("lexicon words are non-empty, lower case and letters only")
+        if not self.positive or not self.negative:
+            raise ValueError("a lexicon needs positive and negative words")
+        if not all(w.isalpha() and w == w.lower() for w in words):
+            raise ValueError("lexicon words are lower case and letters only")
 
     @property
     def pattern(self) -> str:
-        """Any of the words, as a whole run of letters."""
-        words = "|".join(sorted(self.positive + self.negative))
-        return rf"(?<!\p{{L}})(?:{words})(?!\p{{L}})"
-
-
-def lexicon_scores(n_positive: Column, n_negative: Column) -> Column:
-    """Shares of positive, negative and one neutral vote, as a scores array."""
-    votes = n_positive + n_negative + 1
-
-    def entry(label: str, n: Column) -> Column:
-        return F.struct(F.lit(label).alias("label"), (n.cast("double") / votes).alias("score"))
-
-    # The array order is the order in which ties are resolved.
-    return F.array(entry(NEG, n_negative), entry(NEU, F.lit(1)), entry(POS, n_positive))
+        """Any word, as a whole run of letters; group 1 holds it if positive."""
+        positive, negative = "|".join(self.positive), "|".join(self.negative)
+        return rf"(?<!\p{{L}})(?:({positive})|{negative})(?!\p{{L}})"
 
 
 def lexicon_scorer(lexicon: Lexicon) -> Scorer:
-    """Count lexicon words with JVM expressions only; no Python worker."""
+    """Count lexicon words with JVM expressions only; no Python worker.
+
+    The words of a text are votes, and one more vote is neutral.
+    """
 
     def score(df: DataFrame, text: str, out: str) -> DataFrame:
-        words, n_pos, n_neg, scores = (f"__{name}_{out}" for name in ("words", "pos", "neg", "scores"))
-        # Only the hits are materialised, not every token of the text.
-        hits = F.regexp_extract_all(
-            F.lower(F.coalesce(as_column(text), F.lit(""))), F.lit(lexicon.pattern), F.lit(0)
+        hits, n_positive = f"__hits_{out}", f"__positive_{out}"
+        # One pass over the text; only hits are materialised, not every token.
+        # A hit on a negative word is an empty string.
+        found = F.regexp_extract_all(
+            F.lower(F.coalesce(as_column(text), F.lit(""))), F.lit(lexicon.pattern), F.lit(1)
+        )
+        # Steps of their own, so that neither the search nor the count is
+        # repeated for each use of its result.
+        counted = df.withColumn(hits, found).withColumn(
+            n_positive, F.size(F.array_remove(hits, ""))
         )
-        counted = (
-            df.withColumn(words, hits)
-            .withColumn(n_pos, F.size(F.filter(words, lambda w: w.isin(*lexicon.positive))))
-            .withColumn(n_neg, F.size(words) - F.col(n_pos))
-            .withColumn(scores, lexicon_scores(F.col(n_pos), F.col(n_neg)))
-            .drop(words, n_pos, n_neg)
+        votes = label_from_votes(
+            F.size(hits) - F.col(n_positive), F.lit(1), F.col(n_positive)
         )
-        return apply_label_rule(counted, scores, out)
+        return counted.withColumn(out, votes).drop(hits, n_positive)
 
     return score
 
@@ -130,3 +126,18 @@ def lexicon_model(lexicon: Lexicon) -> Callable[[], Model]:
         return lambda texts: [rate(text) for text in texts]
 
     return factory
+
+
+def transformers_model(name: str, batch_size: int = 32) -> Callable[[], Model]:
+    """A factory for ``model_scorer`` that loads a text-classification model of
+    the Hugging Face hub. The library has to be installed on the executors."""
+
+    def factory() -> Model:
+        try:
+            from transformers import pipeline
+        except ImportError as missing:
+            raise ImportError("transformers is not installed on this executor") from missing
+        # top_k=None: the scores of all labels, not of the best one only.
+        return pipeline("text-classification", model=name, top_k=None, batch_size=batch_size)
+
+    return factory

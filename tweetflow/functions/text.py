@@ -43,9 +43,12 @@ def has_text_beyond_mentions(text: Column | str) -> Column:
 
 
 def not_blank(text: Column | str) -> Column:
-    """Not null and something left after trimming spaces (and only spaces)."""
-    text = as_column(text)
-    return text.isNotNull() & (F.length(F.trim(text)) > 0)
+    """Not null and something left after trimming spaces (and only spaces).
+
+    One term on purpose: pushed below the projection that cleans the text, each
+    further term (a null check is one) would clean it once more.
+    """
+    return F.length(F.trim(F.coalesce(as_column(text), F.lit("")))) > 0
 
 
 def null_or_empty(value: Column | str) -> Column:
@@ -56,10 +59,10 @@ def null_or_empty(value: Column | str) -> Column:
 def tweet_timestamp(date: Column | str) -> Column:
     """Parse ``Mon Apr 06 22:19:45 PDT 2009``; null where that is impossible.
 
-    The zone token is dropped and the digits are read in the session zone. The
-    weekday is dropped as well: the default parser has no pattern for it.
+    The zone token is dropped and the digits are read in the session zone. A
+    weekday has to be there, but the default parser has no pattern for it, so
+    it is dropped as well and not checked against the date.
     """
-    without_zone = F.regexp_replace(as_column(date), ZONE_TOKEN, " ")
-    return F.try_to_timestamp(
-        F.regexp_replace(without_zone, WEEKDAY, ""), F.lit(DATE_FORMAT)
-    )
+    date = as_column(date)
+    digits = F.regexp_replace(F.regexp_replace(date, ZONE_TOKEN, " "), WEEKDAY, "")
+    return F.when(date.rlike(WEEKDAY), F.try_to_timestamp(digits, F.lit(DATE_FORMAT)))

@@ -9,10 +9,10 @@ one mention holds a large share of all rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tweetflow.functions.scorers import Lexicon
+from tweetflow.sources.files import spread_if_small
 
 # The lexicon of the driver queries. The texts are invented
 # words, so what recurs in them are function words and the event types.
@@ -26,111 +26,78 @@ DOCUMENTS_EPOCH = 1239056385
 CONVERSATIONS_EPOCH = 1254000000
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def _scan(spark: SparkSession, sf_dir: str, name: str, spread_by: str | None = None) -> DataFrame:
+    scan = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return scan if spread_by is None else spread_if_small(scan, spread_by)
 
 
-def _feed_date(ts: Column) -> Column:
-    return F.concat(
-        F.date_format(ts, "EEE MMM dd HH:mm:ss"), F.lit(" PDT "), F.date_format(ts, "yyyy")
-    )
-
-
-def _from_seconds(seconds: Column) -> Column:
-    return _feed_date(F.timestamp_seconds(seconds))
-
+def _feed_date(ts: str) -> str:
+    return f"concat(date_format({ts}, 'EEE MMM dd HH:mm:ss'), ' PDT ', date_format({ts}, 'yyyy'))"
 
-def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = _table(spark, sf_dir, "events")
-    event_id, user_id = F.col("event_id"), F.col("user_id").cast("string")
 
-    def every(n: int) -> Column:
-        return event_id % n == 0
-
-    words = F.repeat(
-        F.concat(F.lit(" "), F.col("event_type")),
-        (F.floor(F.col("value")) % 4).cast("int"),
-    )
-    body = F.concat(F.col("event_type"), words, F.lit(" "), F.col("props"))
-    text = (
-        F.when(every(97), F.lit(None))
-        .when(every(101), F.lit(""))
-        .when(every(11), F.concat(F.lit("@user"), user_id))
-        .when(every(5), body)
-        .otherwise(
-            F.concat(
-                F.lit("@user"),
-                user_id,
-                F.lit(" "),
-                body,
-                F.when(every(3), F.lit(" @support")).otherwise(F.lit("")),
-                F.when(every(13), F.lit(" @josé")).otherwise(F.lit("")),
-            )
-        )
-    )
-    sentiment = (
-        F.when(every(89), F.lit(None))
-        .when(F.col("event_type") == "purchase", "positive")
-        .when(F.col("event_type") == "signup", "Positive")
-        .when(F.col("event_type") == "error", "negative")
-        .otherwise("neutral")
+def event_messages(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    """Short messages: who, what, and now and then a second and third mention."""
+    body = (
+        "concat(event_type, repeat(concat(' ', event_type), int(floor(value) % 4)), ' ', props)"
     )
-    return e.select(
-        F.when(every(79), "not a date").otherwise(_feed_date(F.col("ts"))).alias("date"),
-        sentiment.alias("sentiment"),
-        text.alias("text"),
-        F.when(every(83), "").otherwise(F.concat(F.lit("user"), user_id)).alias("user"),
+    events = _scan(spark, sf_dir, "events", "event_id" if spread else None)
+    return events.selectExpr(
+        f"CASE WHEN event_id % 79 = 0 THEN 'not a date' ELSE {_feed_date('ts')} END AS date",
+        """CASE WHEN event_id % 89 = 0 THEN NULL
+                WHEN event_type = 'purchase' THEN 'positive'
+                WHEN event_type = 'signup' THEN 'Positive'
+                WHEN event_type = 'error' THEN 'negative'
+                ELSE 'neutral' END AS sentiment""",
+        f"""CASE WHEN event_id % 97 = 0 THEN NULL
+                 WHEN event_id % 101 = 0 THEN ''
+                 WHEN event_id % 11 = 0 THEN concat('@user', user_id)
+                 WHEN event_id % 5 = 0 THEN {body}
+                 ELSE concat('@user', user_id, ' ', {body},
+                             if(event_id % 3 = 0, ' @support', ''),
+                             if(event_id % 13 = 0, ' @josé', '')) END AS text""",
+        "if(event_id % 83 = 0, '', concat('user', user_id)) AS user",
     )
 
 
-def document_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = _table(spark, sf_dir, "documents")
-    doc_id, lang, source = F.col("doc_id"), F.col("lang"), F.col("source")
-    tail = F.when(
-        doc_id % 4 == 0, F.concat(F.lit(" @"), lang, F.lit(" @"), source)
-    ).otherwise(F.lit(""))
-    text = F.when(doc_id % 7 == 0, F.col("text")).otherwise(
-        F.concat(F.lit("@"), source, F.lit(" "), F.col("text"), tail)
-    )
-    sentiment = (
-        F.when(lang == "en", "positive").when(lang == "de", "negative").when(lang == "fr", "neutral")
-    )
-    return d.select(
-        _from_seconds(F.lit(DOCUMENTS_EPOCH) + doc_id * 61).alias("date"),
-        sentiment.alias("sentiment"),
-        text.alias("text"),
-        source.alias("user"),
+def document_messages(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    """Whole documents, most of them addressed to their source."""
+    documents = _scan(spark, sf_dir, "documents", "doc_id" if spread else None)
+    return documents.selectExpr(
+        f"{_feed_date(f'timestamp_seconds({DOCUMENTS_EPOCH} + doc_id * 61)')} AS date",
+        """CASE lang WHEN 'en' THEN 'positive' WHEN 'de' THEN 'negative' WHEN 'fr' THEN 'neutral' END
+           AS sentiment""",
+        """CASE WHEN doc_id % 7 = 0 THEN text
+                ELSE concat('@', source, ' ', text,
+                            if(doc_id % 4 = 0, concat(' @', lang, ' @', source), '')) END
+           AS text""",
+        "source AS user",
     )
 
 
 def conversation_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = _table(spark, sf_dir, "conversations")
-    conv_id, role = F.col("conv_id"), F.col("role")
-    addressed = (
-        F.when(role == "user", F.concat(F.lit("@assistant "), F.col("text")))
-        .when(
-            role == "assistant",
-            F.concat(F.lit("@user"), conv_id.cast("string"), F.lit(" "), F.col("text")),
-        )
-        .otherwise(F.col("text"))
-    )
-    sentiment = (
-        F.when(role == "user", "positive").when(role == "assistant", "negative").otherwise("neutral")
-    )
-    seconds = F.lit(CONVERSATIONS_EPOCH) + conv_id * 3600 + F.col("turn") * 30
-    return c.select(
-        _from_seconds(seconds).alias("date"),
-        sentiment.alias("sentiment"),
-        addressed.alias("text"),
-        F.concat(role, F.lit("_"), conv_id.cast("string")).alias("user"),
+    """Every turn, addressed to the other party."""
+    turns = _scan(spark, sf_dir, "conversations")
+    seconds = f"{CONVERSATIONS_EPOCH} + conv_id * 3600 + turn * 30"
+    return turns.selectExpr(
+        f"{_feed_date(f'timestamp_seconds({seconds})')} AS date",
+        """CASE role WHEN 'user' THEN 'positive' WHEN 'assistant' THEN 'negative' ELSE 'neutral' END
+           AS sentiment""",
+        """CASE role WHEN 'user' THEN concat('@assistant ', text)
+                     WHEN 'assistant' THEN concat('@user', conv_id, ' ', text)
+                     ELSE text END AS text""",
+        "concat(role, '_', conv_id) AS user",
     )
 
 
-def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All messages, with the columns of ``schemas.RAW``."""
+def messages(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    """All messages, with the columns of ``schemas.RAW``.
+
+    ``spread`` is for plans that spend their time on the texts: inputs too
+    small to occupy all cores are then spread over them first.
+    """
     return (
-        event_messages(spark, sf_dir)
-        .unionByName(document_messages(spark, sf_dir))
+        event_messages(spark, sf_dir, spread)
+        .unionByName(document_messages(spark, sf_dir, spread))
         .unionByName(conversation_messages(spark, sf_dir))
     )
 
@@ -138,37 +105,38 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def label_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class scores as a model may return them, one array per event: labels in
     changing order, equal scores, an unknown label, a single class."""
-    rest = F.col("event_id") % 6
-
-    def entry(label: str, score: Column) -> Column:
-        return F.struct(F.lit(label).alias("label"), score.alias("score"))
-
-    # Quarters are exact in binary, so equal scores are really equal.
-    pos = (F.floor(F.col("value")) % 5).cast("double") / 4
-    neg = (F.col("user_id") % 5).cast("double") / 4
-    neu = (F.col("event_id") % 5).cast("double") / 4
-    scores = (
-        F.when(rest == 0, F.array(entry("NEG", neg), entry("NEU", neu), entry("POS", pos)))
-        .when(rest == 1, F.array(entry("POS", pos), entry("NEU", neu), entry("NEG", neg)))
-        .when(rest == 2, F.array(entry("NEU", neu), entry("NEG", neg), entry("POS", pos)))
-        .when(rest == 3, F.array(entry("NEU", neu), entry("POS", pos), entry("NEG", neg)))
-        .when(rest == 4, F.array(entry("X", neu), entry("POS", pos), entry("NEG", neg)))
-        .otherwise(F.array(entry("NEU", neu)))
+
+    def entries(*labels: str) -> str:
+        # Quarters are exact in binary, so equal scores are really equal.
+        score = {
+            "POS": "double(floor(value) % 5) / 4",
+            "NEG": "double(user_id % 5) / 4",
+            "NEU": "double(event_id % 5) / 4",
+        }
+        score["X"] = score["NEU"]
+        structs = (f"named_struct('label', '{l}', 'score', {score[l]})" for l in labels)
+        return f"array({', '.join(structs)})"
+
+    events = _scan(spark, sf_dir, "events")
+    return events.selectExpr(
+        "event_id",
+        f"""CASE event_id % 6 WHEN 0 THEN {entries("NEG", "NEU", "POS")}
+                              WHEN 1 THEN {entries("POS", "NEU", "NEG")}
+                              WHEN 2 THEN {entries("NEU", "NEG", "POS")}
+                              WHEN 3 THEN {entries("NEU", "POS", "NEG")}
+                              WHEN 4 THEN {entries("X", "POS", "NEG")}
+                              ELSE {entries("NEU")} END AS scores""",
     )
-    return _table(spark, sf_dir, "events").select("event_id", scores.alias("scores"))
 
 
 def progress(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A progress table with one micro-batch per event."""
-    events = _table(spark, sf_dir, "events")
-    rows = F.col("event_id") % 50
-    return events.select(
-        F.col("event_type").alias("query"),
-        F.lit("r1").alias("run_id"),
-        F.col("event_id").alias("batch_id"),
+    """A progress table with one micro-batch per event; idle ones report no time."""
+    return _scan(spark, sf_dir, "events").selectExpr(
+        "event_type AS query",
+        "'r1' AS run_id",
+        "event_id AS batch_id",
         "ts",
-        rows.alias("input_rows"),
-        # An idle batch reports no time.
-        F.when(rows != 0, F.floor(F.col("value") * 10).cast("long")).alias("processing_time"),
-        F.lit(0).cast("long").alias("memory_used"),
+        "event_id % 50 AS input_rows",
+        "CASE WHEN event_id % 50 <> 0 THEN bigint(floor(value * 10)) END AS processing_time",
+        "0L AS memory_used",
     )

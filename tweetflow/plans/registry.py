@@ -65,7 +65,7 @@ def _rounded(name: str) -> Column:
 
 
 def _gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bronze_to_gold(feed.messages(spark, sf_dir), _SCORER)
+    return bronze_to_gold(feed.messages(spark, sf_dir, spread=True), _SCORER)
 
 
 @_query
@@ -75,13 +75,13 @@ def bronze_scan(spark, sf_dir):
 
 @_query
 def silver_mentions(spark, sf_dir):
-    return _plain(to_silver(feed.messages(spark, sf_dir)))
+    return _plain(to_silver(feed.messages(spark, sf_dir, spread=True)))
 
 
 @_query
 def gold_scored(spark, sf_dir):
     """Layer by layer: every silver row is scored."""
-    return _plain(to_gold(to_silver(feed.messages(spark, sf_dir)), _SCORER))
+    return _plain(to_gold(to_silver(feed.messages(spark, sf_dir, spread=True)), _SCORER))
 
 
 @_query
@@ -93,7 +93,7 @@ def gold_direct(spark, sf_dir):
 @_query
 def gold_pandas_udf(spark, sf_dir):
     scorer = model_scorer(lexicon_model(feed.LEXICON))
-    return _plain(bronze_to_gold(feed.messages(spark, sf_dir), scorer))
+    return _plain(bronze_to_gold(feed.messages(spark, sf_dir, spread=True), scorer))
 
 
 @_query
@@ -226,7 +226,7 @@ def _land(df: DataFrame, path: str) -> None:
 def _landing(spark: SparkSession, sf_dir: str) -> str:
     def make() -> str:
         path = _new_dir(spark, "landing")
-        _land(feed.messages(spark, sf_dir), path)
+        _land(feed.messages(spark, sf_dir, spread=True), path)
         return path
 
     return _once(spark, sf_dir, "landing", make)

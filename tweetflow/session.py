@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -61,11 +62,14 @@ def shared_dir(spark: SparkSession, label: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        master = spark.conf.get("spark.master", "")
-        if not master.startswith("local"):
+        if not spark.conf.get("spark.master", "").startswith("local"):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set: a cluster run needs a shared folder"
             )
-        root = tempfile.mkdtemp(prefix="tweetflow-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_root()
     return f"{root.rstrip('/')}/tweetflow/{label}-{uuid.uuid4().hex}"
+
+
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="tweetflow-")

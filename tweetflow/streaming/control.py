@@ -78,7 +78,7 @@ def _wait_for(condition: Callable[[], bool], timeout: float, poll: float) -> boo
 def progress_table(spark: SparkSession, records: Iterable[str]) -> DataFrame:
     """Progress records, as JSON, in the form of ``schemas.PROGRESS``.
 
-    A batch reported by several polls is one row: its last report.
+    A batch is one row, however often it was reported.
     """
     parsed = spark.createDataFrame([(r,) for r in records], "record string").select(
         F.from_json("record", PROGRESS_JSON).alias("p")
@@ -97,8 +97,8 @@ def progress_table(spark: SparkSession, records: Iterable[str]) -> DataFrame:
         F.col("p.durationMs.addBatch").alias("processing_time"),
         state.alias("memory_used"),
     )
-    # Idle reports repeat the id of the batch before them with zero rows, so
-    # of several reports the one with the most rows is the batch itself.
+    # An idle report has zero rows and the id of the batch to come, so of
+    # several reports with one id that with the most rows is the batch itself.
     report = F.struct("input_rows", "ts", "processing_time", "memory_used")
     return (
         rows.groupBy("query", "run_id", "batch_id")
@@ -154,7 +154,8 @@ def wait_until_idle(
     """Poll until every query has been idle for ``idle_rounds`` polls or has
     ended, then stop them. Returns all progress records seen, as JSON.
 
-    ``on_poll`` receives the records of each poll that were not seen before.
+    ``idle_rounds`` polls should span more than one trigger interval, or a query
+    may be taken for idle between two triggers. ``on_poll`` receives the records of each poll that were not seen before.
     """
     queries = [queries] if isinstance(queries, StreamingQuery) else list(queries)
     rules = [IdleRule(query) for query in queries]
