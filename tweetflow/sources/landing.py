@@ -13,6 +13,8 @@ from tweetflow.schemas import RAW
 #: than seven days older than the newest one.
 MAX_FILE_AGE = "36500d"
 
+SUFFIX = ".json"
+
 
 def read_stream(
     spark: SparkSession,
@@ -38,7 +40,7 @@ def read_stream(
 
 def read_batch(
     spark: SparkSession,
-    path: str | list[str],
+    path: str,
     schema: T.StructType = RAW,
     corrupt_column: str | None = None,
 ) -> DataFrame:
@@ -56,25 +58,25 @@ def read_inferred(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.json(path)
 
 
-def list_files(spark: SparkSession, path: str, suffix: str = ".json") -> DataFrame:
+def list_files(spark: SparkSession, path: str, suffix: str = SUFFIX) -> DataFrame:
     """``(path, modificationTime, length)`` of the files; contents are not read."""
-    return (
-        spark.read.format("binaryFile")
-        .load(path)
-        .select("path", "modificationTime", "length")
-        .filter(F.col("path").endswith(suffix))
-    )
+    listed = spark.read.format("binaryFile").load(path)
+    return listed.select(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_modification_time").alias("modificationTime"),
+        F.col("_metadata.file_size").alias("length"),
+    ).filter(F.col("path").endswith(suffix))
 
 
-def count_files(spark: SparkSession, path: str, suffix: str = ".json") -> DataFrame:
+def count_files(spark: SparkSession, path: str, suffix: str = SUFFIX) -> DataFrame:
     return list_files(spark, path, suffix).agg(F.count("*").alias("n_files"))
 
 
-def total_bytes(spark: SparkSession, path: str, suffix: str = ".json") -> int:
+def total_bytes(spark: SparkSession, path: str, suffix: str = SUFFIX) -> int:
     return list_files(spark, path, suffix).agg(F.sum("length")).first()[0] or 0
 
 
-def newest_files(spark: SparkSession, path: str, n: int, suffix: str = ".json") -> DataFrame:
+def newest_files(spark: SparkSession, path: str, n: int, suffix: str = SUFFIX) -> DataFrame:
     """The ``n`` files modified last; ties in order of the path."""
     return list_files(spark, path, suffix).orderBy(F.desc("modificationTime"), "path").limit(n)
 
@@ -88,14 +90,30 @@ def replay_newest(
 ) -> int:
     """Land the records of the newest files again, in new files under ``target``.
 
-    Only the ``num_files`` paths come to the driver, the records are copied by
-    a Spark job. Returns the number of files replayed: 0, and nothing done,
-    where the source does not exist or holds none.
+    Returns the number of files replayed: 0, and nothing done, where the source
+    does not exist or holds none. Only the place of the last file in the order
+    of ``newest_files`` comes to the driver; Spark skips the files beyond it
+    when it plans the copying scan.
     """
     try:
-        newest = [row.path for row in newest_files(spark, source, num_files).collect()]
+        newest = newest_files(spark, source, num_files)
     except AnalysisException:
         return 0
-    if newest:
-        read_batch(spark, newest, schema).write.mode("append").json(target)
-    return len(newest)
+    age = -F.unix_micros("modificationTime")
+    last = newest.agg(
+        F.count("*").alias("n_files"),
+        F.max(age).alias("age"),
+        F.max_by("path", F.struct(age, "path")).alias("path"),
+    ).first()
+    if last.n_files == 0:
+        return 0
+    path = F.col("_metadata.file_path")
+    age = -F.unix_micros("_metadata.file_modification_time")
+    among_newest = (age < last.age) | ((age == last.age) & (path <= last.path))
+    (
+        read_batch(spark, source, schema)
+        .filter(path.endswith(SUFFIX) & among_newest)
+        .write.mode("append")
+        .json(target)
+    )
+    return last.n_files
