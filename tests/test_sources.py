@@ -1,6 +1,7 @@
 """JSON landing files and layer tables."""
 
 import os
+import shutil
 
 import pytest
 from conftest import multiset
@@ -62,7 +63,9 @@ def test_listing(spark, new_dir):
     listed = landing.list_files(spark, path).collect()
     assert len(listed) == 3 and all(r.length > 0 for r in listed)
     assert landing.count_files(spark, path).first()[0] == 3
-    assert landing.total_bytes(spark, path) == sum(r.length for r in listed)
+    assert tuple(files.file_sizes(spark, path, ".json").first()) == (
+        3, sum(r.length for r in listed),
+    )
     names = sorted(r.path.removeprefix("file:") for r in listed)
     for age, name in enumerate(names):
         os.utime(name, (1_700_000_000 - age, 1_700_000_000 - age))
@@ -145,27 +148,51 @@ def test_missing_table_reads_as_empty(spark, layout):
     assert empty.schema == SILVER and empty.isEmpty()
 
 
+def sizes(spark, path):
+    return files.file_sizes(spark, path, ".parquet").first()
+
+
 def test_compaction_keeps_rows_and_reduces_files(spark, filled, new_dir):
     table, snapshot = filled.table("bronze"), f"{new_dir('compact')}/bronze"
     before = tables.read_layer(spark, filled, "bronze")
     assert tables.compact(spark, table, snapshot) == snapshot
-    after = spark.read.parquet(snapshot)
-    assert multiset(after) == multiset(before)
-    assert tables.file_sizes(before).first()["n_files"] == 12
-    assert tables.file_sizes(after).first()["n_files"] == 1
+    assert multiset(spark.read.parquet(snapshot)) == multiset(before)
+    assert sizes(spark, table).n_files == 12
+    assert sizes(spark, snapshot).n_files == 1
     assert tables.table_version(spark, table) == 2, "the live table is not touched"
 
 
 def test_compaction_splits_at_the_target(spark, filled, new_dir):
-    table = filled.table("silver")
-    n_bytes = tables.file_sizes(tables.read_layer(spark, filled, "silver")).first()["n_bytes"]
-    snapshot = f"{new_dir('compact')}/silver"
-    tables.compact(spark, table, snapshot, target_bytes=n_bytes // 3 + 1)
-    n_files = tables.file_sizes(spark.read.parquet(snapshot)).first()["n_files"]
-    assert 3 <= n_files <= 5
+    table, snapshot = filled.table("silver"), f"{new_dir('compact')}/silver"
+    target = sizes(spark, table).n_bytes // 3 + 1
+    tables.compact(spark, table, snapshot, target)
+    assert 3 <= sizes(spark, snapshot).n_files <= 5
     assert spark.conf.get("spark.sql.files.openCostInBytes") != "0"
 
 
+def test_only_committed_files_are_listed(spark, filled):
+    table = filled.table("silver")
+    before = sizes(spark, table)
+    spark.range(5).selectExpr("string(id) mention").write.mode("append").parquet(
+        f"{filled.base}/stray"
+    )
+    stray = spark.read.format("binaryFile").load(f"{filled.base}/stray").first().path
+    shutil.copy(stray.removeprefix("file:"), f"{table.removeprefix('file:')}/part-stray.parquet")
+    assert sizes(spark, table) == before
+    assert tables.read_layer(spark, filled, "silver").count() == 24
+
+
+def test_listing_tasks_do_not_grow_with_the_bytes(spark, new_dir):
+    path, cores = new_dir("many"), spark.sparkContext.defaultParallelism
+    raw_rows(spark, *[f"text {i}" for i in range(100)]).repartition(100).write.json(path)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "50")  # a task per file and more
+    try:
+        assert landing.read_batch(spark, path).rdd.getNumPartitions() >= 100
+        assert landing.list_files(spark, path).rdd.getNumPartitions() <= 2 * cores + 1
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_compaction_without_a_table(spark, layout, new_dir):
     assert tables.compact(spark, layout.table("gold"), new_dir("none")) is None
 

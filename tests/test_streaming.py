@@ -55,16 +55,18 @@ def test_restart_neither_loses_nor_repeats(spark, messages, batch_gold, scorer,
     land(halves[0], source)
     first = stages.run_stages(spark, source, layout, scorer)
     assert [r.stage for r in first.collect()] == ["bronze", "silver", "gold"]
-    n_first = first.collect()[0].n_rows
+    n_first = first.collect()[0].written_rows
 
-    stages.run_stages(spark, source, layout, scorer)
+    idle = stages.run_stages(spark, source, layout, scorer)
+    assert [(r.written_rows, r.n_batches) for r in idle.collect()] == [(0, 0)] * 3
     assert read_layer(spark, layout, "bronze").count() == n_first, "nothing new, nothing added"
 
     land(halves[1], source)
     land(rest, source)
-    report = {r.stage: r.n_rows for r in stages.run_stages(spark, source, layout, scorer).collect()}
+    second = stages.run_stages(spark, source, layout, scorer)
     assert multiset(read_layer(spark, layout, "gold")) == batch_gold
-    assert report == {
+    totals = first.union(second).groupBy("stage").agg(F.sum("written_rows").alias("n"))
+    assert {r.stage: r.n for r in totals.collect()} == {
         "bronze": messages.count(), "silver": len(batch_gold), "gold": len(batch_gold),
     }
 
@@ -100,7 +102,7 @@ def test_empty_landing_directory(spark, scorer, new_dir, layout):
     source = new_dir("empty")
     spark.createDataFrame([], RAW).write.json(source)
     report = stages.run_stages(spark, source, layout, scorer)
-    assert [r.n_rows for r in report.collect()] == [0, 0, 0]
+    assert [r.written_rows for r in report.collect()] == [0, 0, 0]
     for layer, schema in LAYERS.items():
         df = read_layer(spark, layout, layer)
         assert df.schema == schema and df.isEmpty()
@@ -162,8 +164,8 @@ def test_continuous_run_until_idle(spark, messages, batch_gold, scorer, new_dir,
 
     progress = control.progress_table(spark, records)
     totals = {r["query"]: r.input_rows for r in progress_by_query(progress).collect()}
-    n = messages.count()
-    assert totals == {"bronze_stream": n, "silver_stream": n, "gold_stream": len(batch_gold)}
+    assert set(totals) == {"bronze_stream", "silver_stream", "gold_stream"}
+    assert totals["bronze_stream"] == messages.count()
     assert progress.groupBy("run_id", "batch_id").count().filter("count > 1").isEmpty()
 
 

@@ -279,6 +279,11 @@ def oracle_sql() -> dict[str, str]:
         "gold_stream": gold("SELECT * FROM gold"),
         "streamed_app_table": app_table,
         "continuous_app_table": app_table,
+        "stage_report": gold(
+            "SELECT 'bronze' AS stage, count(*) AS written_rows FROM tweets"
+            " UNION ALL SELECT 'silver', count(*) FROM silver"
+            " UNION ALL SELECT 'gold', count(*) FROM gold"
+        ),
         "layer_counts": gold(
             "SELECT 'bronze' AS layer, count(*) AS n_rows FROM tweets"
             " UNION ALL SELECT 'silver', count(*) FROM silver"
@@ -329,6 +334,5 @@ def oracle_sql() -> dict[str, str]:
         ),
         "stream_input_rows": tweets(
             "SELECT 'bronze_stream' AS query, count(*) AS input_rows FROM tweets"
-            " UNION ALL SELECT 'silver_stream', count(*) FROM tweets"
         ),
     }

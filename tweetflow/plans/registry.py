@@ -234,7 +234,7 @@ def _landing(spark: SparkSession, sf_dir: str) -> str:
 
 def _third(spark: SparkSession, path: str, suffix: str = ".json") -> int:
     """A bound that splits the files under ``path`` into about three batches."""
-    return landing.total_bytes(spark, path, suffix) // 3 + 1
+    return files.file_sizes(spark, path, suffix).first()["n_bytes"] // 3 + 1
 
 
 def _run_bronze(spark: SparkSession, sf_dir: str) -> Layout:
@@ -318,6 +318,30 @@ def continuous_app_table(spark, sf_dir):
     return _plain(mentions.mention_app_table(read_layer(spark, layout, "gold")))
 
 
+@_query
+def stage_report(spark, sf_dir):
+    """What each of the three stages wrote in a bounded run."""
+    report = stages.run_stages(
+        spark, _landing(spark, sf_dir), Layout(_new_dir(spark, "report")), _SCORER
+    )
+    return report.select("stage", "written_rows")
+
+
+@_query
+def active_streams(spark, sf_dir):
+    """The stages that run while messages are being ingested."""
+    layout = Layout(_new_dir(spark, "active"))
+    query = stages.start_bronze(
+        spark, _landing(spark, sf_dir), layout, stages.EVERY_10_SECONDS
+    )
+    try:
+        control.wait_stream_start(spark, "bronze_stream", poll=0.1)
+        control.wait_for_rows(spark, layout.table("bronze"), timeout=600, poll=0.2)
+        return control.list_streams(spark)
+    finally:
+        query.stop()
+
+
 @_query
 def layer_counts(spark, sf_dir):
     layout = _tables(spark, sf_dir)
@@ -412,7 +436,7 @@ def table_version(spark, sf_dir):
     for layer in ("bronze", "silver", "gold"):
         version = tables.table_version(spark, layout.table(layer))
         rows.append(
-            tables.file_sizes(read_layer(spark, layout, layer)).select(
+            files.file_sizes(spark, layout.table(layer), ".parquet").select(
                 F.lit(layer).alias("layer"), F.lit(version).alias("version"), "n_files", "n_bytes"
             )
         )
@@ -463,24 +487,22 @@ def progress_elapsed(spark, sf_dir):
     return _plain(elapsed, "query", "batch_id", "elapsed_time", "input_rows", "processing_time")
 
 
-def _live_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
-    layout, source = Layout(_new_dir(spark, "live")), _landing(spark, sf_dir)
-    bronze = stages.start_bronze(spark, source, layout, max_bytes=_third(spark, source))
-    bronze.awaitTermination()
-    silver = stages.start_silver(spark, layout)
-    silver.awaitTermination()
-    return control.progress_of(spark, [bronze, silver])
-
-
 @_query
 def stream_progress(spark, sf_dir):
-    return _plain(progress.with_elapsed(_live_progress(spark, sf_dir)))
+    layout = _run_silver(spark, _run_bronze(spark, sf_dir))
+    gold = stages.start_gold(spark, layout, _SCORER)
+    gold.awaitTermination()
+    return _plain(progress.with_elapsed(control.progress_of(spark, [gold])))
 
 
 @_query
 def stream_input_rows(spark, sf_dir):
-    """Rows read per query according to its progress: every message once."""
-    return progress.progress_by_query(_live_progress(spark, sf_dir)).select("query", "input_rows")
+    """Rows read by the ingest according to its progress: every message once."""
+    layout, source = Layout(_new_dir(spark, "live")), _landing(spark, sf_dir)
+    bronze = stages.start_bronze(spark, source, layout, max_bytes=_third(spark, source))
+    bronze.awaitTermination()
+    by_query = progress.progress_by_query(control.progress_of(spark, [bronze]))
+    return by_query.select("query", "input_rows")
 
 
 @_query

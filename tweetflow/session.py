@@ -56,6 +56,20 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def with_scan_tasks(spark: SparkSession, max_bytes: int, min_tasks: int) -> SparkSession:
+    """A sibling session that packs files into scan tasks its own way.
+
+    Tasks read up to ``max_bytes``, less if there would be fewer than
+    ``min_tasks``. The packing is a setting of the session that plans the scan,
+    so the caller's session is left as it is.
+    """
+    sibling = configure(spark.newSession())
+    sibling.conf.set("spark.sql.files.maxPartitionBytes", str(max_bytes))
+    sibling.conf.set("spark.sql.files.openCostInBytes", "0")
+    sibling.conf.set("spark.sql.files.minPartitionNum", str(min_tasks))
+    return sibling
+
+
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A new, unused path under the folder that all executors can reach.
 

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tweetflow.session import with_scan_tasks
 
 #: What one scan task reads by default.
 FULL_SCAN_TASK = 128 << 20
@@ -51,3 +54,26 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(hadoop_path):
         return []
     return [status.getPath().getName() for status in fs.listStatus(hadoop_path)]
+
+
+def list_files(spark: SparkSession, path: str, suffix: str) -> DataFrame:
+    """``(path, modificationTime, length)`` of the files; contents are not read.
+
+    Of a table written by a stream only committed files are listed. Scan tasks
+    are sized by the bytes they would read; as nothing is read here, the files
+    are shared out over about one task per core instead.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    listed = with_scan_tasks(spark, 1 << 60, cores).read.format("binaryFile").load(path)
+    return listed.select(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_modification_time").alias("modificationTime"),
+        F.col("_metadata.file_size").alias("length"),
+    ).filter(F.col("path").endswith(suffix))
+
+
+def file_sizes(spark: SparkSession, path: str, suffix: str) -> DataFrame:
+    """``(n_files, n_bytes)`` of a directory, one row."""
+    return list_files(spark, path, suffix).agg(
+        F.count("*").alias("n_files"), F.coalesce(F.sum("length"), F.lit(0)).alias("n_bytes")
+    )

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from tweetflow.schemas import RAW
+from tweetflow.sources import files
 
 #: Files never grow too old to be read. Spark's own default skips files more
 #: than seven days older than the newest one.
@@ -58,27 +59,18 @@ def read_inferred(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.json(path)
 
 
-def list_files(spark: SparkSession, path: str, suffix: str = SUFFIX) -> DataFrame:
-    """``(path, modificationTime, length)`` of the files; contents are not read."""
-    listed = spark.read.format("binaryFile").load(path)
-    return listed.select(
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_modification_time").alias("modificationTime"),
-        F.col("_metadata.file_size").alias("length"),
-    ).filter(F.col("path").endswith(suffix))
+def list_files(spark: SparkSession, path: str) -> DataFrame:
+    """``(path, modificationTime, length)`` of the JSON files."""
+    return files.list_files(spark, path, SUFFIX)
 
 
-def count_files(spark: SparkSession, path: str, suffix: str = SUFFIX) -> DataFrame:
-    return list_files(spark, path, suffix).agg(F.count("*").alias("n_files"))
+def count_files(spark: SparkSession, path: str) -> DataFrame:
+    return files.file_sizes(spark, path, SUFFIX).select("n_files")
 
 
-def total_bytes(spark: SparkSession, path: str, suffix: str = SUFFIX) -> int:
-    return list_files(spark, path, suffix).agg(F.sum("length")).first()[0] or 0
-
-
-def newest_files(spark: SparkSession, path: str, n: int, suffix: str = SUFFIX) -> DataFrame:
+def newest_files(spark: SparkSession, path: str, n: int) -> DataFrame:
     """The ``n`` files modified last; ties in order of the path."""
-    return list_files(spark, path, suffix).orderBy(F.desc("modificationTime"), "path").limit(n)
+    return list_files(spark, path).orderBy(F.desc("modificationTime"), "path").limit(n)
 
 
 def replay_newest(

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tweetflow.schemas import LAYERS, RUNS
+from tweetflow.session import with_scan_tasks
 from tweetflow.sources import files
 
 TARGET_FILE_BYTES = 128 << 20
@@ -69,15 +70,6 @@ def table_version(spark: SparkSession, path: str) -> int | None:
     return max(batches, default=None)
 
 
-def file_sizes(table: DataFrame) -> DataFrame:
-    """``(n_files, n_bytes)`` behind a frame read from files; footers only."""
-    return (
-        table.select("_metadata.file_path", "_metadata.file_size")
-        .distinct()
-        .agg(F.count("*").alias("n_files"), F.sum("file_size").alias("n_bytes"))
-    )
-
-
 def compact(
     spark: SparkSession, path: str, snapshot: str, target_bytes: int = TARGET_FILE_BYTES
 ) -> str | None:
@@ -85,14 +77,11 @@ def compact(
     ``target_bytes``; None, and nothing done, where the table does not exist.
 
     Without a shuffle: scan tasks are packed to the target size and each writes
-    one file. The packing is a session setting, hence the session of its own.
+    one file.
     """
     if not files.exists(spark, path):
         return None
-    packing = spark.newSession()
-    packing.conf.set("spark.sql.files.maxPartitionBytes", str(target_bytes))
-    packing.conf.set("spark.sql.files.openCostInBytes", "0")
-    packing.conf.set("spark.sql.files.minPartitionNum", "1")
+    packing = with_scan_tasks(spark, target_bytes, 1)
     packing.read.parquet(path).write.mode("errorifexists").parquet(snapshot)
     return snapshot
 

@@ -6,14 +6,16 @@ import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tweetflow.functions.scorers import Scorer
 from tweetflow.operators.layers import to_bronze, to_gold, to_silver
 from tweetflow.schemas import LAYERS, RAW
+from tweetflow.session import configure
 from tweetflow.sources import landing
-from tweetflow.sources.tables import Layout, read_layer, table_version
+from tweetflow.sources.tables import Layout, table_version
 
 #: Read what is there now, in bounded micro-batches, then end.
 BOUNDED = {"availableNow": True}
@@ -21,6 +23,15 @@ BOUNDED = {"availableNow": True}
 EVERY_10_SECONDS = {"processingTime": "10 seconds"}
 
 
+#: Bound of a micro-batch, about one wave of scan tasks of a large cluster: what
+#: a failure costs is one batch, not the whole backlog.
+MAX_BATCH_BYTES = 512 << 30
+
+
+#: Name under which a query reports how many rows it wrote.
+WRITTEN = "written"
+
+
 class UpstreamNotReady(RuntimeError):
     """A stage was started before the table it reads had its first batch."""
 
@@ -31,12 +42,16 @@ def start_bronze(
     layout: Layout,
     trigger: dict = BOUNDED,
     schema: T.StructType = RAW,
-    max_bytes: int | None = None,
+    max_bytes: int = MAX_BATCH_BYTES,
     max_files: int | None = None,
 ) -> StreamingQuery:
     """Ingest new landing files. ``schema`` may have gained columns since the
-    last run; starting never drops what is there (see ``tables.reset``)."""
-    raw = landing.read_stream(spark, landing_dir, schema, max_bytes, max_files)
+    last run; starting never drops what is there (see ``tables.reset``).
+
+    A micro-batch is bounded by ``max_files`` if given, else by ``max_bytes``.
+    """
+    bound = {"max_bytes": max_bytes} if max_files is None else {"max_files": max_files}
+    raw = landing.read_stream(spark, landing_dir, schema, **bound)
     return _append(to_bronze(raw), layout, "bronze", trigger)
 
 
@@ -44,7 +59,7 @@ def start_silver(
     spark: SparkSession,
     layout: Layout,
     trigger: dict = BOUNDED,
-    max_bytes: int | None = None,
+    max_bytes: int = MAX_BATCH_BYTES,
 ) -> StreamingQuery:
     bronze = _read_upstream(spark, layout, "bronze", max_bytes)
     return _append(to_silver(bronze), layout, "silver", trigger)
@@ -55,28 +70,31 @@ def start_gold(
     layout: Layout,
     scorer: Scorer,
     trigger: dict = BOUNDED,
-    max_bytes: int | None = None,
+    max_bytes: int = MAX_BATCH_BYTES,
 ) -> StreamingQuery:
     silver = _read_upstream(spark, layout, "silver", max_bytes)
     return _append(to_gold(silver, scorer), layout, "gold", trigger)
 
 
 def _read_upstream(
-    spark: SparkSession, layout: Layout, layer: str, max_bytes: int | None
+    spark: SparkSession, layout: Layout, layer: str, max_bytes: int
 ) -> DataFrame:
     """A layer table as a stream; its sink log says which files are committed."""
     path = layout.table(layer)
     if table_version(spark, path) is None:
         raise UpstreamNotReady(f"no batch has been committed to {path} yet")
-    reader = spark.readStream.schema(LAYERS[layer]).option("maxFileAge", landing.MAX_FILE_AGE)
-    if max_bytes is not None:
-        reader = reader.option("maxBytesPerTrigger", str(max_bytes))
-    return reader.parquet(path)
+    return (
+        spark.readStream.schema(LAYERS[layer])
+        .option("maxFileAge", landing.MAX_FILE_AGE)
+        .option("maxBytesPerTrigger", str(max_bytes))
+        .parquet(path)
+    )
 
 
 def _append(df: DataFrame, layout: Layout, layer: str, trigger: dict) -> StreamingQuery:
+    counted = df.observe(WRITTEN, F.count(F.lit(1)).alias("n_rows"))
     return (
-        df.writeStream.format("parquet")
+        counted.writeStream.format("parquet")
         .outputMode("append")
         .option("checkpointLocation", layout.checkpoint(layer))
         .option("path", layout.table(layer))
@@ -91,13 +109,16 @@ def run_stages(
     landing_dir: str,
     layout: Layout,
     scorer: Scorer,
-    max_bytes: int | None = None,
+    max_bytes: int = MAX_BATCH_BYTES,
 ) -> DataFrame:
     """Bring all three tables up to date with the landing directory, then end.
 
     Call it again when files have arrived: it goes on from the checkpoints.
-    Returns ``(stage, n_rows, seconds)``: rows now in the table, time taken.
+    Returns ``(stage, written_rows, n_batches, seconds)`` of this run, from the
+    progress of the queries; no table is read for it. (The input rows of a
+    progress record would not do: a parquet scan leaves out those it can skip.)
     """
+    configure(spark)
     stages: dict[str, Callable[[], StreamingQuery]] = {
         "bronze": lambda: start_bronze(spark, landing_dir, layout, max_bytes=max_bytes),
         "silver": lambda: start_silver(spark, layout, max_bytes=max_bytes),
@@ -107,9 +128,17 @@ def run_stages(
     upstream_ready = True
     for layer, start in stages.items():
         started = time.perf_counter()
+        batches: list[int] = []
         if upstream_ready:
-            start().awaitTermination()
+            query = start()
+            query.awaitTermination()
+            batches = [
+                p.observedMetrics[WRITTEN].n_rows
+                for p in query.recentProgress
+                if WRITTEN in p.observedMetrics
+            ]
+        report.append((layer, sum(batches), len(batches), time.perf_counter() - started))
         upstream_ready = table_version(spark, layout.table(layer)) is not None
-        n_rows = read_layer(spark, layout, layer).count()
-        report.append((layer, n_rows, time.perf_counter() - started))
-    return spark.createDataFrame(report, "stage string, n_rows long, seconds double")
+    return spark.createDataFrame(
+        report, "stage string, written_rows long, n_batches long, seconds double"
+    )
