@@ -10,7 +10,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from tweetflow.functions.scorers import lexicon_scorer  # noqa: E402
 from tweetflow.plans.feed import LEXICON  # noqa: E402
 from tweetflow.session import build_session, shared_dir  # noqa: E402
-from tweetflow.sources.files import delete_on_exit  # noqa: E402
+from tweetflow.sources.files import make_scratch  # noqa: E402
 from tweetflow.sources.tables import Layout  # noqa: E402
 
 
@@ -33,8 +33,8 @@ def spark():
 
 @pytest.fixture
 def new_dir(spark):
-    """Makes unused paths that are removed with the session."""
-    return lambda label: delete_on_exit(spark, shared_dir(spark, label))
+    """Names unused paths in directories that are removed with the session."""
+    return lambda label: f"{make_scratch(spark, shared_dir(spark, label))}/{label}"
 
 
 @pytest.fixture

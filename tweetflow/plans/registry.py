@@ -215,7 +215,7 @@ def _once(spark: SparkSession, sf_dir: str, what: str, make: Callable[[], object
 
 
 def _new_dir(spark: SparkSession, label: str) -> str:
-    return files.delete_on_exit(spark, shared_dir(spark, label))
+    return files.make_scratch(spark, shared_dir(spark, label))
 
 
 def _land(df: DataFrame, path: str) -> None:
@@ -388,7 +388,7 @@ def corrupt_rows(spark, sf_dir):
     bad = spark.read.parquet(f"{sf_dir}/events.parquet").select(
         F.concat(F.lit('{"bad '), F.col("event_id").cast("string")).alias("value")
     )
-    good.union(bad).write.text(path)
+    good.union(bad).write.mode("append").text(path)
     return landing.read_batch(spark, path, corrupt_column=_CORRUPT)
 
 

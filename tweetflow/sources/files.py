@@ -28,10 +28,11 @@ def delete(spark: SparkSession, path: str) -> bool:
     return fs.delete(hadoop_path, True)
 
 
-def delete_on_exit(spark: SparkSession, path: str) -> str:
-    """Have the directory removed when the driver's JVM ends."""
+def make_scratch(spark: SparkSession, path: str) -> str:
+    """Make a directory that is removed when the driver's JVM ends."""
     hadoop_path, fs = _path_and_fs(spark, path)
-    fs.deleteOnExit(hadoop_path)
+    fs.mkdirs(hadoop_path)
+    fs.deleteOnExit(hadoop_path)  # does nothing for a path that does not exist
     return path
 
 
