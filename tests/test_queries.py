@@ -14,9 +14,8 @@ ROWS_ONLY = {
     "landing_file_count": 1,
     "landing_files": None,
     "newest_files": None,
-    "scoring_by_batch_size": 6,
+    "scoring_throughput": 6,
     "stream_progress": None,
-    "table_version": 3,
 }
 
 

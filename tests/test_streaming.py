@@ -131,6 +131,10 @@ def test_bronze_table_gains_a_column(spark, messages, scorer, new_dir, layout):
     }
     assert "lang" not in read_layer(spark, layout, "bronze").columns
 
+    snapshot = tables.compact(spark, layout.table("bronze"), new_dir("compact"))
+    compacted = spark.read.parquet(snapshot)
+    assert multiset(compacted.select(*merged.columns)) == multiset(merged)
+
 
 def test_provenance_names_the_landing_file(spark, messages, new_dir, layout):
     source = new_dir("landing")

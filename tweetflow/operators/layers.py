@@ -32,24 +32,37 @@ def to_bronze(raw: DataFrame) -> DataFrame:
     return enforce(stamped, BRONZE)
 
 
-def to_silver(bronze: DataFrame) -> DataFrame:
-    """One row per mention; messages without mention or other text vanish."""
-    # The cleaned text is computed once per message, below the explode. The
-    # mention array stays inside the explode: as a column of its own Spark
-    # would derive a filter from it and extract the mentions twice.
+def _addressed(bronze: DataFrame) -> DataFrame:
+    """Messages with a mention and other text, cleaned once each.
+
+    Both tests stop at the first match, so a message that is dropped costs
+    neither a date nor a cleaned copy.
+    """
     return (
         enforce(bronze, RAW)
-        .filter(has_text_beyond_mentions("text"))
+        .filter(has_text_beyond_mentions("text") & has_mention("text"))
         .select(
             tweet_timestamp("date").alias("timestamp"),
             "text",
             without_mentions("text").alias("cleaned_text"),
             "sentiment",
         )
-        .select("timestamp", F.explode(mentions("text")).alias("mention"), "cleaned_text", "sentiment")
     )
 
 
+def _per_mention(messages: DataFrame, *columns: str) -> DataFrame:
+    """Repeat every message for its mentions, in order, duplicates kept."""
+    # The array stays inside the explode: from a column of its own Spark would
+    # derive a filter and extract the mentions twice.
+    mention = F.explode(mentions("text")).alias("mention")
+    return messages.select("timestamp", mention, "cleaned_text", "sentiment", *columns)
+
+
+def to_silver(bronze: DataFrame) -> DataFrame:
+    """One row per mention; messages without mention or other text vanish."""
+    return _per_mention(_addressed(bronze))
+
+
 def to_gold(silver: DataFrame, scorer: Scorer) -> DataFrame:
     """Score every silver row and flag its given sentiment."""
     return _with_prediction(silver.filter(not_blank("cleaned_text")), scorer).select(
@@ -60,24 +73,8 @@ def to_gold(silver: DataFrame, scorer: Scorer) -> DataFrame:
 def bronze_to_gold(bronze: DataFrame, scorer: Scorer) -> DataFrame:
     """Same rows as ``to_gold(to_silver(bronze))`` for runs that need no silver
     table. A message is scored once, before it is repeated for its mentions."""
-    messages = (
-        enforce(bronze, RAW)
-        .filter(has_text_beyond_mentions("text") & has_mention("text"))
-        .select(
-            tweet_timestamp("date").alias("timestamp"),
-            "text",
-            without_mentions("text").alias("cleaned_text"),
-            "sentiment",
-        )
-    )
-    columns = [c for c in GOLD.fieldNames() if c not in SILVER.fieldNames()]
-    return _with_prediction(messages, scorer).select(
-        "timestamp",
-        F.explode(mentions("text")).alias("mention"),
-        "cleaned_text",
-        "sentiment",
-        *columns,
-    )
+    predictions = [c for c in GOLD.fieldNames() if c not in SILVER.fieldNames()]
+    return _per_mention(_with_prediction(_addressed(bronze), scorer), *predictions)
 
 
 def _with_prediction(df: DataFrame, scorer: Scorer) -> DataFrame:

@@ -303,6 +303,11 @@ def oracle_sql() -> dict[str, str]:
         ),
         "replay_feed": tweets(raw),
         "compact_table": _with(_TWEETS, _SILVER, select=silver),
+        "table_version": gold(
+            "SELECT 'bronze' AS layer, 2 AS version, count(*) AS n_rows FROM tweets"
+            " UNION ALL SELECT 'silver', 2, count(*) FROM silver"
+            " UNION ALL SELECT 'gold', 2, count(*) FROM gold"
+        ),
         "run_log": evaluated(
             " UNION ALL ".join(
                 f"SELECT 'lexicon' AS run_name, '{m}' AS metric,"

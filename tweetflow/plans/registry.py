@@ -15,9 +15,8 @@ from pyspark.sql import functions as F
 
 from tweetflow.functions.labels import apply_label_rule
 from tweetflow.functions.scorers import lexicon_model, lexicon_scorer, model_scorer
-from tweetflow.operators import evaluation, mentions, progress, quality
+from tweetflow.operators import evaluation, mentions, progress, quality, throughput
 from tweetflow.operators.layers import bronze_to_gold, to_gold, to_silver
-from tweetflow.operators.throughput import scoring_throughput
 from tweetflow.plans import feed
 from tweetflow.schemas import GOLD, RAW, SILVER, T, enforce
 from tweetflow.session import configure, shared_dir
@@ -430,17 +429,21 @@ def compact_table(spark, sf_dir):
 
 @_query
 def table_version(spark, sf_dir):
-    """Version and file count of every table: one version per batch."""
-    layout = _tables(spark, sf_dir)
-    rows = []
-    for layer in ("bronze", "silver", "gold"):
-        version = tables.table_version(spark, layout.table(layer))
-        rows.append(
-            files.file_sizes(spark, layout.table(layer), ".parquet").select(
-                F.lit(layer).alias("layer"), F.lit(version).alias("version"), "n_files", "n_bytes"
-            )
-        )
-    return rows[0].union(rows[1]).union(rows[2])
+    """Three arrivals, each brought through all stages in one batch per table."""
+    source, layout = _new_dir(spark, "arrivals"), Layout(_new_dir(spark, "versions"))
+    for part in (feed.event_messages, feed.document_messages, feed.conversation_messages):
+        _land(part(spark, sf_dir), source)
+        stages.run_stages(spark, source, layout, _SCORER, max_bytes=1 << 60)
+    layers = ("bronze", "silver", "gold")
+    counts = quality.layer_counts({layer: read_layer(spark, layout, layer) for layer in layers})
+    versions = F.create_map(
+        *[
+            F.lit(part)
+            for layer in layers
+            for part in (layer, tables.table_version(spark, layout.table(layer)))
+        ]
+    )
+    return counts.select("layer", versions[F.col("layer")].alias("version"), "n_rows")
 
 
 @_query
@@ -506,6 +509,6 @@ def stream_input_rows(spark, sf_dir):
 
 
 @_query
-def scoring_by_batch_size(spark, sf_dir):
+def scoring_throughput(spark, sf_dir):
     silver = read_layer(spark, _tables(spark, sf_dir), "silver")
-    return scoring_throughput(silver, lexicon_model(feed.LEXICON))
+    return throughput.scoring_throughput(silver, lexicon_model(feed.LEXICON))

@@ -77,12 +77,12 @@ def compact(
     ``target_bytes``; None, and nothing done, where the table does not exist.
 
     Without a shuffle: scan tasks are packed to the target size and each writes
-    one file.
+    one file. Schemas are merged, so columns gained on the way are kept.
     """
     if not files.exists(spark, path):
         return None
-    packing = with_scan_tasks(spark, target_bytes, 1)
-    packing.read.parquet(path).write.mode("errorifexists").parquet(snapshot)
+    table = with_scan_tasks(spark, target_bytes, 1).read.option("mergeSchema", "true").parquet(path)
+    table.write.mode("errorifexists").parquet(snapshot)
     return snapshot
 
 
