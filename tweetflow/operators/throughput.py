@@ -6,6 +6,7 @@ import time
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tweetflow.functions.scorers import Model, model_scorer
 
@@ -21,7 +22,7 @@ def scoring_throughput(
     """Score all of ``df`` once per batch size and report rows per second.
 
     Nothing is written or collected: results go to the ``noop`` sink, only the
-    timings come back. An untimed run on one row starts the Python workers.
+    timings come back. An untimed run on an empty text starts the Python workers.
     """
 
     def run(texts: DataFrame, batch_size: int) -> float:
@@ -32,7 +33,7 @@ def scoring_throughput(
 
     texts = df.select(text)
     n_rows = texts.count()
-    run(texts.limit(1), 1)
+    run(df.sparkSession.range(1).select(F.lit("").alias(text)), 1)
     measured = []
     for batch_size in batch_sizes:
         seconds = run(texts, batch_size)

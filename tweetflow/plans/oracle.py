@@ -277,6 +277,7 @@ def oracle_sql() -> dict[str, str]:
         "bronze_stream": tweets(raw),
         "silver_stream": _with(_TWEETS, _SILVER, select=silver),
         "gold_stream": gold("SELECT * FROM gold"),
+        "gold_stream_pandas_udf": gold("SELECT * FROM gold"),
         "streamed_app_table": app_table,
         "continuous_app_table": app_table,
         "stage_report": gold(

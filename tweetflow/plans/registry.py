@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tweetflow.functions.labels import apply_label_rule
-from tweetflow.functions.scorers import lexicon_model, lexicon_scorer, model_scorer
+from tweetflow.functions.scorers import Scorer, lexicon_model, lexicon_scorer, model_scorer
 from tweetflow.operators import evaluation, mentions, progress, quality, throughput
 from tweetflow.operators.layers import bronze_to_gold, to_gold, to_silver
 from tweetflow.plans import feed
@@ -201,7 +201,7 @@ def eval_weighted(spark, sf_dir):
 
 # --- landing files and tables -------------------------------------------------
 
-#: Landing directories and layer tables that are read by several queries, made
+#: Landing directories and layer tables that several queries read, made
 #: once per application and input: {(application, input, what): Layout or path}.
 _MADE: dict[tuple[str, str, str], object] = {}
 
@@ -231,33 +231,19 @@ def _landing(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, "landing", make)
 
 
-def _third(spark: SparkSession, path: str, suffix: str = ".json") -> int:
+def _third(spark: SparkSession, path: str, suffix: str) -> int:
     """A bound that splits the files under ``path`` into about three batches."""
     return files.file_sizes(spark, path, suffix).first()["n_bytes"] // 3 + 1
 
 
-def _run_bronze(spark: SparkSession, sf_dir: str) -> Layout:
-    layout = Layout(_new_dir(spark, "bronze"))
-    source = _landing(spark, sf_dir)
-    stages.start_bronze(
-        spark, source, layout, max_bytes=_third(spark, source)
-    ).awaitTermination()
-    return layout
-
-
-def _run_silver(spark: SparkSession, layout: Layout) -> Layout:
-    bound = _third(spark, layout.table("bronze"), ".parquet")
-    stages.start_silver(spark, layout, max_bytes=bound).awaitTermination()
-    return layout
-
-
 def _tables(spark: SparkSession, sf_dir: str) -> Layout:
     """All three tables, as left by one bounded run."""
 
     def make() -> Layout:
         layout = Layout(_new_dir(spark, "tables"))
         source = _landing(spark, sf_dir)
-        stages.run_stages(spark, source, layout, _SCORER, max_bytes=_third(spark, source))
+        bound = _third(spark, source, ".json")
+        stages.run_stages(spark, source, layout, _SCORER, max_bytes=bound)
         return layout
 
     return _once(spark, sf_dir, "tables", make)
@@ -268,21 +254,38 @@ def _tables(spark: SparkSession, sf_dir: str) -> Layout:
 
 @_query
 def bronze_stream(spark, sf_dir):
-    layout = _run_bronze(spark, sf_dir)
+    source, layout = _landing(spark, sf_dir), Layout(_new_dir(spark, "bronze"))
+    bound = _third(spark, source, ".json")
+    stages.start_bronze(spark, source, layout, max_bytes=bound).awaitTermination()
     return read_layer(spark, layout, "bronze").select(*RAW.fieldNames())
 
 
 @_query
 def silver_stream(spark, sf_dir):
-    layout = _run_silver(spark, _run_bronze(spark, sf_dir))
+    upstream, layout = _tables(spark, sf_dir), Layout(_new_dir(spark, "silver"))
+    bound = _third(spark, upstream.table("bronze"), ".parquet")
+    stages.start_silver(spark, layout, max_bytes=bound, upstream=upstream).awaitTermination()
     return _plain(read_layer(spark, layout, "silver"), *SILVER.fieldNames())
 
 
+def _run_gold(spark: SparkSession, sf_dir: str, scorer: Scorer):
+    """A gold run beside the shared tables: its query and where it wrote."""
+    upstream, layout = _tables(spark, sf_dir), Layout(_new_dir(spark, "gold"))
+    bound = _third(spark, upstream.table("silver"), ".parquet")
+    query = stages.start_gold(spark, layout, scorer, max_bytes=bound, upstream=upstream)
+    query.awaitTermination()
+    return query, layout
+
+
 @_query
 def gold_stream(spark, sf_dir):
-    layout = _run_silver(spark, _run_bronze(spark, sf_dir))
-    bound = _third(spark, layout.table("silver"), ".parquet")
-    stages.start_gold(spark, layout, _SCORER, max_bytes=bound).awaitTermination()
+    _, layout = _run_gold(spark, sf_dir, _SCORER)
+    return _plain(read_layer(spark, layout, "gold"), *GOLD.fieldNames())
+
+
+@_query
+def gold_stream_pandas_udf(spark, sf_dir):
+    _, layout = _run_gold(spark, sf_dir, model_scorer(lexicon_model(feed.LEXICON)))
     return _plain(read_layer(spark, layout, "gold"), *GOLD.fieldNames())
 
 
@@ -300,9 +303,8 @@ def continuous_app_table(spark, sf_dir):
     layout = Layout(_new_dir(spark, "continuous"))
     source = _landing(spark, sf_dir)
     often = {"processingTime": "500 milliseconds"}
-    running = [
-        stages.start_bronze(spark, source, layout, often, max_bytes=_third(spark, source))
-    ]
+    bound = _third(spark, source, ".json")
+    running = [stages.start_bronze(spark, source, layout, often, max_bytes=bound)]
     try:
         for upstream, start in (
             ("bronze", lambda: stages.start_silver(spark, layout, often)),
@@ -367,11 +369,12 @@ def schema_merge(spark, sf_dir):
     """Events and conversations arrive first; the documents that follow carry
     one more field, which the table gains without a rewrite."""
     source, layout = _new_dir(spark, "gaining"), Layout(_new_dir(spark, "gained"))
-    _land(feed.event_messages(spark, sf_dir), source)
+    _land(feed.event_messages(spark, sf_dir, spread=True), source)
     _land(feed.conversation_messages(spark, sf_dir), source)
     stages.start_bronze(spark, source, layout).awaitTermination()
 
-    documents = feed.document_messages(spark, sf_dir).withColumn("n_letters", F.length("text"))
+    documents = feed.document_messages(spark, sf_dir, spread=True)
+    documents = documents.withColumn("n_letters", F.length("text"))
     _land(documents, source)
     wider = T.StructType(RAW.fields + [T.StructField("n_letters", T.IntegerType())])
     stages.start_bronze(spark, source, layout, schema=wider).awaitTermination()
@@ -431,8 +434,12 @@ def compact_table(spark, sf_dir):
 def table_version(spark, sf_dir):
     """Three arrivals, each brought through all stages in one batch per table."""
     source, layout = _new_dir(spark, "arrivals"), Layout(_new_dir(spark, "versions"))
-    for part in (feed.event_messages, feed.document_messages, feed.conversation_messages):
-        _land(part(spark, sf_dir), source)
+    for part in (
+        feed.event_messages(spark, sf_dir, spread=True),
+        feed.document_messages(spark, sf_dir, spread=True),
+        feed.conversation_messages(spark, sf_dir),
+    ):
+        _land(part, source)
         stages.run_stages(spark, source, layout, _SCORER, max_bytes=1 << 60)
     layers = ("bronze", "silver", "gold")
     counts = quality.layer_counts({layer: read_layer(spark, layout, layer) for layer in layers})
@@ -492,17 +499,16 @@ def progress_elapsed(spark, sf_dir):
 
 @_query
 def stream_progress(spark, sf_dir):
-    layout = _run_silver(spark, _run_bronze(spark, sf_dir))
-    gold = stages.start_gold(spark, layout, _SCORER)
-    gold.awaitTermination()
-    return _plain(progress.with_elapsed(control.progress_of(spark, [gold])))
+    query, _ = _run_gold(spark, sf_dir, _SCORER)
+    return _plain(progress.with_elapsed(control.progress_of(spark, [query])))
 
 
 @_query
 def stream_input_rows(spark, sf_dir):
     """Rows read by the ingest according to its progress: every message once."""
     layout, source = Layout(_new_dir(spark, "live")), _landing(spark, sf_dir)
-    bronze = stages.start_bronze(spark, source, layout, max_bytes=_third(spark, source))
+    bound = _third(spark, source, ".json")
+    bronze = stages.start_bronze(spark, source, layout, max_bytes=bound)
     bronze.awaitTermination()
     by_query = progress.progress_by_query(control.progress_of(spark, [bronze]))
     return by_query.select("query", "input_rows")

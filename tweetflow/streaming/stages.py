@@ -60,8 +60,10 @@ def start_silver(
     layout: Layout,
     trigger: dict = BOUNDED,
     max_bytes: int = MAX_BATCH_BYTES,
+    upstream: Layout | None = None,
 ) -> StreamingQuery:
-    bronze = _read_upstream(spark, layout, "bronze", max_bytes)
+    """Follow the bronze table, by default the one of the same layout."""
+    bronze = _read_upstream(spark, upstream or layout, "bronze", max_bytes)
     return _append(to_silver(bronze), layout, "silver", trigger)
 
 
@@ -71,8 +73,11 @@ def start_gold(
     scorer: Scorer,
     trigger: dict = BOUNDED,
     max_bytes: int = MAX_BATCH_BYTES,
+    upstream: Layout | None = None,
 ) -> StreamingQuery:
-    silver = _read_upstream(spark, layout, "silver", max_bytes)
+    """Follow the silver table, by default the one of the same layout. With
+    another ``upstream`` a table is scored anew beside its first scores."""
+    silver = _read_upstream(spark, upstream or layout, "silver", max_bytes)
     return _append(to_gold(silver, scorer), layout, "gold", trigger)
 
 
