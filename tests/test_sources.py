@@ -7,8 +7,8 @@ import pytest
 from conftest import multiset
 from pyspark.sql import functions as F
 
-from tweetflow.operators.evaluation import confusion_matrix, eval_summary
-from tweetflow.plans import feed
+from tweetflow.operators.evaluation import confusion_matrix, eval_summary, metrics_table
+from tweetflow.plans import feed, reports
 from tweetflow.schemas import RAW, SILVER, T
 from tweetflow.session import shared_dir
 from tweetflow.sources import files, landing, tables
@@ -210,17 +210,51 @@ def test_reset_drops_tables_and_checkpoints(spark, filled):
 
 def test_run_log(spark, filled):
     gold = tables.read_layer(spark, filled, "gold")
-    summary = eval_summary(confusion_matrix(gold))
     for name, batch_size in (("first", 32), ("second", 64)):
-        tables.log_run(spark, filled.runs, name, summary, {"batch_size": batch_size, "m": None})
+        reports.log_evaluation(spark, filled, name, "lexicon", {"batch_size": batch_size, "m": None})
     runs = tables.read_runs(spark, filled.runs).orderBy("ts").collect()
     assert [r.run_name for r in runs] == ["first", "second"]
-    assert runs[1].params == {"batch_size": "64", "m": "None"}
-    assert runs[0].metrics["n_rows"] == 24.0
-    assert runs[0].metrics["accuracy"] == summary.first()["accuracy"]
+    assert runs[1].params == {
+        "model_name": "lexicon",
+        "spark_version": spark.version,
+        "silver_table_version": "0",
+        "batch_size": "64",
+        "m": "None",
+    }
+    confusion = confusion_matrix(gold)
+    expected = eval_summary(confusion).first().asDict()
+    expected |= {f"n_{a}_{p}": n for a, p, n in confusion.collect()}
+    assert runs[0].metrics == pytest.approx(expected) and len(expected) == 9
     assert runs[0].ts is not None
 
 
+def test_reports_over_the_tables(spark, filled):
+    bronze, gold = (tables.read_layer(spark, filled, layer) for layer in ("bronze", "gold"))
+    assert multiset(reports.layer_report(spark, filled)) == [
+        ("bronze", 24), ("gold", 24), ("silver", 24),
+    ]
+    quality = reports.quality_report(bronze, 5)
+    assert quality["summary"].first().n_tweets == 24
+    assert [tuple(r) for r in quality["top_users"].collect()] == [("u", 24)]
+    mentioned = reports.mention_report(gold, 3)
+    assert mentioned["mentions"].count() == 8
+    assert mentioned["total_mentions"].first()[0] == 24
+    assert [tuple(r) for r in mentioned["top_total"].collect()] == [
+        ("@m0", 3), ("@m1", 3), ("@m2", 3),
+    ]
+    evaluated = reports.evaluation_report(gold)
+    assert evaluated["confusion"].count() == 4 and evaluated["classes"].count() == 2
+    assert all(not df.isEmpty() for report in (quality, mentioned, evaluated) for df in report.values())
+
+
+def test_evaluation_scans_the_predictions_once(spark, filled):
+    metrics = metrics_table(confusion_matrix(tables.read_layer(spark, filled, "gold")))
+    metrics.collect()
+    plan = metrics._jdf.queryExecution().executedPlan().toString()
+    final = plan[: plan.index("Initial Plan")]
+    assert final.count("FileScan") == 1 and "Reused" in final
+
+
 def test_small_scans_are_spread_and_large_ones_left_alone(spark, sf_dir, monkeypatch):
     scan = spark.read.parquet(f"{sf_dir}/documents.parquet")
     spread = files.spread_if_small(scan, "doc_id")

@@ -107,3 +107,19 @@ def eval_summary(confusion: DataFrame) -> DataFrame:
         weighted("f1").alias("weighted_f1"),
         total.alias("n_rows"),
     )
+
+
+def metrics_table(confusion: DataFrame) -> DataFrame:
+    """``(metric, value)``: the summary and the cells ``n_<actual>_<predicted>``.
+
+    Both halves start from the same counts, whose exchange Spark reuses: the
+    predictions are scanned once.
+    """
+    summary = eval_summary(confusion)
+    # unpivot wants one type.
+    summary = summary.select(*[F.col(c).cast("double").alias(c) for c in summary.columns])
+    cells = confusion.select(
+        F.concat_ws("_", F.lit("n"), "sentiment_id", "predicted_sentiment_id").alias("metric"),
+        F.col("n").cast("double").alias("value"),
+    )
+    return summary.unpivot([], summary.columns, "metric", "value").union(cells)

@@ -321,6 +321,8 @@ def oracle_sql() -> dict[str, str]:
                     "n_rows",
                 )
             )
+            + " UNION ALL SELECT 'lexicon', 'n_' || sentiment_id || '_' || predicted_sentiment_id,"
+            " CAST(n AS DOUBLE) FROM confusion"
         ),
         "progress_by_query": _with(
             _PROGRESS, select=f"SELECT query, {series} FROM progress GROUP BY query"

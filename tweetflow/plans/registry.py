@@ -456,18 +456,16 @@ def table_version(spark, sf_dir):
 @_query
 def run_log(spark, sf_dir):
     """Evaluate the gold table, log the run, read the log: one row per metric."""
-    layout, runs = _tables(spark, sf_dir), _new_dir(spark, "runs")
-    gold = read_layer(spark, layout, "gold")
+    made = _tables(spark, sf_dir)
+    runs = _new_dir(spark, "runs")
+    confusion = evaluation.confusion_matrix(read_layer(spark, made, "gold"))
+    version = tables.table_version(spark, made.table("silver"))
     tables.log_run(
         spark,
         runs,
         "lexicon",
-        evaluation.eval_summary(evaluation.confusion_matrix(gold)),
-        {
-            "model_name": "lexicon",
-            "spark_version": spark.version,
-            "silver_table_version": tables.table_version(spark, layout.table("silver")),
-        },
+        evaluation.metrics_table(confusion),
+        {"model_name": "lexicon", "silver_table_version": version},
     )
     return (
         tables.read_runs(spark, runs)

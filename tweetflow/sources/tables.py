@@ -103,18 +103,19 @@ def log_run(
     metrics: DataFrame,
     params: dict[str, object],
 ) -> None:
-    """Append one run. ``metrics`` is a one-row frame of numbers, which goes to
-    the table without passing the driver."""
-    metric_map = F.create_map(
-        *[part for c in metrics.columns for part in (F.lit(c), F.col(c).cast("double"))]
-    )
+    """Append one run. ``metrics`` is a ``(metric, value)`` frame of a few rows,
+    which go to the table without passing the driver."""
     param_map = F.create_map(
         *[part for key, value in params.items() for part in (F.lit(key), F.lit(str(value)))]
     )
-    metrics.select(
+    metrics.agg(
+        F.map_from_entries(F.collect_list(F.struct("metric", F.col("value").cast("double")))).alias(
+            "metrics"
+        )
+    ).select(
         F.lit(run_name).alias("run_name"),
         F.current_timestamp().alias("ts"),
-        metric_map.alias("metrics"),
+        "metrics",
         param_map.cast("map<string,string>").alias("params"),
     ).write.mode("append").parquet(runs)
 
