@@ -28,8 +28,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 _QUERIES: dict[str, Query] = {}
 _SCORER = lexicon_scorer(feed.LEXICON)
-#: Landing files hold at most so many messages; more data, more files.
-_RECORDS_PER_FILE = 5000
 _CORRUPT = "_corrupt_record"
 
 
@@ -218,8 +216,8 @@ def _new_dir(spark: SparkSession, label: str) -> str:
 
 
 def _land(df: DataFrame, path: str) -> None:
-    """Write messages as landing files, as many as their number asks for."""
-    df.write.mode("append").option("maxRecordsPerFile", _RECORDS_PER_FILE).json(path)
+    """Add messages to a landing directory, one file per task."""
+    df.write.mode("append").json(path)
 
 
 def _landing(spark: SparkSession, sf_dir: str) -> str:
@@ -232,8 +230,10 @@ def _landing(spark: SparkSession, sf_dir: str) -> str:
 
 
 def _third(spark: SparkSession, path: str, suffix: str) -> int:
-    """A bound that splits the files under ``path`` into about three batches."""
-    return files.file_sizes(spark, path, suffix).first()["n_bytes"] // 3 + 1
+    """A bound that makes at least three batches of the files under ``path``,
+    so that small inputs too are read in several."""
+    n_bytes = files.file_sizes(spark, path, suffix).first()["n_bytes"]
+    return min(n_bytes // 3 + 1, stages.MAX_BATCH_BYTES)
 
 
 def _tables(spark: SparkSession, sf_dir: str) -> Layout:
@@ -310,7 +310,7 @@ def continuous_app_table(spark, sf_dir):
             ("bronze", lambda: stages.start_silver(spark, layout, often)),
             ("silver", lambda: stages.start_gold(spark, layout, _SCORER, often)),
         ):
-            control.wait_for_rows(spark, layout.table(upstream), timeout=600, poll=0.5)
+            control.wait_for_rows(spark, layout.table(upstream), timeout=3600, poll=0.5)
             running.append(start())
         control.wait_until_idle(running, poll=1.0)
     finally:
@@ -337,7 +337,7 @@ def active_streams(spark, sf_dir):
     )
     try:
         control.wait_stream_start(spark, "bronze_stream", poll=0.1)
-        control.wait_for_rows(spark, layout.table("bronze"), timeout=600, poll=0.2)
+        control.wait_for_rows(spark, layout.table("bronze"), timeout=3600, poll=0.2)
         return control.list_streams(spark)
     finally:
         query.stop()

@@ -15,10 +15,10 @@ from tweetflow.sources.tables import table_version
 UNNAMED = "<unnamed>"
 
 #: The parts of a progress record that are kept; all of them may be absent.
+STATE_OPERATORS = "array<struct<memoryUsedBytes: long>>"
 PROGRESS_JSON = (
     "name string, runId string, batchId long, timestamp timestamp, numInputRows long,"
-    " durationMs struct<addBatch: long>,"
-    " stateOperators array<struct<memoryUsedBytes: long>>"
+    f" durationMs struct<addBatch: long>, stateOperators {STATE_OPERATORS}"
 )
 
 
@@ -83,17 +83,18 @@ def progress_table(spark: SparkSession, records: Iterable[str]) -> DataFrame:
     parsed = spark.createDataFrame([(r,) for r in records], "record string").select(
         F.from_json("record", PROGRESS_JSON).alias("p")
     )
+    none = F.lit(0).cast("long")
     state = F.aggregate(
-        F.coalesce("p.stateOperators", F.array().cast("array<struct<memoryUsedBytes: long>>")),
-        F.lit(0).cast("long"),
-        lambda total, op: total + F.coalesce(op["memoryUsedBytes"], F.lit(0).cast("long")),
+        F.coalesce("p.stateOperators", F.array().cast(STATE_OPERATORS)),
+        none,
+        lambda total, operator: total + F.coalesce(operator["memoryUsedBytes"], none),
     )
     rows = parsed.select(
         F.coalesce("p.name", F.lit(UNNAMED)).alias("query"),
         F.col("p.runId").alias("run_id"),
         F.col("p.batchId").alias("batch_id"),
         F.col("p.timestamp").alias("ts"),
-        F.coalesce("p.numInputRows", F.lit(0).cast("long")).alias("input_rows"),
+        F.coalesce("p.numInputRows", none).alias("input_rows"),
         F.col("p.durationMs.addBatch").alias("processing_time"),
         state.alias("memory_used"),
     )
@@ -103,7 +104,7 @@ def progress_table(spark: SparkSession, records: Iterable[str]) -> DataFrame:
     return (
         rows.groupBy("query", "run_id", "batch_id")
         .agg(F.max(report).alias("r"))
-        .select("query", "run_id", "batch_id", "r.ts", "r.input_rows", "r.processing_time", "r.memory_used")
+        .select("query", "run_id", "batch_id", "r.*")
         .select(*PROGRESS.fieldNames())
     )
 
