@@ -55,6 +55,15 @@ def test_scorers_agree_with_plain_python(texts, scorer):
     assert [tuple(r["p"]) for r in scored.collect()] == [expected(t) for t in TEXTS]
 
 
+def test_words_that_begin_like_others(spark):
+    words = Lexicon(positive=("go", "good", "é"), negative=("goods", "no"))
+    df = spark.createDataFrame([("go good goods gooods nogo no é éa",)], "t string")
+    native = lexicon_scorer(words)(df, "t", "p").first()["p"]
+    model = model_scorer(lexicon_model(words))(df, "t", "p").first()["p"]
+    # go, good and é against goods and no, and the neutral vote
+    assert tuple(native) == tuple(model) == ("POS", 3 / 6, 1)
+
+
 def test_native_scorer_needs_no_python_worker(texts):
     plan = lexicon_scorer(WORDS)(texts, "t", "p")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan

@@ -11,7 +11,8 @@ from tweetflow.schemas import RAW
 from tweetflow.sources import files
 
 #: Files never grow too old to be read. Spark's own default skips files more
-#: than seven days older than the newest one.
+#: than seven days older than the newest one. The price is an entry per file in
+#: the driver's list of files seen.
 MAX_FILE_AGE = "36500d"
 
 SUFFIX = ".json"
