@@ -1,0 +1,88 @@
+import gzip
+import hashlib
+
+import pytest
+
+from tweetflow.llm import warc_index as W
+
+BIG, OTHER = "ü" * 600, "x" * 2000
+PAGES = [
+    (1, "http://a/", BIG),
+    (5, "http://b/", BIG),
+    (3, "http://c/\r\nX: y", BIG),
+    (5, "http://b/", BIG),  # the same row again
+    (7, "http://d/", OTHER),
+    (8, None, OTHER),
+    (9, "http://e/", "x" * 999),
+    (10, "http://f/", "x" * 999),
+    (11, "http://g/", None),
+    (12, "", ""),
+    (None, "http://h/", OTHER),
+    (13, "http://i/", "a\r\n\r\nb" * 300),
+    (14, "http://j/", "z" * 300000),
+]
+
+
+@pytest.fixture
+def pages(spark):
+    df = spark.createDataFrame(PAGES, "page_id bigint, url string, html string")
+    return df.selectExpr("*", "1 AS owner", "'x' AS payload_digest", "2 AS n")
+
+
+def expected():
+    out = []
+    for page_id, url, html in PAGES:
+        data = (html or "").encode()
+        top = max((p for p, _, h in PAGES if h == html and p is not None), default=None)
+        revisit = len(data) >= 1000 and page_id != top
+        out.append(
+            (page_id, len(data), hashlib.sha1(data).hexdigest(), "revisit" if revisit else "response", top if revisit else None)
+        )
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("archive_bytes", [1 << 30, 1])
+def test_round_trip(pages, new_dir, archive_bytes):
+    folder = new_dir("warc")
+    pages.sparkSession.range(1).write.parquet(folder + "/made")  # the folder must be there
+    index = W.write_archives(pages, folder, archive_bytes=archive_bytes)
+    rows = W.read_records(index, folder).collect()
+    got = [(r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in rows]
+    assert sorted(got, key=str) == expected()
+    bodies = {r.page_id: r.html for r in rows if r.record_type == "response"}
+    assert all(bodies[p] == (h or "") for p, _, h in PAGES if p in bodies and p is not None)
+    assert sum(r.url == "http://c/%0D%0AX: y" for r in rows) == 1
+    chosen = index.filter("page_id IN (13, 14, 1)")
+    assert {r.page_id for r in W.read_records(chosen, folder).collect()} == {1, 13, 14}
+
+
+def test_records_are_gzip_members(pages, new_dir):
+    folder = new_dir("warc")
+    pages.sparkSession.range(1).write.parquet(folder + "/made")
+    for row in W.write_archives(pages, folder).collect():
+        with open(f"{folder}/{row.file}", "rb") as file:
+            file.seek(row.offset)
+            record = gzip.decompress(file.read(row.length))
+        assert record.startswith(b"WARC/1.1\r\n") and record.endswith(b"\r\n\r\n")
+        assert W.parse_record(record)["payload_digest"] == row.payload_digest
+
+
+def test_damage_is_noticed():
+    row = {"page_id": 1, "url": "u", "html": "abc", "owner": None, "payload_digest": "0" * 40}
+    with pytest.raises(ValueError):
+        W.parse_record(W.record_bytes(row))
+
+
+def test_ranges_are_joined():
+    gap, most = W.GAP_BYTES, W.READ_BYTES
+    places = [("a", 0, 10), ("a", 10, 10), ("a", 20 + gap, 5), ("a", 26 + 2 * gap, 5), ("b", 0, most), ("b", most, 1)]
+    joined = [(f, s, e, len(r)) for f, s, e, r in W.ranges(iter(places))]
+    assert joined == [
+        ("a", 0, 25 + gap, 3), ("a", 26 + 2 * gap, 31 + 2 * gap, 1), ("b", 0, most, 1), ("b", most, most + 1, 1)
+    ]
+
+
+def test_empty_table(pages, new_dir):
+    folder = new_dir("warc")
+    index = W.write_archives(pages.limit(0), folder)
+    assert W.read_records(index, folder).count() == 0
