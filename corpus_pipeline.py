@@ -68,18 +68,15 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def as_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, and the digest of the text they decode to."""
-    path = tokenizer_path()
     own = docs.select("doc_id", "lang", "source", "text")
-    encoded = bpe_stream.encode(own, path, drop=("text",))
-    row = F.struct("doc_id", "lang", "source")
-    decoded = bpe_stream.decode(encoded.select(row.alias("row"), "tokens.ids"), path, row_id="row")
-    return decoded.select(
-        "row.doc_id",
-        "row.lang",
-        "row.source",
-        F.size("ids").cast("bigint").alias("n_tokens"),
-        "ids",
-        F.sha2("text", 256).alias("decoded_sha256"),
+    encoded = bpe_stream.encode(own, tokenizer_path(), drop=("text",), and_decode=True)
+    return encoded.select(
+        "doc_id",
+        "lang",
+        "source",
+        F.size("tokens.ids").cast("bigint").alias("n_tokens"),
+        F.col("tokens.ids").alias("ids"),
+        F.sha2("tokens.decoded", 256).alias("decoded_sha256"),
     )
 
 

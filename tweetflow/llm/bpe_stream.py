@@ -22,6 +22,7 @@ import codecs
 import json
 import re
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -261,6 +262,8 @@ class Encoder:
         self.special = re.compile("|".join(map(re.escape, names))) if names else None
 
     def _run(self, run: str) -> list[int]:
+        if len(run) <= _SHORT:  # far from filling a window
+            return self.merges.cut(run.encode(), None)
         ids: list[int] = []
         for at in range(0, len(run), self.piece):
             ids += self.transducer.push(run[at : at + self.piece].encode())
@@ -355,26 +358,36 @@ def merges_at(path: str) -> Merges:
 
 
 def encode(
-    docs: DataFrame, path: str, *, text: str = "text", into: str = "tokens", drop: tuple[str, ...] = ()
+    docs: DataFrame,
+    path: str,
+    *,
+    text: str = "text",
+    into: str = "tokens",
+    drop: tuple[str, ...] = (),
+    and_decode: bool = False,
 ) -> DataFrame:
     """``docs`` with a struct ``into``: ids, the tokens of the whole text.
 
     ``path`` names the vocabulary file on every executor. Special tokens in a
-    text become their ids. A null or empty text has no ids. No row moves.
+    text become their ids. A null or empty text has no ids. No row moves. With
+    ``and_decode`` the struct also has ``decoded``, the text that the ids give,
+    without a second round of workers for it.
     """
 
     def prepare():
-        encoder = Encoder(merges_at(path))
+        encoder, decoder = Encoder(merges_at(path)), Decoder(merges_at(path))
 
         def run(column: pa.Array) -> list:
             ids = [encoder.encode(t) if t else [] for t in column.to_pylist()]
             ends = np.cumsum([0, *map(len, ids)])
-            flat = np.fromiter((i for own in ids for i in own), np.int32, int(ends[-1]))
-            return [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))]
+            flat = np.fromiter(chain.from_iterable(ids), np.int32, int(ends[-1]))
+            tokens = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+            return [tokens, pa.array(map(decoder.decode, ids), pa.string())] if and_decode else [tokens]
 
         return run
 
-    return annotate(docs, text, prepare, "ids array<int>", into, drop)
+    fields = "ids array<int>, decoded string" if and_decode else "ids array<int>"
+    return annotate(docs, text, prepare, fields, into, drop)
 
 
 def decode(tokens: DataFrame, path: str, *, row_id: str = "doc_id", ids: str = "ids") -> DataFrame:

@@ -129,14 +129,13 @@ def op7_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = tokenizer_path()
-    encoded = bpe_stream.encode(_texts(spark, sf_dir), path, drop=("text",))
-    decoded = bpe_stream.decode(encoded.select("doc_id", "tokens.ids"), path)
-    return decoded.select(
+    ids = F.col("tokens.ids")
+    encoded = bpe_stream.encode(_texts(spark, sf_dir), tokenizer_path(), drop=("text",), and_decode=True)
+    return encoded.select(
         "doc_id",
-        F.size("ids").cast("bigint").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-        F.sha2("text", 256).alias("decoded_sha256"),
+        F.size(ids).cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(ids.cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("tokens.decoded", 256).alias("decoded_sha256"),
     )
 
 
