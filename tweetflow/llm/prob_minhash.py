@@ -252,26 +252,34 @@ class _Queries:
 
     def _build(self) -> tuple:
         every = np.concatenate([s[0] for _, _, s in self.rows])
+        weight = np.concatenate([s[1] for _, _, s in self.rows]).astype(float)
         owner = np.repeat(np.arange(len(self.rows)), [len(s[0]) for _, _, s in self.rows])
         order = np.argsort(every, kind="stable")
         keys, first, many = np.unique(every[order], return_index=True, return_counts=True)
-        return keys, first, many, owner[order]
+        total = np.bincount(owner, weight, len(self.rows))
+        return keys, first, many, owner[order], weight[order], total
 
     def links(self, key, label, shape, similarity: float):
         """Keys of the queries that are similar enough to a member."""
         if self.index is None:
             self.index = self._build()
-        keys, first, many, owner = self.index
+        keys, first, many, owner, weight, total = self.index
+        if not len(keys):
+            return
         at = np.searchsorted(keys, shape[0])
         at[at == len(keys)] = 0
         hit = keys[at] == shape[0]
-        at, weight = at[hit], shape[1][hit]
+        at, own = at[hit], shape[1][hit].astype(float)
         times = many[at]
         step = np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times)
-        who = owner[np.repeat(first[at], times) + step]
-        # J_P is at most the share of the member's weight that is shared.
-        share = np.bincount(who, np.repeat(weight, times), len(self.rows)) / max(shape[1].sum(), 1)
-        for i in np.flatnonzero(share >= similarity - 1e-9):
+        place = np.repeat(first[at], times) + step
+        who, a, b = owner[place], weight[place], np.repeat(own, times)
+        # With A the query's weight and B' what the member does not share, a
+        # shared shingle adds at most 1 / (A / a + B' / b) to J_P, and just that
+        # where all weights are equal.
+        rest = shape[1].sum() - np.bincount(who, b, len(self.rows))
+        bound = np.bincount(who, 1 / (total[who] / a + rest[who] / b), len(self.rows))
+        for i in np.flatnonzero(bound >= similarity - 1e-9):
             other, other_label, other_shape = self.rows[i]
             if other == key or (label is not None and label == other_label):
                 continue
@@ -422,8 +430,9 @@ def near_duplicates(
     labels = components(links)
     rest = stored(_rest_cells(buckets, labels), "rest_cells")
     more = stored(_links(rest, _texts_of(own, rest), similarity), "rest_links")
-    links = more.unionByName(labels.select(F.col("key").alias("a"), F.col("label").alias("b")))
-    labels = components(links)
+    if not more.isEmpty():
+        links = more.unionByName(labels.select(F.col("key").alias("a"), F.col("label").alias("b")))
+        labels = components(links)
     classes = distinct.join(labels, "key", "left").select(
         "key", "doc_id", F.coalesce("label", "key").alias("label")
     )
