@@ -20,13 +20,13 @@ def conversations():
     out += [(100, 0, "user", None), (100, 1, None, "x"), (101, 5, "a: b\n", "</turn>\n### user: y")]
     out += [(102, 0, "assistant", "")]
     out += [(103, i, "user" if i % 2 else "assistant", f"turn {i}") for i in range(120)]
-    out += [(104, 0, "user", "twice"), (104, 0, "user", "twice"), (104, None, "assistant", "last")]
+    out += [(104, 0, "user", "twice"), (104, 0, "user", "twice"), (104, None, "assistant", "first")]
     out += [(None, 0, "user", "nobody's"), (None, 1, "assistant", "é" * 5000)]
     return out
 
 
 def told(rows):
-    rows = sorted(rows, key=lambda r: (r[1] is None, r[1] or 0))
+    rows = sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0))
     return [(r[2] or "", r[3] or "") for r in rows]
 
 

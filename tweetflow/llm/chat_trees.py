@@ -234,7 +234,7 @@ def chat_trees(
     Turns are ordered by number, then role and text digest, so turns that share
     a number have a fixed order and repeated rows stay repeated turns. Null
     roles and texts are empty; rows without ``conv_id`` are one conversation;
-    null turn numbers come last.
+    null turn numbers come first.
     """
     turns = _turns(conversations, conv_id, turn, role, text)
     paths = stored(_paths(turns), "paths")
