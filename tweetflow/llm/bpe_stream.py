@@ -42,7 +42,7 @@ _SHORT = 64
 _TOKEN = -1
 _SPACE = frozenset(regex.findall(r"\s", "".join(map(chr, range(0x3001)))))
 #: Entries of the caches before they are begun anew.
-_CACHE = 1 << 19
+_CACHE = 1 << 18
 
 
 def byte_alphabet() -> dict[str, int]:

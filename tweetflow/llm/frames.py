@@ -59,6 +59,21 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+#: Rows and bytes that go to a Python worker at a time; texts may be long.
+_BATCH = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": 2000,
+    "spark.sql.execution.arrow.maxBytesPerBatch": 8 << 20,
+}
+
+
+def _bound_batches(spark: SparkSession) -> None:
+    """Lower the session's bounds of Arrow batches where they are higher; no result depends on them."""
+    for key, most in _BATCH.items():
+        now = spark.conf.get(key, None)
+        if now is None or not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(key, str(most))
+
+
 def annotate(
     df: DataFrame,
     column: str,
@@ -74,6 +89,7 @@ def annotate(
     are: no shuffle, one result per row, repeated rows included. ``drop`` names
     columns that are not sent back.
     """
+    _bound_batches(df.sparkSession)
     struct = T.StructType.fromDDL(fields)
     kept = [f for f in df.schema.fields if f.name not in drop]
     schema = T.StructType([*kept, T.StructField(into, struct)])
@@ -90,5 +106,7 @@ def annotate(
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(f.name) for f in kept), result], names=[*(f.name for f in kept), into]
             )
+        # Workers are used again; what one stage needed is not kept for the next.
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)

@@ -63,7 +63,7 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def slices(
-    batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 4 << 20
+    batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 2 << 20
 ) -> Iterator[pa.RecordBatch]:
     """The batches again, cut so that one holds about ``max_bytes`` of ``column``.
 
