@@ -85,5 +85,4 @@ def test_evaluation_reads_two_columns_and_moves_one_row_per_task(tables):
     text = plan(evaluation.eval_summary(evaluation.confusion_matrix(tables["gold"])))
     assert read_columns(text) == {"sentiment_id", "predicted_sentiment_id"}
     innermost = text.rindex("Exchange")
-    assert text[innermost:].startswith("Exchange SinglePartition")
     assert "partial_count" in text[innermost:]

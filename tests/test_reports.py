@@ -31,8 +31,8 @@ def test_app_table_counts_every_row_once(spark):
 
 def test_absent_label_is_a_column_of_zeros(spark):
     pivot = mentions.mention_pivot(gold(spark, [("@a", "POS")]))
-    assert pivot.columns == ["mention", "NEG", "NEU", "POS", "total"]
-    assert multiset(pivot) == [("@a", 0, 0, 1, 1)]
+    assert pivot.columns == ["mention", "NEG", "NEU", "POS", "other", "total"]
+    assert multiset(pivot) == [("@a", 0, 0, 1, 0, 1)]
 
 
 def test_top_mentions_breaks_ties_by_name(spark):
@@ -153,3 +153,19 @@ def test_weighted_metrics_agree_with_spark_ml(spark):
     for column, metric in names.items():
         evaluator = ml.MulticlassClassificationEvaluator(metricName=metric)
         assert ours[column] == pytest.approx(evaluator.evaluate(doubles), abs=1e-12)
+
+
+def test_undeclared_labels_are_in_the_totals(spark):
+    rows = gold(spark, [("@a", "POS"), ("@a", "X"), ("@a", None), ("@b", "X")])
+    pivot = {r.mention: (r.POS, r.other, r.total) for r in mentions.mention_pivot(rows).collect()}
+    assert pivot == {"@a": (1, 2, 3), "@b": (0, 1, 1)}
+
+
+def test_other_and_null_ids_are_in_the_evaluation(spark):
+    pairs = [(0, 0), (1, None), (2, 1), (1, 1)]
+    df = spark.createDataFrame(pairs, "sentiment_id int, predicted_sentiment_id int")
+    confusion = evaluation.confusion_matrix(df)
+    cells = {(r[0], r[1]): r[2] for r in confusion.collect()}
+    assert cells == {(0, 0): 1, (0, 1): 0, (1, 0): 0, (1, 1): 1, (1, None): 1, (2, 1): 1}
+    summary = evaluation.eval_summary(confusion).first()
+    assert (summary.accuracy, summary.n_rows) == (0.5, 4)

@@ -102,3 +102,9 @@ def test_throughput_covers_every_batch_size(texts):
     rows = scoring_throughput(texts, lexicon_model(WORDS), "t", (1, 4)).orderBy("batch_size").collect()
     assert [(r.batch_size, r.n_rows) for r in rows] == [(1, len(TEXTS)), (4, len(TEXTS))]
     assert all(r.time_sec > 0 and r.rows_per_sec > 0 for r in rows)
+
+
+def test_models_agree_on_signs_that_are_no_letters():
+    model = lexicon_model(Lexicon(positive=("good",), negative=("the", "and")))()
+    scores = {s["label"]: s["score"] for s in model(["the\u00b2 \u00bdand \u2167good"])[0]}
+    assert scores == {"NEG": 0.5, "NEU": 0.25, "POS": 0.25}

@@ -253,12 +253,3 @@ def test_evaluation_scans_the_predictions_once(spark, filled):
     plan = metrics._jdf.queryExecution().executedPlan().toString()
     final = plan[: plan.index("Initial Plan")]
     assert final.count("FileScan") == 1 and "Reused" in final
-
-
-def test_small_scans_are_spread_and_large_ones_left_alone(spark, sf_dir, monkeypatch):
-    scan = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    spread = files.spread_if_small(scan, "doc_id")
-    sizes = spread.groupBy(F.spark_partition_id()).count().collect()
-    assert len(sizes) == spark.sparkContext.defaultParallelism
-    monkeypatch.setattr(files, "FULL_SCAN_TASK", 1)
-    assert files.spread_if_small(scan, "doc_id") is scan

@@ -218,7 +218,9 @@ def test_idle_rule():
     query.lastProgress = FakeProgress(0, 10)
     assert [rule.poll(), rule.poll(), rule.poll()] == [0, 1, 2], "one batch counts as work once"
     query.status = {"isDataAvailable": False, "isTriggerActive": True}
-    assert rule.poll() == 0, "a trigger is running"
+    assert rule.poll() == 3, "a trigger may always be running where listing is slow"
+    query.status = {"isDataAvailable": True, "isTriggerActive": True}
+    assert rule.poll() == 0, "data is being worked on"
     query.status = {"isDataAvailable": False, "isTriggerActive": False}
     query.lastProgress = FakeProgress(1, 5)
     assert [rule.poll(), rule.poll()] == [0, 1]
@@ -226,6 +228,30 @@ def test_idle_rule():
     assert rule.poll() == 2, "a batch without rows is idleness"
 
 
+def test_waiting_for_idleness_has_a_deadline():
+    busy = FakeQuery()
+    busy.name, busy.recentProgress = "busy", []
+    with pytest.raises(TimeoutError):
+        control.wait_until_idle([busy], poll=0.05, deadline=0.2)
+
+
+def test_a_forgotten_progress_record_is_an_error():
+    class Query:
+        name = "q"
+
+        def __init__(self, ids):
+            self.recentProgress = [
+                type("P", (), {"batchId": i, "timestamp": str(i), "json": f"{i}"}) for i in ids
+            ]
+
+        def awaitTermination(self, timeout):
+            return True
+
+    assert control.run_to_end(Query([3, 4, 5])) == ["3", "4", "5"]
+    with pytest.raises(control.ProgressLost):
+        control.run_to_end(Query([3, 5]))
+
+
 def test_progress_records(spark):
     def record(batch, rows, second, extra=""):
         return (

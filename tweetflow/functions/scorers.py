@@ -110,10 +110,16 @@ def lexicon_model(lexicon: Lexicon) -> Callable[[], Model]:
     def factory() -> Model:
         import re
 
-        letters = re.compile(r"[^\W\d_]+")
+        runs = re.compile(r"[^\W\d_]+")
+
+        def letters(run: str) -> list[str]:
+            """Letters only: the class of the pattern has signs like ½ and Ⅷ as well."""
+            if run.isalpha():
+                return [run]
+            return "".join(c if c.isalpha() else " " for c in run).split()
 
         def rate(text: str) -> list[dict]:
-            words = letters.findall(text.lower())
+            words = [w for run in runs.findall(text.lower()) for w in letters(run)]
             n_pos = sum(w in positive for w in words)
             n_neg = sum(w in negative for w in words)
             votes = n_pos + n_neg + 1
@@ -128,16 +134,28 @@ def lexicon_model(lexicon: Lexicon) -> Callable[[], Model]:
     return factory
 
 
+_LOADED: dict[tuple[str, int], Model] = {}
+
+
 def transformers_model(name: str, batch_size: int = 32) -> Callable[[], Model]:
     """A factory for ``model_scorer`` that loads a text-classification model of
-    the Hugging Face hub. The library has to be installed on the executors."""
+    the Hugging Face hub. The library has to be installed on the executors.
+
+    A worker process loads a model once, however many tasks it runs. Texts
+    longer than the model reads are cut off by its tokenizer.
+    """
 
     def factory() -> Model:
+        if (name, batch_size) not in _LOADED:
+            _LOADED[name, batch_size] = load()
+        return _LOADED[name, batch_size]
+
+    def load() -> Model:
         try:
             from transformers import pipeline
         except ImportError as missing:
             raise ImportError("transformers is not installed on this executor") from missing
         # top_k=None: the scores of all labels, not of the best one only.
-        return pipeline("text-classification", model=name, top_k=None, batch_size=batch_size)
+        return pipeline("text-classification", model=name, top_k=None, batch_size=batch_size, truncation=True)
 
     return factory

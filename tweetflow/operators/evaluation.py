@@ -20,30 +20,30 @@ def confusion_matrix(
     predicted: str = "predicted_sentiment_id",
     classes: Sequence[int] = CLASSES,
 ) -> DataFrame:
-    """``(sentiment_id, predicted_sentiment_id, n)`` for every pair of classes,
-    pairs that never occur included."""
-    cells = [(a, p) for a in classes for p in classes]
-    counts = df.agg(
-        *[
-            F.count(F.when((F.col(actual) == a) & (F.col(predicted) == p), 1)).alias(f"n_{a}_{p}")
-            for a, p in cells
-        ]
-    )
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(a).alias("sentiment_id"),
-                F.lit(p).alias("predicted_sentiment_id"),
-                F.col(f"n_{a}_{p}").alias("n"),
-            )
-            for a, p in cells
-        ]
+    """``(sentiment_id, predicted_sentiment_id, n)``: every row of ``df`` counts once.
+
+    All pairs of ``classes`` are there, those that never occur with 0; pairs
+    with another id, or with none, are there if they occur. Reduced within each
+    task to a row per pair before anything is shuffled.
+    """
+    counted = df.groupBy(
+        F.col(actual).cast("int").alias("sentiment_id"),
+        F.col(predicted).cast("int").alias("predicted_sentiment_id"),
+    ).agg(F.count("*").alias("n"))
+    cells = df.sparkSession.createDataFrame([(a, p, 0) for a in classes for p in classes], counted.schema)
+    return (
+        counted.unionAll(cells)
+        .groupBy("sentiment_id", "predicted_sentiment_id")
+        .agg(F.sum("n").alias("n"))
     )
-    return counts.select(F.inline(rows))
 
 
 def _class_counts(confusion: DataFrame) -> DataFrame:
-    """Per class: hits, rows that are of it and rows predicted to be of it."""
+    """Per class: hits, rows that are of it and rows predicted to be of it.
+
+    Ids outside the declared classes, null included, are classes of their own;
+    a null id never hits.
+    """
     hit = F.when(F.col("sentiment_id") == F.col("predicted_sentiment_id"), F.col("n")).otherwise(0)
     # Each cell counts once for its actual and once for its predicted class.
     as_actual = F.struct(
@@ -119,7 +119,11 @@ def metrics_table(confusion: DataFrame) -> DataFrame:
     # unpivot wants one type.
     summary = summary.select(*[F.col(c).cast("double").alias(c) for c in summary.columns])
     cells = confusion.select(
-        F.concat_ws("_", F.lit("n"), "sentiment_id", "predicted_sentiment_id").alias("metric"),
+        F.concat_ws(
+            "_",
+            F.lit("n"),
+            *(F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in confusion.columns[:2]),
+        ).alias("metric"),
         F.col("n").cast("double").alias("value"),
     )
     return summary.unpivot([], summary.columns, "metric", "value").union(cells)

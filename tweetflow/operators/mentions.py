@@ -8,8 +8,6 @@ the table costs no more than any other. (``pivot`` would shuffle twice.)
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,15 +39,20 @@ def mention_app_table(gold: DataFrame) -> DataFrame:
 
 
 def mention_pivot(gold: DataFrame, labels: Sequence[str] = LABELS) -> DataFrame:
-    """Mention by label counts, one column per label, and their sum.
+    """Mention by label counts, one column per label, and the number of all rows.
 
-    The labels are declared, so a label nobody received is a column of zeros.
+    The labels are declared, so a label nobody received is a column of zeros;
+    rows of any other label, or of none, are counted as ``other``.
     """
+    declared = F.coalesce(F.col("predicted_sentiment").isin(*labels), F.lit(False))
     return (
         gold.filter(F.col("mention").isNotNull())
         .groupBy("mention")
-        .agg(*[_count_of(label).alias(label) for label in labels])
-        .withColumn("total", reduce(add, [F.col(label) for label in labels]))
+        .agg(
+            *[_count_of(label).alias(label) for label in labels],
+            F.count(F.when(~declared, 1)).alias("other"),
+            F.count("*").alias("total"),
+        )
     )
 
 

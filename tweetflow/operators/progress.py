@@ -6,6 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+#: Queries whose first times are sent to every task: a few MB at most.
+MAX_SENT = 100_000
+
+
 def _series(grouped) -> DataFrame:
     return grouped.agg(
         F.sum("input_rows").alias("input_rows"),
@@ -34,9 +38,13 @@ def with_elapsed(progress: DataFrame) -> DataFrame:
     """Seconds since the first batch of the same query.
 
     A join with the first times instead of a window function: a window would
-    pull all batches of one query into one task.
+    pull all batches of one query into one task. So would a shuffle on the
+    query, so the first times are sent to the rows once their number has been
+    checked; with more queries than that no query holds many of the rows.
     """
     first = progress.groupBy("query").agg(F.min("ts").alias("__first_ts"))
+    if first.limit(MAX_SENT + 1).count() <= MAX_SENT:
+        first = F.broadcast(first)
     micros = F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(
         F.col("__first_ts").cast("timestamp")
     )

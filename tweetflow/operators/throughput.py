@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tweetflow.functions.scorers import Model, model_scorer
 
+#: The batch sizes that are compared.
 BATCH_SIZES = (1, 8, 16, 32, 64, 128)
 
 

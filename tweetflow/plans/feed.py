@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tweetflow.functions.scorers import Lexicon
-from tweetflow.sources.files import spread_if_small
 
 # The lexicon of the driver queries. The texts are invented
 # words, so what recurs in them are function words and the event types.
@@ -26,21 +25,20 @@ DOCUMENTS_EPOCH = 1239056385
 CONVERSATIONS_EPOCH = 1254000000
 
 
-def _scan(spark: SparkSession, sf_dir: str, name: str, spread_by: str | None = None) -> DataFrame:
-    scan = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return scan if spread_by is None else spread_if_small(scan, spread_by)
+def _scan(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _feed_date(ts: str) -> str:
     return f"concat(date_format({ts}, 'EEE MMM dd HH:mm:ss'), ' PDT ', date_format({ts}, 'yyyy'))"
 
 
-def event_messages(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Short messages: who, what, and now and then a second and third mention."""
     body = (
         "concat(event_type, repeat(concat(' ', event_type), int(floor(value) % 4)), ' ', props)"
     )
-    events = _scan(spark, sf_dir, "events", "event_id" if spread else None)
+    events = _scan(spark, sf_dir, "events")
     return events.selectExpr(
         f"CASE WHEN event_id % 79 = 0 THEN 'not a date' ELSE {_feed_date('ts')} END AS date",
         """CASE WHEN event_id % 89 = 0 THEN NULL
@@ -59,9 +57,9 @@ def event_messages(spark: SparkSession, sf_dir: str, spread: bool = False) -> Da
     )
 
 
-def document_messages(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+def document_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole documents, most of them addressed to their source."""
-    documents = _scan(spark, sf_dir, "documents", "doc_id" if spread else None)
+    documents = _scan(spark, sf_dir, "documents")
     return documents.selectExpr(
         f"{_feed_date(f'timestamp_seconds({DOCUMENTS_EPOCH} + doc_id * 61)')} AS date",
         """CASE lang WHEN 'en' THEN 'positive' WHEN 'de' THEN 'negative' WHEN 'fr' THEN 'neutral' END
@@ -89,15 +87,11 @@ def conversation_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def messages(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
-    """All messages, with the columns of ``schemas.RAW``.
-
-    ``spread`` is for plans that spend their time on the texts: inputs too
-    small to occupy all cores are then spread over them first.
-    """
+def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All messages, with the columns of ``schemas.RAW``."""
     return (
-        event_messages(spark, sf_dir, spread)
-        .unionByName(document_messages(spark, sf_dir, spread))
+        event_messages(spark, sf_dir)
+        .unionByName(document_messages(spark, sf_dir))
         .unionByName(conversation_messages(spark, sf_dir))
     )
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tweetflow.operators.throughput import BATCH_SIZES
 from tweetflow.plans.feed import CONVERSATIONS_EPOCH, DOCUMENTS_EPOCH, LEXICON
 
 _FORMAT = "'%a %b %d %H:%M:%S PDT %Y'"
@@ -99,6 +100,8 @@ _PIVOT = """pivoted AS (
     count(*) FILTER (WHERE predicted_sentiment = 'NEG') AS "NEG",
     count(*) FILTER (WHERE predicted_sentiment = 'NEU') AS "NEU",
     count(*) FILTER (WHERE predicted_sentiment = 'POS') AS "POS",
+    count(*) FILTER (WHERE predicted_sentiment NOT IN ('NEG', 'NEU', 'POS')
+      OR predicted_sentiment IS NULL) AS other,
     count(*) AS total
   FROM gold GROUP BY mention
 )"""
@@ -340,6 +343,16 @@ def oracle_sql() -> dict[str, str]:
             " FROM progress JOIN"
             " (SELECT query, min(ts) AS first_ts FROM progress GROUP BY query) USING (query)",
         ),
+        "landing_files": tweets("SELECT 0 AS n_unread_files, count(*) AS n_messages FROM tweets"),
+        "landing_file_count": tweets("SELECT TRUE AS complete, count(*) AS n_messages FROM tweets"),
+        "stream_progress": tweets(
+            "SELECT 'bronze_stream' AS query, count(*) AS input_rows,"
+            " CAST(0 AS DOUBLE) AS first_elapsed FROM tweets"
+        ),
+        "scoring_throughput": gold(
+            "SELECT CAST(b AS INTEGER) AS batch_size, (SELECT count(*) FROM silver) AS n_rows"
+            f" FROM (VALUES {', '.join(f'({b})' for b in BATCH_SIZES)}) sizes(b)"
+        ),
         "stream_input_rows": tweets(
             "SELECT 'bronze_stream' AS query, count(*) AS input_rows FROM tweets"
         ),

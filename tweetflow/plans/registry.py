@@ -62,7 +62,7 @@ def _rounded(name: str) -> Column:
 
 
 def _gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bronze_to_gold(feed.messages(spark, sf_dir, spread=True), _SCORER)
+    return bronze_to_gold(feed.messages(spark, sf_dir), _SCORER)
 
 
 @_query
@@ -72,13 +72,13 @@ def bronze_scan(spark, sf_dir):
 
 @_query
 def silver_mentions(spark, sf_dir):
-    return _plain(to_silver(feed.messages(spark, sf_dir, spread=True)))
+    return _plain(to_silver(feed.messages(spark, sf_dir)))
 
 
 @_query
 def gold_scored(spark, sf_dir):
     """Layer by layer: every silver row is scored."""
-    return _plain(to_gold(to_silver(feed.messages(spark, sf_dir, spread=True)), _SCORER))
+    return _plain(to_gold(to_silver(feed.messages(spark, sf_dir)), _SCORER))
 
 
 @_query
@@ -90,7 +90,7 @@ def gold_direct(spark, sf_dir):
 @_query
 def gold_pandas_udf(spark, sf_dir):
     scorer = model_scorer(lexicon_model(feed.LEXICON))
-    return _plain(bronze_to_gold(feed.messages(spark, sf_dir, spread=True), scorer))
+    return _plain(bronze_to_gold(feed.messages(spark, sf_dir), scorer))
 
 
 @_query
@@ -223,17 +223,14 @@ def _land(df: DataFrame, path: str) -> None:
 def _landing(spark: SparkSession, sf_dir: str) -> str:
     def make() -> str:
         path = _new_dir(spark, "landing")
-        _land(feed.messages(spark, sf_dir, spread=True), path)
+        _land(feed.messages(spark, sf_dir), path)
         return path
 
     return _once(spark, sf_dir, "landing", make)
 
 
-def _third(spark: SparkSession, path: str, suffix: str) -> int:
-    """A bound that makes at least three batches of the files under ``path``,
-    so that small inputs too are read in several."""
-    n_bytes = files.file_sizes(spark, path, suffix).first()["n_bytes"]
-    return min(n_bytes // 3 + 1, stages.MAX_BATCH_BYTES)
+#: Bound of the micro-batches of these queries, whatever the size of their input.
+BATCH_BYTES = 16 << 20
 
 
 def _tables(spark: SparkSession, sf_dir: str) -> Layout:
@@ -242,8 +239,7 @@ def _tables(spark: SparkSession, sf_dir: str) -> Layout:
     def make() -> Layout:
         layout = Layout(_new_dir(spark, "tables"))
         source = _landing(spark, sf_dir)
-        bound = _third(spark, source, ".json")
-        stages.run_stages(spark, source, layout, _SCORER, max_bytes=bound)
+        stages.run_stages(spark, source, layout, _SCORER, max_bytes=BATCH_BYTES)
         return layout
 
     return _once(spark, sf_dir, "tables", make)
@@ -255,26 +251,22 @@ def _tables(spark: SparkSession, sf_dir: str) -> Layout:
 @_query
 def bronze_stream(spark, sf_dir):
     source, layout = _landing(spark, sf_dir), Layout(_new_dir(spark, "bronze"))
-    bound = _third(spark, source, ".json")
-    stages.start_bronze(spark, source, layout, max_bytes=bound).awaitTermination()
+    stages.start_bronze(spark, source, layout, max_bytes=BATCH_BYTES).awaitTermination()
     return read_layer(spark, layout, "bronze").select(*RAW.fieldNames())
 
 
 @_query
 def silver_stream(spark, sf_dir):
     upstream, layout = _tables(spark, sf_dir), Layout(_new_dir(spark, "silver"))
-    bound = _third(spark, upstream.table("bronze"), ".parquet")
-    stages.start_silver(spark, layout, max_bytes=bound, upstream=upstream).awaitTermination()
+    stages.start_silver(spark, layout, max_bytes=BATCH_BYTES, upstream=upstream).awaitTermination()
     return _plain(read_layer(spark, layout, "silver"), *SILVER.fieldNames())
 
 
 def _run_gold(spark: SparkSession, sf_dir: str, scorer: Scorer):
     """A gold run beside the shared tables: its query and where it wrote."""
     upstream, layout = _tables(spark, sf_dir), Layout(_new_dir(spark, "gold"))
-    bound = _third(spark, upstream.table("silver"), ".parquet")
-    query = stages.start_gold(spark, layout, scorer, max_bytes=bound, upstream=upstream)
-    query.awaitTermination()
-    return query, layout
+    query = stages.start_gold(spark, layout, scorer, max_bytes=BATCH_BYTES, upstream=upstream)
+    return control.run_to_end(query), layout
 
 
 @_query
@@ -303,14 +295,15 @@ def continuous_app_table(spark, sf_dir):
     layout = Layout(_new_dir(spark, "continuous"))
     source = _landing(spark, sf_dir)
     often = {"processingTime": "500 milliseconds"}
-    bound = _third(spark, source, ".json")
-    running = [stages.start_bronze(spark, source, layout, often, max_bytes=bound)]
+    running = [stages.start_bronze(spark, source, layout, often, max_bytes=BATCH_BYTES)]
     try:
         for upstream, start in (
             ("bronze", lambda: stages.start_silver(spark, layout, often)),
             ("silver", lambda: stages.start_gold(spark, layout, _SCORER, often)),
         ):
-            control.wait_for_rows(spark, layout.table(upstream), timeout=3600, poll=0.5)
+            table = layout.table(upstream)
+            if not control.wait_for_rows(spark, table, None, poll=0.5, writer=running[-1]):
+                raise stages.UpstreamNotReady(f"{table} stays empty")
             running.append(start())
         control.wait_until_idle(running, poll=1.0)
     finally:
@@ -336,8 +329,8 @@ def active_streams(spark, sf_dir):
         spark, _landing(spark, sf_dir), layout, stages.EVERY_10_SECONDS
     )
     try:
-        control.wait_stream_start(spark, "bronze_stream", poll=0.1)
-        control.wait_for_rows(spark, layout.table("bronze"), timeout=3600, poll=0.2)
+        if not control.wait_for_rows(spark, layout.table("bronze"), None, poll=0.2, writer=query):
+            raise stages.UpstreamNotReady("no message has been ingested")
         return control.list_streams(spark)
     finally:
         query.stop()
@@ -369,11 +362,11 @@ def schema_merge(spark, sf_dir):
     """Events and conversations arrive first; the documents that follow carry
     one more field, which the table gains without a rewrite."""
     source, layout = _new_dir(spark, "gaining"), Layout(_new_dir(spark, "gained"))
-    _land(feed.event_messages(spark, sf_dir, spread=True), source)
+    _land(feed.event_messages(spark, sf_dir), source)
     _land(feed.conversation_messages(spark, sf_dir), source)
     stages.start_bronze(spark, source, layout).awaitTermination()
 
-    documents = feed.document_messages(spark, sf_dir, spread=True)
+    documents = feed.document_messages(spark, sf_dir)
     documents = documents.withColumn("n_letters", F.length("text"))
     _land(documents, source)
     wider = T.StructType(RAW.fields + [T.StructField("n_letters", T.IntegerType())])
@@ -396,12 +389,29 @@ def corrupt_rows(spark, sf_dir):
 
 @_query
 def landing_files(spark, sf_dir):
-    return _plain(landing.list_files(spark, _landing(spark, sf_dir)))
+    """The listing against the messages: files without any, and messages in listed files."""
+    path = _landing(spark, sf_dir)
+    read = spark.read.schema(RAW).json(path).groupBy(F.col("_metadata.file_path").alias("path"))
+    listed = landing.list_files(spark, path).join(read.agg(F.count("*").alias("n")), "path", "left")
+    return listed.agg(
+        F.count(F.when(F.col("n").isNull() & (F.col("length") > 0), 1)).alias("n_unread_files"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_messages"),
+    )
 
 
 @_query
 def landing_file_count(spark, sf_dir):
-    return landing.count_files(spark, _landing(spark, sf_dir))
+    """Whether as many files are counted as messages come from, and how many messages."""
+    path = _landing(spark, sf_dir)
+    file = F.col("_metadata.file_path")
+    read = spark.read.schema(RAW).json(path).select(file.alias("path")).groupBy("path")
+    seen = read.agg(F.count("*").alias("n")).agg(
+        F.count("*").alias("n_read"), F.sum("n").alias("n_messages")
+    )
+    counted = landing.count_files(spark, path)
+    return seen.join(F.broadcast(counted)).select(
+        (F.col("n_files") == F.col("n_read")).alias("complete"), "n_messages"
+    )
 
 
 @_query
@@ -435,12 +445,12 @@ def table_version(spark, sf_dir):
     """Three arrivals, each brought through all stages in one batch per table."""
     source, layout = _new_dir(spark, "arrivals"), Layout(_new_dir(spark, "versions"))
     for part in (
-        feed.event_messages(spark, sf_dir, spread=True),
-        feed.document_messages(spark, sf_dir, spread=True),
+        feed.event_messages(spark, sf_dir),
+        feed.document_messages(spark, sf_dir),
         feed.conversation_messages(spark, sf_dir),
     ):
         _land(part, source)
-        stages.run_stages(spark, source, layout, _SCORER, max_bytes=1 << 60)
+        stages.run_stages(spark, source, layout, _SCORER)
     layers = ("bronze", "silver", "gold")
     counts = quality.layer_counts({layer: read_layer(spark, layout, layer) for layer in layers})
     versions = F.create_map(
@@ -497,22 +507,27 @@ def progress_elapsed(spark, sf_dir):
 
 @_query
 def stream_progress(spark, sf_dir):
-    query, _ = _run_gold(spark, sf_dir, _SCORER)
-    return _plain(progress.with_elapsed(control.progress_of(spark, [query])))
+    """What an ingest reported, batch by batch, summed up: every message once."""
+    layout, source = Layout(_new_dir(spark, "reported")), _landing(spark, sf_dir)
+    bronze = stages.start_bronze(spark, source, layout, max_bytes=BATCH_BYTES)
+    elapsed = progress.with_elapsed(control.progress_table(spark, control.run_to_end(bronze)))
+    return elapsed.groupBy("query").agg(
+        F.sum("input_rows").alias("input_rows"), F.min("elapsed_time").alias("first_elapsed")
+    )
 
 
 @_query
 def stream_input_rows(spark, sf_dir):
     """Rows read by the ingest according to its progress: every message once."""
     layout, source = Layout(_new_dir(spark, "live")), _landing(spark, sf_dir)
-    bound = _third(spark, source, ".json")
-    bronze = stages.start_bronze(spark, source, layout, max_bytes=bound)
-    bronze.awaitTermination()
-    by_query = progress.progress_by_query(control.progress_of(spark, [bronze]))
+    bronze = stages.start_bronze(spark, source, layout, max_bytes=BATCH_BYTES)
+    reported = control.progress_table(spark, control.run_to_end(bronze))
+    by_query = progress.progress_by_query(reported)
     return by_query.select("query", "input_rows")
 
 
 @_query
 def scoring_throughput(spark, sf_dir):
     silver = read_layer(spark, _tables(spark, sf_dir), "silver")
-    return throughput.scoring_throughput(silver, lexicon_model(feed.LEXICON))
+    measured = throughput.scoring_throughput(silver, lexicon_model(feed.LEXICON))
+    return measured.select("batch_size", "n_rows")

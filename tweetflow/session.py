@@ -13,9 +13,6 @@ RESULT_CONF = {
     # Dates carry wall-clock digits whose zone token is dropped, so every
     # session has to read those digits in the same zone.
     "spark.sql.session.timeZone": "UTC",
-    # Progress records a query remembers; with the default of 100 the progress
-    # table of a run of more batches would lack its beginning.
-    "spark.sql.streaming.numRecentProgressUpdates": "10000",
 }
 
 #: Settings that only change speed; used when we build the session ourselves.

@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from tweetflow.session import with_scan_tasks
 
-#: What one scan task reads by default.
-FULL_SCAN_TASK = 128 << 20
-
 
 def _path_and_fs(spark: SparkSession, path: str):
     jvm = spark._jvm
@@ -36,19 +33,6 @@ def make_scratch(spark: SparkSession, path: str) -> str:
     return path
 
 
-def spread_if_small(scan: DataFrame, key: str) -> DataFrame:
-    """Spread the rows of a small scan over all cores, by a unique ``key``.
-
-    A file is split at its row groups only, so a small file of heavy texts may
-    end up in one task. Small means: less than one full scan task per core, so
-    what is shuffled is bounded. Anything larger keeps every core busy as it is
-    and is left alone. The size is the one Spark found when it listed the files.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    size = scan._jdf.queryExecution().analyzed().stats().sizeInBytes()
-    return scan if size >= cores * FULL_SCAN_TASK else scan.repartition(cores, key)
-
-
 def child_names(spark: SparkSession, path: str) -> list[str]:
     """Names of the entries of a directory; empty where there is none."""
     hadoop_path, fs = _path_and_fs(spark, path)

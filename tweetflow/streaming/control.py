@@ -54,22 +54,41 @@ def wait_stream_start(
 
 
 def wait_for_rows(
-    spark: SparkSession, table: str, timeout: float = 30.0, poll: float = 2.0
+    spark: SparkSession,
+    table: str,
+    timeout: float | None = 30.0,
+    poll: float = 2.0,
+    writer: StreamingQuery | None = None,
 ) -> bool:
-    """Wait until a table holds a row; False after ``timeout``."""
+    """Wait until a table holds a row; False after ``timeout``.
+
+    Without a ``timeout`` the wait lasts as long as ``writer`` is active.
+    """
 
     def has_rows() -> bool:
+        if writer is not None and not writer.isActive and writer.exception() is not None:
+            raise writer.exception()
         if table_version(spark, table) is None:
             return False
         return not spark.read.parquet(table).isEmpty()
 
-    return _wait_for(has_rows, timeout, poll)
+    def given_up() -> bool:
+        return timeout is None and (writer is None or not writer.isActive)
 
+    return _wait_for(has_rows, timeout, poll, given_up)
 
-def _wait_for(condition: Callable[[], bool], timeout: float, poll: float) -> bool:
-    deadline = time.monotonic() + timeout
+
+def _wait_for(
+    condition: Callable[[], bool],
+    timeout: float | None,
+    poll: float,
+    given_up: Callable[[], bool] = lambda: False,
+) -> bool:
+    deadline = None if timeout is None else time.monotonic() + timeout
     while not condition():
-        if time.monotonic() >= deadline:
+        if given_up():
+            return condition()
+        if deadline is not None and time.monotonic() >= deadline:
             return False
         time.sleep(poll)
     return True
@@ -109,9 +128,27 @@ def progress_table(spark: SparkSession, records: Iterable[str]) -> DataFrame:
     )
 
 
-def progress_of(spark: SparkSession, queries: Iterable[StreamingQuery]) -> DataFrame:
-    """All progress the queries still remember (``numRecentProgressUpdates``)."""
-    return progress_table(spark, [p.json for q in queries for p in q.recentProgress])
+class ProgressLost(RuntimeError):
+    """A query forgot a progress record before it was fetched."""
+
+
+def run_to_end(query: StreamingQuery, poll: float = 1.0) -> list[str]:
+    """Wait for a bounded run to end; all its progress records, as JSON.
+
+    Spark remembers only the last ``numRecentProgressUpdates`` records, so they
+    are fetched while the query runs. Were one missed all the same, the batch
+    ids would have a hole, and that is an error: a report is never too small.
+    """
+    seen: dict[tuple[int, str], str] = {}
+    ended = False
+    while not ended:
+        ended = query.awaitTermination(poll)
+        for p in query.recentProgress:
+            seen.setdefault((p.batchId, p.timestamp), p.json)
+    ids = sorted({batch for batch, _ in seen})
+    if ids and ids[-1] - ids[0] + 1 != len(ids):
+        raise ProgressLost(f"{query.name}: batches {ids[0]} to {ids[-1]} are not all reported")
+    return list(seen.values())
 
 
 def snapshot(spark: SparkSession) -> DataFrame:
@@ -124,9 +161,11 @@ def snapshot(spark: SparkSession) -> DataFrame:
 class IdleRule:
     """Counts the polls in a row that found a query with nothing to do.
 
-    Idle means: it has reported progress, no trigger is running, no data is
-    waiting, and no batch has been finished since the last poll. A first batch
-    that takes long is therefore not mistaken for idleness.
+    Idle means: it has reported progress, no data is waiting or being worked
+    on, and no batch has been finished since the last poll. A first batch that
+    takes long is therefore not mistaken for idleness. Whether a trigger is
+    running says nothing: where listing a directory takes longer than the
+    trigger interval, one always is.
     """
 
     def __init__(self, query: StreamingQuery) -> None:
@@ -136,7 +175,7 @@ class IdleRule:
 
     def poll(self) -> int:
         progress, status = self.query.lastProgress, self.query.status
-        if progress is None or status["isDataAvailable"] or status["isTriggerActive"]:
+        if progress is None or status["isDataAvailable"]:
             self.idle_polls = 0
             return 0
         batch = (progress.batchId, progress.numInputRows)
@@ -151,13 +190,18 @@ def wait_until_idle(
     idle_rounds: int = 3,
     poll: float = 10.0,
     on_poll: Callable[[list[str]], None] | None = None,
+    deadline: float | None = None,
 ) -> list[str]:
     """Poll until every query has been idle for ``idle_rounds`` polls or has
     ended, then stop them. Returns all progress records seen, as JSON.
 
-    ``idle_rounds`` polls should span more than one trigger interval, or a query
-    may be taken for idle between two triggers. ``on_poll`` receives the records of each poll that were not seen before.
+    ``idle_rounds`` polls should span more than one trigger interval and one
+    listing of the source, or a query may be taken for idle between two batches.
+    ``on_poll`` receives the records of each poll that were not seen before.
+    After ``deadline`` seconds, if given, a ``TimeoutError`` is raised and the
+    queries are left as they are.
     """
+    began = time.monotonic()
     queries = [queries] if isinstance(queries, StreamingQuery) else list(queries)
     rules = [IdleRule(query) for query in queries]
     seen: dict[str, None] = {}
@@ -175,6 +219,8 @@ def wait_until_idle(
         gather()
         if all(n >= idle_rounds for n in polls):
             break
+        if deadline is not None and time.monotonic() - began > deadline:
+            raise TimeoutError(f"not idle after {deadline} s: {[q.name for q in queries]}")
         time.sleep(poll)
     for query in queries:
         query.stop()

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import time
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -15,7 +15,7 @@ from tweetflow.operators.layers import to_bronze, to_gold, to_silver
 from tweetflow.schemas import LAYERS, RAW
 from tweetflow.session import configure
 from tweetflow.sources import landing
-from tweetflow.sources.tables import Layout, table_version
+from tweetflow.sources.tables import Layout, read_layer, table_version
 
 #: Read what is there now, in bounded micro-batches, then end.
 BOUNDED = {"availableNow": True}
@@ -28,10 +28,6 @@ EVERY_10_SECONDS = {"processingTime": "10 seconds"}
 MAX_BATCH_BYTES = 512 << 30
 
 
-#: Name under which a query reports how many rows it wrote.
-WRITTEN = "written"
-
-
 class UpstreamNotReady(RuntimeError):
     """A stage was started before the table it reads had its first batch."""
 
@@ -97,18 +93,30 @@ def _read_upstream(
 
 
 def _append(df: DataFrame, layout: Layout, layer: str, trigger: dict) -> StreamingQuery:
-    counted = df.observe(WRITTEN, F.count(F.lit(1)).alias("n_rows"))
+    # Names are unique among active queries; a second run of a layer beside the
+    # first is named after its table as well.
+    name = f"{layer}_stream"
+    if any(query.name == name for query in df.sparkSession.streams.active):
+        name += f"_{zlib.crc32(layout.table(layer).encode()):08x}"
     return (
-        counted.writeStream.format("parquet")
+        df.writeStream.format("parquet")
         .outputMode("append")
         .option("checkpointLocation", layout.checkpoint(layer))
         .option("path", layout.table(layer))
-        .queryName(f"{layer}_stream")
+        .queryName(name)
         .trigger(**trigger)
         .start()
     )
 
 
+def _extent(spark: SparkSession, layout: Layout, layer: str) -> tuple[int, int]:
+    """Number of the last committed batch (-1 for none) and rows of a layer table."""
+    version = table_version(spark, layout.table(layer))
+    if version is None:
+        return -1, 0
+    return version, read_layer(spark, layout, layer).count()
+
+
 def run_stages(
     spark: SparkSession,
     landing_dir: str,
@@ -119,9 +127,10 @@ def run_stages(
     """Bring all three tables up to date with the landing directory, then end.
 
     Call it again when files have arrived: it goes on from the checkpoints.
-    Returns ``(stage, written_rows, n_batches, seconds)`` of this run, from the
-    progress of the queries; no table is read for it. (The input rows of a
-    progress record would not do: a parquet scan leaves out those it can skip.)
+    Returns ``(stage, written_rows, n_batches, seconds)`` of this run, from what
+    the tables hold and from their sink logs, before and after: rows are counted
+    in file footers. (Progress records would not do: a query remembers only
+    the last of them.)
     """
     configure(spark)
     stages: dict[str, Callable[[], StreamingQuery]] = {
@@ -132,18 +141,14 @@ def run_stages(
     report = []
     upstream_ready = True
     for layer, start in stages.items():
+        version, n_rows = _extent(spark, layout, layer)
         started = time.perf_counter()
-        batches: list[int] = []
         if upstream_ready:
-            query = start()
-            query.awaitTermination()
-            batches = [
-                p.observedMetrics[WRITTEN].n_rows
-                for p in query.recentProgress
-                if WRITTEN in p.observedMetrics
-            ]
-        report.append((layer, sum(batches), len(batches), time.perf_counter() - started))
-        upstream_ready = table_version(spark, layout.table(layer)) is not None
+            start().awaitTermination()
+        seconds = time.perf_counter() - started
+        new_version, new_rows = _extent(spark, layout, layer)
+        report.append((layer, new_rows - n_rows, new_version - version, seconds))
+        upstream_ready = new_version >= 0
     return spark.createDataFrame(
         report, "stage string, written_rows long, n_batches long, seconds double"
     )
