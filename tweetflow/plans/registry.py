@@ -245,6 +245,10 @@ def _tables(spark: SparkSession, sf_dir: str) -> Layout:
     return _once(spark, sf_dir, "tables", make)
 
 
+#: What several queries share, in the order in which it is made.
+SETUP = {"landing": _landing, "tables": _tables}
+
+
 # --- streaming ----------------------------------------------------------------
 
 
