@@ -56,6 +56,17 @@ def test_round_trip(pages, new_dir, archive_bytes):
     assert {r.page_id for r in W.read_records(chosen, folder).collect()} == {1, 13, 14}
 
 
+def test_equal_pages_without_ids(spark, new_dir):
+    folder = new_dir("warc")
+    spark.range(1).write.parquet(folder + "/made")
+    rows = [(None, "http://a/", BIG), (None, "http://b/", BIG), (None, None, BIG)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    read = W.read_records(W.write_archives(df, folder), folder).collect()
+    assert sorted((r.url, r.record_type, r.page_id, r.refers_to) for r in read) == [
+        ("", "revisit", None, None), ("http://a/", "revisit", None, None), ("http://b/", "response", None, None)
+    ]
+
+
 def test_records_are_gzip_members(pages, new_dir):
     folder = new_dir("warc")
     pages.sparkSession.range(1).write.parquet(folder + "/made")

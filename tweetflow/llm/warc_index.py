@@ -85,7 +85,7 @@ def record_bytes(row: dict) -> bytes:
             "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest",
             f"WARC-Refers-To: {_record_id(owner['page_id'], owner['url'], digest)}",
             f"WARC-Refers-To-Target-URI: {_line(owner['url'])}",
-            f"Refers-To-Page-ID: {owner['page_id']}",
+            f"Refers-To-Page-ID: {'' if owner['page_id'] is None else owner['page_id']}",
         ]
     lines += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
@@ -155,7 +155,8 @@ def write_archives(
     Of the records with equal payloads of ``REVISIT_BYTES`` or more, the one
     with the largest page id (and then URL) is the response, the others revisit
     it; rows that share that id and URL are all responses. A null html is an
-    empty payload, a null URL an empty one; null ids come before all others.
+    empty payload, a null URL an empty one; null ids come before all others, so
+    where all ids are null a revisit refers to null.
     """
     own = pick(pages, page_id=page_id, url=url, html=html)
     payload = F.coalesce("html", F.lit(""))
