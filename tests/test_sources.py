@@ -204,6 +204,7 @@ def test_reset_drops_tables_and_checkpoints(spark, filled):
     for layer in ("bronze", "silver", "gold"):
         assert not files.exists(spark, filled.table(layer))
         assert not files.exists(spark, filled.checkpoint(layer))
+        assert not files.exists(spark, filled.schemas(layer))
     assert files.exists(spark, other)
     assert not tables.reset(spark, filled)
 

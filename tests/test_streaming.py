@@ -10,8 +10,8 @@ from tweetflow.functions.scorers import lexicon_model, model_scorer
 from tweetflow.operators.layers import to_gold, to_silver
 from tweetflow.operators.progress import progress_by_query, progress_by_window, with_elapsed
 from tweetflow.plans import feed
-from tweetflow.schemas import GOLD, LAYERS, PROGRESS, RAW, T
-from tweetflow.sources import tables
+from tweetflow.schemas import GOLD, LAYERS, PROGRESS, RAW, SchemaMismatch, T
+from tweetflow.sources import files, tables
 from tweetflow.sources.tables import Layout, read_layer
 from tweetflow.streaming import control, stages
 
@@ -136,6 +136,47 @@ def test_bronze_table_gains_a_column(spark, messages, scorer, new_dir, layout):
     assert multiset(compacted.select(*merged.columns)) == multiset(merged)
 
 
+def test_a_changed_type_is_refused(spark, messages, new_dir, layout):
+    source = new_dir("landing")
+
+    def ingest(*gained):
+        schema = T.StructType(RAW.fields + [T.StructField(*g) for g in gained])
+        stages.start_bronze(spark, source, layout, schema=schema).awaitTermination()
+
+    land(messages.withColumn("n", F.lit(1)), source)
+    ingest(("n", T.IntegerType()))
+    land(messages.withColumn("n", F.lit("one")), source)
+    # Also where the noted columns are missing and the files have to tell.
+    for _ in range(2):
+        with pytest.raises(SchemaMismatch, match="column N is string, in the table int"):
+            ingest(("N", T.StringType()))
+        assert read_layer(spark, layout, "bronze", merge_schema=True).count() == messages.count()
+        files.delete(spark, layout.schemas("bronze"))
+    ingest(("m", T.DoubleType()))  # another column may come, and n may stay away
+    with pytest.raises(SchemaMismatch, match="column m"):
+        ingest(("m", T.StringType()))
+    merged = read_layer(spark, layout, "bronze", merge_schema=True)
+    assert merged.count() == 2 * messages.count()
+    assert dict(merged.dtypes)["n"] == "int" and dict(merged.dtypes)["m"] == "double"
+
+
+def test_types_noted_before_the_first_batch_do_not_bind(spark, layout):
+    tables.admit(spark, layout, "gold", T.StructType([T.StructField("a", T.IntegerType())]))
+    tables.admit(spark, layout, "gold", T.StructType([T.StructField("a", T.StringType())]))
+
+
+def test_malformed_lines_reach_the_bronze_table(spark, messages, new_dir, layout):
+    source = new_dir("landing")
+    land(messages, source)
+    spark.createDataFrame([("{bad",), ('{"text": 1, "user": ',)], "value string").write.mode(
+        "append"
+    ).text(source)
+    stages.start_bronze(spark, source, layout, corrupt_column="line").awaitTermination()
+    merged = read_layer(spark, layout, "bronze", merge_schema=True)
+    assert {r.line for r in merged.filter("line IS NOT NULL").collect()} == {"{bad", '{"text": 1, "user": '}
+    assert merged.filter("line IS NULL").count() == messages.count()
+
+
 def test_provenance_names_the_landing_file(spark, messages, new_dir, layout):
     source = new_dir("landing")
     land(messages, source, 3)

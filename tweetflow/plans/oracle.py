@@ -211,6 +211,11 @@ def oracle_sql() -> dict[str, str]:
         "CAST(sum(input_rows) AS BIGINT) AS input_rows,"
         " round(avg(processing_time), 6) AS avg_processing_time, count(*) AS n_batches"
     )
+    with_corrupt = tweets(
+        f"SELECT *, CAST(NULL AS VARCHAR) AS _corrupt_record FROM ({raw})"
+        " UNION ALL SELECT NULL, NULL, NULL, NULL,"
+        " '{\"bad ' || CAST(event_id AS VARCHAR) FROM events"
+    )
     return {
         "bronze_scan": tweets(raw),
         "silver_mentions": _with(_TWEETS, _SILVER, select=silver),
@@ -300,11 +305,8 @@ def oracle_sql() -> dict[str, str]:
             f" UNION ALL SELECT *, CAST(NULL AS INTEGER) FROM ({_CONVERSATION_MESSAGES})"
             f" UNION ALL SELECT *, CAST(length(text) AS INTEGER) FROM ({_DOCUMENT_MESSAGES})"
         ),
-        "corrupt_rows": tweets(
-            f"SELECT *, CAST(NULL AS VARCHAR) AS _corrupt_record FROM ({raw})"
-            " UNION ALL SELECT NULL, NULL, NULL, NULL,"
-            " '{\"bad ' || CAST(event_id AS VARCHAR) FROM events"
-        ),
+        "corrupt_rows": with_corrupt,
+        "corrupt_stream": with_corrupt,
         "replay_feed": tweets(raw),
         "compact_table": _with(_TWEETS, _SILVER, select=silver),
         "table_version": gold(

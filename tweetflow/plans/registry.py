@@ -229,6 +229,22 @@ def _landing(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, "landing", make)
 
 
+def _corrupt_landing(spark: SparkSession, sf_dir: str) -> str:
+    """All messages, and one malformed line more for every event."""
+
+    def make() -> str:
+        path = _new_dir(spark, "corrupt")
+        record = F.to_json(F.struct(*RAW.fieldNames()))
+        good = feed.messages(spark, sf_dir).select(record.alias("value"))
+        bad = spark.read.parquet(f"{sf_dir}/events.parquet").select(
+            F.concat(F.lit('{"bad '), F.col("event_id").cast("string")).alias("value")
+        )
+        good.union(bad).write.mode("append").text(path)
+        return path
+
+    return _once(spark, sf_dir, "corrupt", make)
+
+
 #: Bound of the micro-batches of these queries, whatever the size of their input.
 BATCH_BYTES = 16 << 20
 
@@ -246,7 +262,7 @@ def _tables(spark: SparkSession, sf_dir: str) -> Layout:
 
 
 #: What several queries share, in the order in which it is made.
-SETUP = {"landing": _landing, "tables": _tables}
+SETUP = {"landing": _landing, "tables": _tables, "corrupt": _corrupt_landing}
 
 
 # --- streaming ----------------------------------------------------------------
@@ -380,15 +396,19 @@ def schema_merge(spark, sf_dir):
 
 @_query
 def corrupt_rows(spark, sf_dir):
-    """One more, malformed line behind the record of every event."""
-    path = _new_dir(spark, "corrupt")
-    record = F.to_json(F.struct(*RAW.fieldNames()))
-    good = feed.messages(spark, sf_dir).select(record.alias("value"))
-    bad = spark.read.parquet(f"{sf_dir}/events.parquet").select(
-        F.concat(F.lit('{"bad '), F.col("event_id").cast("string")).alias("value")
-    )
-    good.union(bad).write.mode("append").text(path)
-    return landing.read_batch(spark, path, corrupt_column=_CORRUPT)
+    """Malformed lines kept by a batch scan."""
+    return landing.read_batch(spark, _corrupt_landing(spark, sf_dir), corrupt_column=_CORRUPT)
+
+
+@_query
+def corrupt_stream(spark, sf_dir):
+    """Malformed lines kept by the ingest: the bronze table has them in a column of their own."""
+    source, layout = _corrupt_landing(spark, sf_dir), Layout(_new_dir(spark, "kept"))
+    stages.start_bronze(
+        spark, source, layout, max_bytes=BATCH_BYTES, corrupt_column=_CORRUPT
+    ).awaitTermination()
+    bronze = read_layer(spark, layout, "bronze", merge_schema=True)
+    return bronze.select(*RAW.fieldNames(), _CORRUPT)
 
 
 @_query

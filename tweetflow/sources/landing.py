@@ -24,15 +24,17 @@ def read_stream(
     schema: T.StructType = RAW,
     max_bytes: int | None = None,
     max_files: int | None = None,
+    corrupt_column: str | None = None,
 ) -> DataFrame:
-    """New files as a stream, with a declared schema.
+    """New files as a stream, with a declared schema; for ``corrupt_column`` see
+    ``read_batch``.
 
     ``max_bytes`` or ``max_files`` bounds a micro-batch. Prefer bytes: files
     differ in size, so a number of files says little about the work.
     """
     if max_bytes is not None and max_files is not None:
         raise ValueError("give max_bytes or max_files, not both")
-    reader = spark.readStream.schema(schema).option("maxFileAge", MAX_FILE_AGE)
+    reader = _declared(spark.readStream, schema, corrupt_column).option("maxFileAge", MAX_FILE_AGE)
     if max_bytes is not None:
         reader = reader.option("maxBytesPerTrigger", str(max_bytes))
     if max_files is not None:
@@ -48,11 +50,14 @@ def read_batch(
 ) -> DataFrame:
     """The same files as a batch. A malformed line is a row of nulls; with
     ``corrupt_column`` that extra column holds the line."""
-    reader = spark.read
-    if corrupt_column is not None:
-        schema = T.StructType(schema.fields + [T.StructField(corrupt_column, T.StringType())])
-        reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
-    return reader.schema(schema).json(path)
+    return _declared(spark.read, schema, corrupt_column).json(path)
+
+
+def _declared(reader, schema: T.StructType, corrupt_column: str | None):
+    if corrupt_column is None:
+        return reader.schema(schema)
+    wider = T.StructType(schema.fields + [T.StructField(corrupt_column, T.StringType())])
+    return reader.schema(wider).option("columnNameOfCorruptRecord", corrupt_column)
 
 
 def read_inferred(spark: SparkSession, path: str) -> DataFrame:

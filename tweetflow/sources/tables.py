@@ -7,13 +7,15 @@ Nothing else may write into such a directory.
 
 from __future__ import annotations
 
+import json
 import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tweetflow.schemas import LAYERS, RUNS
+from tweetflow.schemas import LAYERS, RUNS, SchemaMismatch
 from tweetflow.session import with_scan_tasks
 from tweetflow.sources import files
 
@@ -32,6 +34,9 @@ class Layout:
     def checkpoint(self, layer: str) -> str:
         return f"{self.base}/{self._known(layer)}.checkpoint"
 
+    def schemas(self, layer: str) -> str:
+        return f"{self.base}/{self._known(layer)}.schemas"
+
     @property
     def runs(self) -> str:
         return f"{self.base}/runs"
@@ -70,6 +75,38 @@ def table_version(spark: SparkSession, path: str) -> int | None:
     return max(batches, default=None)
 
 
+def admit(spark: SparkSession, layout: Layout, layer: str, schema: T.StructType) -> None:
+    """Refuse rows that hold a column of a table with another type.
+
+    Files of both types could be written, but no longer read together. The
+    columns a table has had are kept beside it, a line for each time it gained
+    some, so a check opens no data file; for a table without such lines the
+    footers are read, once.
+    """
+    path, held = layout.schemas(layer), {}
+    written = table_version(spark, layout.table(layer)) is not None
+    noted = written and files.exists(spark, path)
+    if noted:
+        for line in spark.read.text(path).collect():
+            held |= {f.name.lower(): f for f in T.StructType.fromJson(json.loads(line.value))}
+    elif written:
+        merged = read_layer(spark, layout, layer, merge_schema=True).schema
+        held = {f.name.lower(): f for f in merged}
+    problems = [
+        f"column {f.name} is {f.dataType.simpleString()}, in the table {old.dataType.simpleString()}"
+        for f in schema
+        if (old := held.get(f.name.lower())) and old.dataType.simpleString() != f.dataType.simpleString()
+    ]
+    if problems:
+        raise SchemaMismatch("; ".join(problems))
+    gained = [f for f in schema if f.name.lower() not in held]
+    if gained or not noted:
+        fields = gained if noted else [*held.values(), *gained]
+        line = spark.createDataFrame([(T.StructType(fields).json(),)], "value string")
+        # Nothing counts that was noted for a table without a committed batch.
+        line.coalesce(1).write.mode("append" if written else "overwrite").text(path)
+
+
 def compact(
     spark: SparkSession, path: str, snapshot: str, target_bytes: int = TARGET_FILE_BYTES
 ) -> str | None:
@@ -87,12 +124,16 @@ def compact(
 
 
 def reset(spark: SparkSession, layout: Layout) -> bool:
-    """Drop the tables and checkpoints of a run; True if there were any.
+    """Drop the tables, their noted schemas and checkpoints of a run; True if there were any.
 
     Always both: a table whose log outlives its checkpoint would take the first
     batches of the next run for batches it has already seen, and skip them.
     """
-    paths = [p for layer in LAYERS for p in (layout.checkpoint(layer), layout.table(layer))]
+    paths = [
+        place(layer)
+        for layer in LAYERS
+        for place in (layout.checkpoint, layout.table, layout.schemas)
+    ]
     return any([files.delete(spark, path) for path in paths])
 
 

@@ -15,7 +15,7 @@ from tweetflow.operators.layers import to_bronze, to_gold, to_silver
 from tweetflow.schemas import LAYERS, RAW
 from tweetflow.session import configure
 from tweetflow.sources import landing
-from tweetflow.sources.tables import Layout, read_layer, table_version
+from tweetflow.sources.tables import Layout, admit, read_layer, table_version
 
 #: Read what is there now, in bounded micro-batches, then end.
 BOUNDED = {"availableNow": True}
@@ -40,14 +40,16 @@ def start_bronze(
     schema: T.StructType = RAW,
     max_bytes: int = MAX_BATCH_BYTES,
     max_files: int | None = None,
+    corrupt_column: str | None = None,
 ) -> StreamingQuery:
     """Ingest new landing files. ``schema`` may have gained columns since the
-    last run; starting never drops what is there (see ``tables.reset``).
+    last run; starting never drops what is there (see ``tables.reset``). With
+    ``corrupt_column`` the table gains a column that keeps malformed lines.
 
     A micro-batch is bounded by ``max_files`` if given, else by ``max_bytes``.
     """
     bound = {"max_bytes": max_bytes} if max_files is None else {"max_files": max_files}
-    raw = landing.read_stream(spark, landing_dir, schema, **bound)
+    raw = landing.read_stream(spark, landing_dir, schema, corrupt_column=corrupt_column, **bound)
     return _append(to_bronze(raw), layout, "bronze", trigger)
 
 
@@ -93,6 +95,7 @@ def _read_upstream(
 
 
 def _append(df: DataFrame, layout: Layout, layer: str, trigger: dict) -> StreamingQuery:
+    admit(df.sparkSession, layout, layer, df.schema)
     # Names are unique among active queries; a second run of a layer beside the
     # first is named after its table as well.
     name = f"{layer}_stream"
