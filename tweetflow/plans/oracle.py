@@ -316,8 +316,8 @@ def oracle_sql() -> dict[str, str]:
         ),
         "run_log": evaluated(
             " UNION ALL ".join(
-                f"SELECT 'lexicon' AS run_name, '{m}' AS metric,"
-                f" round(CAST({m} AS DOUBLE), 9) AS value FROM evaluation"
+                f"SELECT 'lexicon' AS run_name, 'lexicon-11' AS model_name, true AS of_this_version,"
+                f" '{m}' AS metric, round(CAST({m} AS DOUBLE), 9) AS value FROM evaluation"
                 for m in (
                     "accuracy",
                     "weighted_precision",
@@ -326,7 +326,7 @@ def oracle_sql() -> dict[str, str]:
                     "n_rows",
                 )
             )
-            + " UNION ALL SELECT 'lexicon', 'n_' || sentiment_id || '_' || predicted_sentiment_id,"
+            + " UNION ALL SELECT 'lexicon', 'lexicon-11', true, 'n_' || sentiment_id || '_' || predicted_sentiment_id,"
             " CAST(n AS DOUBLE) FROM confusion"
         ),
         "progress_by_query": _with(

@@ -17,7 +17,7 @@ from tweetflow.functions.labels import apply_label_rule
 from tweetflow.functions.scorers import Scorer, lexicon_model, lexicon_scorer, model_scorer
 from tweetflow.operators import evaluation, mentions, progress, quality, throughput
 from tweetflow.operators.layers import bronze_to_gold, to_gold, to_silver
-from tweetflow.plans import feed
+from tweetflow.plans import feed, reports
 from tweetflow.schemas import GOLD, RAW, SILVER, T, enforce
 from tweetflow.session import configure, shared_dir
 from tweetflow.sources import files, landing, tables
@@ -490,21 +490,19 @@ def table_version(spark, sf_dir):
 @_query
 def run_log(spark, sf_dir):
     """Evaluate the gold table, log the run, read the log: one row per metric."""
-    made = _tables(spark, sf_dir)
-    runs = _new_dir(spark, "runs")
-    confusion = evaluation.confusion_matrix(read_layer(spark, made, "gold"))
-    version = tables.table_version(spark, made.table("silver"))
-    tables.log_run(
-        spark,
-        runs,
-        "lexicon",
-        evaluation.metrics_table(confusion),
-        {"model_name": "lexicon", "silver_table_version": version},
-    )
+    made, runs = _tables(spark, sf_dir), _new_dir(spark, "runs")
+    reports.log_evaluation(spark, made, "lexicon", "lexicon-11", runs=runs)
+    version = str(tables.table_version(spark, made.table("silver")))
+    params = F.col("params")
     return (
         tables.read_runs(spark, runs)
-        .select("run_name", F.explode("metrics").alias("metric", "value"))
-        .select("run_name", "metric", _rounded("value"))
+        .select(
+            "run_name",
+            params["model_name"].alias("model_name"),
+            (params["silver_table_version"] == version).alias("of_this_version"),
+            F.explode("metrics").alias("metric", "value"),
+        )
+        .withColumn("value", _rounded("value"))
     )
 
 

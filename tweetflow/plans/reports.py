@@ -56,17 +56,21 @@ def log_evaluation(
     run_name: str,
     model_name: str,
     params: dict[str, object] | None = None,
+    upstream: Layout | None = None,
+    runs: str | None = None,
 ) -> None:
     """Evaluate the gold table of a layout and log the result as one run, with
-    the version of the silver table it was made from."""
+    the version of the silver table it was made from: that of ``upstream`` where
+    gold was scored from another layout. The log is the layout's unless ``runs``
+    names another."""
     confusion = evaluation.confusion_matrix(read_layer(spark, layout, "gold"))
     recorded = {
         "model_name": model_name,
         "spark_version": spark.version,
-        "silver_table_version": table_version(spark, layout.table("silver")),
+        "silver_table_version": table_version(spark, (upstream or layout).table("silver")),
         **(params or {}),
     }
-    log_run(spark, layout.runs, run_name, evaluation.metrics_table(confusion), recorded)
+    log_run(spark, runs or layout.runs, run_name, evaluation.metrics_table(confusion), recorded)
 
 
 def progress_report(records: DataFrame) -> dict[str, DataFrame]:
