@@ -1,3 +1,6 @@
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -54,3 +57,44 @@ def test_merge_and_containment(spark, documents):
     ).first()
     assert row.ab == 1 and row.ba == pytest.approx(0.09, abs=0.03)
     assert row.ca == 0 and row.cc == 1 and row.same and row.bm == 1
+
+
+def exact(a, b):
+    """Jaccard similarity of the 5-word shingles of two texts, 1 for equal texts."""
+
+    def shingles(text):
+        found = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text)
+        found = [w.translate({c: c + 32 for c in range(65, 91)}) for w in found]
+        return {tuple(found[i : i + 5]) for i in range(max(1, len(found) - 4))} if found else set()
+
+    a_, b_ = shingles(a), shingles(b)
+    return 1.0 if a == b else len(a_ & b_) / max(len(a_ | b_), 1)
+
+
+def test_short_texts_are_compared_exactly(spark, documents):
+    rng = random.Random(7)
+    texts = []
+    for n in [*range(1, 30), 45, 60, 68] * 6:
+        base = [rng.choice("abcdefgh") * rng.randint(1, 3) + str(rng.randint(0, 40)) for _ in range(n)]
+        near = base[:-1] + ["other"]
+        texts += [" ".join(base), " ".join(base), " ".join(near), "!!!", "???", ""]
+    made = S.edited_fingerprints(documents(texts), tasks=3)
+    own = F.col("fingerprint")
+    made = made.withColumn("near", S.likeness(own, F.col("edited_fingerprint")))
+    rows = made.withColumn("near_next", S.likeness(own, F.col("next_fingerprint"))).collect()
+    for r in rows:
+        text, following = texts[r.doc_id], texts[r.doc_id - 1]
+        assert r.near == pytest.approx(exact(text, r.edited))
+        assert r.near_next == pytest.approx(exact(text, following))
+
+
+def test_short_beside_long(spark, documents):
+    long = " ".join(f"v{i}" for i in range(4000))
+    texts = [long, *(" ".join(f"v{j}" for j in range(i, i + 5)) for i in range(40)), long + " one more"]
+    prints = {r.doc_id: r.fingerprint for r in S.sketch(documents(texts), drop=("text",)).collect()}
+    pairs = spark.createDataFrame([(prints[i], prints[0]) for i in range(1, 42)], "a string, b string")
+    a, b = F.col("a"), F.col("b")
+    rows = pairs.select(S.containment(a, b).alias("in"), S.likeness(a, b).alias("like"), S.merge(a, b).alias("m")).collect()
+    assert {r["in"] for r in rows[:40]} == {1.0, None} and all(r.like < 0.01 for r in rows[:40])
+    assert all(r.m == prints[0] for r in rows[:40])
+    assert rows[40].like == pytest.approx(1, abs=0.01)

@@ -4,10 +4,15 @@ A sketch keeps every distinct shingle hash below a fixed fraction of the hash
 range. What is kept depends on the hash alone, so the sketch of a union is the
 union of the sketches, and the share of one document's hashes that another one
 has estimates containment however unequal the two are.
+
+Of few hashes too few would be kept to tell anything. A text of up to ``SHORT``
+distinct shingles therefore has all its hashes in its sketch, marked as such:
+two of those are compared exactly. Beside a longer text only the fraction counts.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,32 +25,46 @@ from tweetflow.llm.words import shingles, utf8, words
 
 #: Words of a shingle.
 SHINGLE = 5
-#: One hash in so many is kept.
-SCALE = 8
+#: One hash in so many is kept; a power of two.
+SCALE = 2
+#: Texts of up to so many distinct shingles keep all their hashes.
+SHORT = 64
 #: Hashes are written with so many hex digits.
 DIGITS = 10
 
 _BITS = np.uint64(64 - 4 * DIGITS)
+#: Hashes from here on are in complete sketches only.
+_LIMIT = f"{(1 << 4 * DIGITS) // SCALE:0{DIGITS}x}"
+#: Before the hashes of a complete sketch, and before the digest of a text without words.
+_ALL, _NO_WORDS = "=", "~"
 
 
-def sketch_column(column: pa.Array, scale: int = SCALE) -> list:
-    """Sorted hex hashes of each text, joined by commas; empty where none is kept.
+def sketch_column(column: pa.Array) -> list:
+    """Sorted hex hashes of each text, joined by commas; after ``=`` where they are all.
 
-    Equal texts have equal sketches; a null text has that of the empty one.
+    Equal texts have equal sketches. Only the empty text has an empty one, and a
+    null text has that of the empty one; another text without words has a digest
+    of its characters after ``~``.
     """
-    found = words(*utf8(column))
-    hashes, text = shingles(found, SHINGLE)
-    keep = hashes < np.uint64((1 << 64) // scale)
-    values = (hashes[keep] >> _BITS) + (text[keep].astype(np.uint64) << np.uint64(4 * DIGITS))
     if len(column) >= 1 << (64 - 4 * DIGITS):
         raise ValueError("too many texts in a slice")
-    values = np.unique(values)
-    ends = np.searchsorted(
-        values, np.arange(len(column) + 1, dtype=np.uint64) << np.uint64(4 * DIGITS)
-    )
+    found = words(*utf8(column))
+    hashes, text = shingles(found, SHINGLE)
+    shift = np.uint64(4 * DIGITS)
+    values = np.unique((hashes >> _BITS) + (text.astype(np.uint64) << shift))
+    counts = np.bincount((values >> shift).astype(np.int64), minlength=len(column))
+    low = (values << _BITS) < np.uint64((1 << 64) // SCALE)
+    values = values[low | np.repeat(counts <= SHORT, counts)]
+    ends = np.searchsorted(values, np.arange(len(column) + 1, dtype=np.uint64) << shift)
     raw = (values << _BITS).byteswap().tobytes().hex()
     cells = [raw[i * 16 : i * 16 + DIGITS] for i in range(len(values))]
-    return [",".join(cells[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+    out = [",".join(cells[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+    for i in np.flatnonzero(counts <= SHORT):
+        if counts[i]:
+            out[i] = _ALL + out[i]
+        elif said := column[int(i)].as_py():
+            out[i] = _NO_WORDS + hashlib.blake2b(said.encode(), digest_size=16).hexdigest()
+    return out
 
 
 def sketch(
@@ -56,26 +75,53 @@ def sketch(
     return out.withColumn(into, F.col(into).s)
 
 
-def _hashes(fingerprint: Column) -> Column:
-    return F.filter(F.split(fingerprint, ","), lambda x: x != "")
+def _complete(fingerprint: Column) -> Column:
+    """Whether all hashes of the text are there; so they are where it has no words."""
+    return (fingerprint == "") | fingerprint.startswith(_ALL) | fingerprint.startswith(_NO_WORDS)
+
+
+def _hashes(fingerprint: Column, every: Column) -> Column:
+    """The hashes below the limit, or all that are there."""
+    cells = F.split(F.regexp_replace(fingerprint, f"^{_ALL}|^{_NO_WORDS}.*", ""), ",")
+    return F.filter(cells, lambda x: (x != "") & (every | (x < _LIMIT)))
 
 
 def merge(a: Column, b: Column) -> Column:
-    """The sketch of the two documents taken together."""
-    return F.array_join(F.array_sort(F.array_union(_hashes(a), _hashes(b))), ",")
+    """The sketch of the two documents taken together; complete where both are.
+
+    Documents without words add nothing to one that has words; of two such
+    documents the greater sketch is taken.
+    """
+    every = _complete(a) & _complete(b)
+    hashes = F.array_sort(F.array_union(_hashes(a, every), _hashes(b, every)))
+    mark = F.when(every, _ALL).otherwise("")
+    without = F.greatest(a, b)
+    wordless = lambda x: (x == "") | x.startswith(_NO_WORDS)
+    return F.when(wordless(a) & wordless(b), without).otherwise(F.concat(mark, F.array_join(hashes, ",")))
 
 
 def containment(a: Column, b: Column) -> Column:
-    """Share of a's hashes that b has; 0 where a has none, but 1 for equal sketches."""
-    both = F.size(F.array_intersect(_hashes(a), _hashes(b)))
-    share = both / F.greatest(F.size(_hashes(a)), F.lit(1))
-    return F.when(a == b, 1.0).otherwise(share).cast("double")
+    """Share of a's hashes that b has: exact between complete sketches, else estimated.
+
+    1 for equal sketches, else 0 where a has no words, and null where it has
+    words but none of the hashes that could be compared with b's.
+    """
+    every = _complete(a) & _complete(b)
+    own = _hashes(a, every)
+    share = F.size(F.array_intersect(own, _hashes(b, every))) / F.greatest(F.size(own), F.lit(1))
+    unknown = a.startswith(_ALL) & (F.size(own) == 0)
+    return F.when(a == b, 1.0).when(~unknown, share).cast("double")
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Estimated Jaccard similarity: 1 for equal sketches, else shared over all hashes."""
-    both = F.size(F.array_intersect(_hashes(a), _hashes(b)))
-    either = F.size(_hashes(a)) + F.size(_hashes(b)) - both
+    """Jaccard similarity: 1 for equal sketches, else shared over all hashes.
+
+    Exact between complete sketches, else estimated. Texts without words are
+    like no others than their equals.
+    """
+    every = _complete(a) & _complete(b)
+    both = F.size(F.array_intersect(_hashes(a, every), _hashes(b, every)))
+    either = F.size(_hashes(a, every)) + F.size(_hashes(b, every)) - both
     share = both / F.greatest(either, F.lit(1))
     return F.when(a == b, 1.0).otherwise(share).cast("double")
 
