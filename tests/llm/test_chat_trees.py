@@ -102,6 +102,22 @@ def test_empty_table(spark):
     assert C.read_back(*C.chat_trees(spark.createDataFrame([], SCHEMA))).count() == 0
 
 
+def test_no_row_holds_a_long_conversation(spark):
+    """One id with 20,000 turns, and conversations that part from it or end on the way."""
+    long = [(None, i, "assistant" if i % 2 else "user", f"turn {i}") for i in range(20000)]
+    rows = [*long, *((1, *r[1:]) for r in long[:7000]), *((2, *r[1:]) for r in long[:9000]), (2, 9000, "user", "else")]
+    made = C.chat_trees(spark.createDataFrame(rows, SCHEMA))
+    assert made[0].count() == 20001
+    assert sorted(len(r.starts) for r in made[1].collect()) == [1, 3, 3]
+    assert all(len(r.attends) <= 2 for r in made[0].select("attends").collect())
+    got = {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars) for r in C.read_back(*made).collect()}
+    for conv, turns in grouped(rows).items():
+        said = "".join(f"{r}\n{t}\n" for r, t in turns)
+        loss = sum(len(t) for r, t in turns if r == "assistant")
+        assert got.pop(conv) == (len(turns), hashlib.sha256(said.encode()).hexdigest(), loss)
+    assert not got
+
+
 @given(st.text(alphabet="\\#</turn>:\n ab", max_size=30), st.text(alphabet="\\#</turn>:\n ab", max_size=30))
 def test_template_is_reversible(role, text):
     """The escapes of the columns, in plain Python, against the parser."""

@@ -7,10 +7,15 @@ the intervals of its tree's sequence that its tokens attend to besides the
 earlier tokens of the segment itself: those of its ancestors. Tokens are code
 points here.
 
-A tree is never held in one place. Conversations, as paths of turn digests, are
-sorted; a turn is new where a path parts from the one before it, and the sum of
-the new turns' lengths so far is where it is emitted. Texts stay out of the sort
-and are joined to their segments afterwards.
+Neither a tree nor a conversation is ever held in one place. Turns are rows, each
+with a digest of its conversation up to it. Turns that the same conversations go
+through follow one another as a run: a conversation is a path of runs, sorted
+with the others. A run is new where a path parts from the one before it, and the
+sum of the new runs' lengths so far is where it is emitted. Texts stay out of the
+sort and are joined to their segments afterwards.
+
+A path has a new run only where another conversation ends or parts from it, each
+time after more turns, so a path of k runs takes some k * k / 2 turns in the table.
 """
 
 from __future__ import annotations
@@ -22,14 +27,15 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tweetflow.llm.frames import pick, stored
+from tweetflow.llm.frames import bound_batches, pick, stored
 
 #: The template: a turn is HEAD role SEP text END.
 HEAD, SEP, END = "### ", ": ", "</turn>\n"
 _TURN = re.compile(r"### ((?:\\.|[^\\:])*): ((?:\\.|[^\\])*?)</turn>\n", re.DOTALL)
 _ESCAPED = re.compile(r"\\(.)", re.DOTALL)
-_DIGEST = 32  # hex digits of a turn in a path
+_DIGEST = 32  # hex digits of a run in a path
 
 
 def escape(text: Column) -> Column:
@@ -72,7 +78,7 @@ def _turns(conversations: DataFrame, conv_id: str, turn: str, role: str, text: s
     return own.select(
         "conv_id",
         "turn",
-        F.substring(F.sha2(body, 256), 1, _DIGEST).alias("digest"),
+        F.unhex(F.substring(F.sha2(body, 256), 1, _DIGEST)).alias("digest"),
         role_.alias("role"),
         body.alias("body"),
         F.length(body).cast("bigint").alias("chars"),
@@ -80,11 +86,81 @@ def _turns(conversations: DataFrame, conv_id: str, turn: str, role: str, text: s
     )
 
 
-def _paths(turns: DataFrame) -> DataFrame:
-    """``conv_id, path_key, path, chars``: a conversation as digests and lengths of its turns."""
-    ordered = F.array_sort(F.collect_list(F.struct("turn", "role", "digest", "chars")))
-    grouped = turns.groupBy("conv_id").agg(ordered.alias("t"))
-    path = F.array_join(F.transform("t", lambda t: t.digest), "")
+def _chained(turns: DataFrame) -> DataFrame:
+    """The turns in order, without texts: ``conv_id, depth, node, digest, chars, position``.
+
+    ``node`` is a digest of the conversation up to and with the turn.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        conv, depth = None, None
+        for batch in batches:
+            depths, nodes, positions = [], [], []
+            columns = (batch.column(c).to_pylist() for c in ("conv_id", "digest", "chars"))
+            for number, digest, chars in zip(*columns, strict=True):
+                if depth is None or number != conv:
+                    conv, depth, node, position = number, 0, b"", 0
+                node = hashlib.blake2b(node + digest, digest_size=_DIGEST // 2).digest()
+                depths.append(depth)
+                nodes.append(node)
+                positions.append(position)
+                depth += 1
+                position += chars
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("conv_id"), pa.array(depths, pa.int64()), pa.array(nodes, pa.binary()),
+                 batch.column("digest"), batch.column("chars"), pa.array(positions, pa.int64())],
+                names=["conv_id", "depth", "node", "digest", "chars", "position"],
+            )
+
+    schema = T.StructType.fromDDL("depth bigint, node binary, digest binary, chars bigint, position bigint")
+    ordered = turns.select("conv_id", "turn", "role", "digest", "chars").repartition("conv_id")
+    ordered = ordered.sortWithinPartitions("conv_id", "turn", "role", "digest", "chars")
+    return ordered.mapInArrow(run, T.StructType([turns.schema["conv_id"], *schema]))
+
+
+def _in_runs(chained: DataFrame) -> DataFrame:
+    """The turns with ``run`` and ``run_position``, the node and place of their run's first turn.
+
+    A run goes on as long as as many rows go through the next turn; ``closes``
+    is true of its last turn.
+    """
+    names = ["conv_id", "depth", "node", "digest", "chars", "position", "run", "run_position", "closes"]
+    types = [pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.bool_()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, through, conv_type = None, None, None
+
+        def rows(out):
+            columns = zip(*out, strict=True) if out else [[]] * len(names)
+            arrays = [pa.array(x, t) for x, t in zip(columns, [conv_type, *types], strict=True)]
+            return pa.RecordBatch.from_arrays(arrays, names=names)
+
+        for batch in batches:
+            conv_type, out = batch.schema.field("conv_id").type, []
+            for *turn, n in zip(*(batch.column(c).to_pylist() for c in (*names[:6], "n")), strict=True):
+                fresh = turn[1] == 0 or n != through
+                if held is not None:
+                    out.append((*held, fresh))
+                if fresh:
+                    head, at = turn[2], turn[5]
+                held, through = (*turn, head, at), n
+            yield rows(out)
+        if held is not None:
+            yield rows([(*held, True)])
+
+    schema = T.StructType.fromDDL("run binary, run_position bigint, closes boolean")
+    counts = chained.groupBy("node").agg(F.count("*").alias("n"))
+    ordered = chained.join(counts, "node").select(*names[:6], "n").repartition("conv_id")
+    ordered = ordered.sortWithinPartitions("conv_id", "depth")
+    return ordered.mapInArrow(run, T.StructType([*chained.schema, *schema]))
+
+
+def _paths(turned: DataFrame) -> DataFrame:
+    """``conv_id, path_key, path, chars``: a conversation as first nodes and lengths of its runs."""
+    length = F.col("position") + F.col("chars") - F.col("run_position")
+    run = F.struct("depth", F.lower(F.hex("run")).alias("run"), length.alias("chars"))
+    grouped = turned.filter("closes").groupBy("conv_id").agg(F.array_sort(F.collect_list(run)).alias("t"))
+    path = F.array_join(F.transform("t", lambda t: t.run), "")
     return grouped.select(
         "conv_id",
         path.alias("path"),
@@ -106,13 +182,13 @@ def _common(a: list[str], b: list[str]) -> int:
 
 
 class _Walk:
-    """Paths in order: which turns of each are new, and where each turn is emitted."""
+    """Paths in order: which runs of each are new, and where each run is emitted."""
 
     def __init__(self, path: list[str], starts: list[int], at: int):
         self.path, self.starts, self.at = path, starts, at
 
     def step(self, path: list[str], chars: list[int]) -> int:
-        """Go on to ``path``; how many of its turns have been emitted before."""
+        """Go on to ``path``; how many of its runs have been emitted before."""
         shared = _common(self.path, path)
         starts = self.starts[:shared]
         for n in chars[shared:]:
@@ -153,20 +229,38 @@ def _carried(summaries: list) -> dict[int, tuple[list[str], list[int], int]]:
     for s in sorted(summaries, key=lambda s: s.part):
         carried[s.part] = (path, starts, at)
         shared = _common(path, _digests(s.first))
-        # Turns shared with the path before were emitted there, not here.
+        # Runs shared with the path before were emitted there, not here.
         spared = sum(s.first_chars[:shared])
         here = [starts[j] if x < spared else at + x - spared for j, x in enumerate(s.last_starts)]
         path, starts, at = _digests(s.last), here, at + s.total - spared
     return carried
 
 
+_INTERVAL = pa.struct([("start", pa.int64()), ("end", pa.int64())])
+_PLACED = pa.schema(
+    [
+        ("tree", pa.int64()),
+        ("path_key", pa.string()),
+        ("starts", pa.list_(pa.int64())),
+        ("chars", pa.list_(pa.int64())),
+        ("run", pa.binary()),
+        ("run_start", pa.int64()),
+        ("before", pa.list_(_INTERVAL)),
+    ]
+)
 PLACES = (
-    "path_key string, tree bigint, starts array<bigint>, digests array<string>, chars array<bigint>, shared int"
+    "tree bigint, path_key string, starts array<bigint>, chars array<bigint>, run binary, run_start bigint,"
+    " before array<struct<start:bigint,end:bigint>>"
 )
+_HELD = 1 << 16  # starts and intervals in a batch
 
 
 def _places(sorted_paths: DataFrame) -> DataFrame:
-    """Each distinct path with the places of its turns; ``shared`` of them came before."""
+    """A row for each distinct path, with the places of its runs, and one for each run.
+
+    The row of a run has no ``path_key``; ``before`` are the intervals of the
+    runs before it, those that touch joined.
+    """
     schema = (
         "part int, first string, first_chars array<bigint>, last string, last_starts array<bigint>,"
         " total bigint"
@@ -175,42 +269,51 @@ def _places(sorted_paths: DataFrame) -> DataFrame:
     columns = parts.select("part", "path", "chars", "path_key")
     carried = _carried(columns.mapInArrow(_summaries, schema).collect())  # one row per part
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         part, walk = None, None
         for batch in batches:
             columns = (batch.column(c).to_pylist() for c in ("part", "path", "chars", "path_key"))
-            out = []
             for number, path, chars, key in zip(*columns, strict=True):
                 if number != part:
                     before, starts, at = carried[number]
                     part, walk = number, _Walk(before, list(starts), at)
-                digests = _digests(path)
-                shared = walk.step(digests, chars)
+                shared = walk.step(_digests(path), chars)
                 tree = walk.starts[0]
-                out.append((key, tree, [s - tree for s in walk.starts], digests, chars, shared))
-            types = [pa.string(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.string()), pa.list_(pa.int64()), pa.int32()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x, t) for x, t in zip(zip(*out, strict=True), types, strict=True)]
-                if out else [pa.array([], t) for t in types],
-                names=["path_key", "tree", "starts", "digests", "chars", "shared"],
-            )
+                starts = [s - tree for s in walk.starts]
+                yield {"tree": tree, "path_key": key, "starts": starts, "chars": chars}
+                attends = []
+                for i, (start, n) in enumerate(zip(starts, chars, strict=True)):
+                    if i >= shared:
+                        run = bytes.fromhex(walk.path[i])
+                        yield {"tree": tree, "run": run, "run_start": start, "before": [*attends]}
+                    if attends and attends[-1]["end"] == start:
+                        attends[-1] = {"start": attends[-1]["start"], "end": start + n}
+                    else:
+                        attends.append({"start": start, "end": start + n})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out, held = [], 0
+        for row in rows(batches):
+            out.append(row)
+            held += 8 + len(row.get("starts", ())) + len(row.get("before", ()))
+            if held > _HELD:
+                yield pa.RecordBatch.from_pylist(out, schema=_PLACED)
+                out, held = [], 0
+        yield pa.RecordBatch.from_pylist(out, schema=_PLACED)
 
     return columns.mapInArrow(run, PLACES)
 
 
-def _intervals(nodes: Column) -> Column:
-    """``(start, end)`` of nodes in order, with those that touch joined."""
-    empty = F.array().cast("array<struct<start:bigint,end:bigint>>")
-    return F.aggregate(
-        nodes,
-        empty,
-        lambda acc, n: F.when(
-            (F.size(acc) > 0) & (F.element_at(acc, -1).end == n.start),
-            F.concat(
-                F.slice(acc, 1, F.size(acc) - 1),
-                F.array(F.struct(F.element_at(acc, -1).start.alias("start"), n.end.alias("end"))),
-            ),
-        ).otherwise(F.concat(acc, F.array(n))),
+def _attends() -> Column:
+    """The intervals before the run, and the turns of the run before this one."""
+    before, start = F.col("before"), F.col("run_start")
+    last = F.element_at(before, -1)
+    touches = (F.size(before) > 0) & F.coalesce(F.try_element_at(before, F.lit(-1)).end == start, F.lit(False))
+    interval = lambda a: F.array(F.struct(a.alias("start"), F.col("start").alias("end")))
+    return (
+        F.when(F.col("start") == start, before)
+        .when(touches, F.concat(F.slice(before, 1, F.size(before) - 1), interval(last.start)))
+        .otherwise(F.concat(before, interval(start)))
     )
 
 
@@ -225,11 +328,12 @@ def chat_trees(
     """``(segments, paths, members)`` of all conversations.
 
     ``segments``: ``tree, start, end, position, depth, attends, role, body,
-    loss``, each turn once per tree; ``start`` and ``end`` are places in the
-    tree's sequence, ``position`` the place in the conversation, ``attends`` the
-    ancestors' intervals, ``loss`` what to learn of ``body``. ``paths``:
-    ``path_key, tree, starts, chars`` of each distinct conversation; ``members``:
-    ``conv_id, path_key``.
+    loss, run_start``, each turn once per tree; ``start`` and ``end`` are places
+    in the tree's sequence, ``position`` the place in the conversation,
+    ``attends`` the ancestors' intervals, ``loss`` what to learn of ``body``,
+    ``run_start`` where the turn's run begins. ``paths``: ``path_key, tree,
+    starts, chars`` of each distinct conversation, with places and lengths of its
+    runs; ``members``: ``conv_id, path_key``.
 
     Turns are ordered by number, then role and text digest, so turns that share
     a number have a fixed order and repeated rows stay repeated turns. Null
@@ -237,7 +341,9 @@ def chat_trees(
     null turn numbers come first.
     """
     turns = _turns(conversations, conv_id, turn, role, text)
-    paths = stored(_paths(turns), "paths")
+    bound_batches(conversations.sparkSession)
+    turned = stored(_in_runs(stored(_chained(turns), "chained")), "turned")
+    paths = stored(_paths(turned), "paths")
     members = paths.select("conv_id", "path_key")
     # Copies of a conversation are one path, reduced before the shuffle.
     distinct = paths.groupBy("path_key").agg(
@@ -246,76 +352,85 @@ def chat_trees(
     parts = int(conversations.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = distinct.repartitionByRange(parts, "path").withColumn("part", F.spark_partition_id())
     placed = stored(_places(stored(ranged, "sorted")), "places")
-    node = F.transform(
-        F.sequence(F.lit(1), F.size("starts")),
-        lambda i: F.struct(
-            F.element_at("starts", i).alias("start"),
-            (F.element_at("starts", i) + F.element_at("chars", i)).alias("end"),
-        ),
-    )
+    # What a turn is and where it stands in its run is the same in all conversations through it.
+    columns = ("depth", "digest", "chars", "position", "run", "run_position")
+    nodes = turned.groupBy("node").agg(*(F.first(c).alias(c) for c in columns))
+    runs = placed.filter(F.col("path_key").isNull()).select("tree", "run", "run_start", "before")
+    start = F.col("run_start") + F.col("position") - F.col("run_position")
     new = (
-        placed.filter(F.size("starts") > F.col("shared"))
-        .withColumn("node", node)
-        .select(
-            "tree",
-            "node",
-            "digests",
-            F.explode(F.sequence(F.col("shared") + 1, F.size("starts"))).alias("i"),
-        )
+        nodes.join(runs, "run")
+        .withColumn("start", start)
         .select(
             "tree",
-            F.element_at("node", F.col("i")).start.alias("start"),
-            F.element_at("node", F.col("i")).end.alias("end"),
-            F.aggregate(
-                F.slice("node", F.lit(1), F.col("i") - 1),
-                F.lit(0).cast("bigint"),
-                lambda acc, n: acc + n.end - n.start,
-            ).alias("position"),
-            (F.col("i") - 1).alias("depth"),
-            _intervals(F.slice("node", F.lit(1), F.col("i") - 1)).alias("attends"),
-            F.element_at("digests", F.col("i")).alias("digest"),
+            "start",
+            (F.col("start") + F.col("chars")).alias("end"),
+            "position",
+            F.col("depth").cast("int").alias("depth"),
+            _attends().alias("attends"),
+            "digest",
+            "run_start",
         )
     )
     bodies = turns.groupBy("digest").agg(
         F.first("role").alias("role"), F.first("body").alias("body"), F.first("loss").alias("loss")
     )
-    segments = stored(new.join(bodies, "digest").drop("digest"), "segments")
-    return segments, placed.select("path_key", "tree", "starts", "chars"), members
+    segments = stored(
+        new.join(bodies, "digest").select(
+            "tree", "start", "end", "position", "depth", "attends", "role", "body", "loss", "run_start"
+        ),
+        "segments",
+    )
+    told = placed.filter(F.col("path_key").isNotNull()).select("path_key", "tree", "starts", "chars")
+    return segments, told, members
 
 
 def read_back(segments: DataFrame, paths: DataFrame, members: DataFrame) -> DataFrame:
     """Each conversation as it is found in the trees: ``conv_id`` and what was read.
 
     ``n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars``. A path
-    is read once, however many conversations it stands for.
+    is read once, however many conversations it stands for, turn by turn: no
+    more of it is held than a batch of turns.
     """
-    asked = paths.select("path_key", "tree", F.posexplode("starts").alias("depth", "start"))
-    found = asked.join(segments.select("tree", "start", "body", "loss"), ["tree", "start"])
-    texts = found.groupBy("path_key").agg(
-        F.array_sort(F.collect_list(F.struct("depth", "body", "loss"))).alias("s")
-    )
+    bound_batches(segments.sparkSession)
+    asked = paths.select("path_key", "tree", F.explode("starts").alias("run_start"))
+    found = segments.select("tree", "run_start", "start", "body", "loss").join(asked, ["tree", "run_start"])
+    texts = found.select("path_key", "start", "body", "loss").repartition("path_key")
+    texts = texts.sortWithinPartitions("path_key", "start")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, n_turns, loss_chars, formatted = None, 0, 0, 0
+        said, learnt = hashlib.sha256(), hashlib.sha256()
+
+        def row():
+            return {
+                "path_key": key,
+                "n_turns": n_turns,
+                "turns_sha256": said.hexdigest(),
+                "loss_chars": loss_chars,
+                "loss_sha256": learnt.hexdigest(),
+                "formatted_chars": formatted,
+            }
+
         for batch in batches:
             out = []
-            for key, s in zip(*(batch.column(c).to_pylist() for c in ("path_key", "s")), strict=True):
-                whole = "".join(x["body"] for x in s)
-                told = parse(whole)
-                learnt = "".join(
-                    unescape(x["body"][x["loss"]["start"] : x["loss"]["end"]]) for x in s if x["loss"]
-                )
-                said = "".join(f"{role}\n{text}\n" for role, text in told)
-                out.append(
-                    {
-                        "path_key": key,
-                        "n_turns": len(told),
-                        "turns_sha256": hashlib.sha256(said.encode()).hexdigest(),
-                        "loss_chars": len(learnt),
-                        "loss_sha256": hashlib.sha256(learnt.encode()).hexdigest(),
-                        "formatted_chars": len(whole),
-                    }
-                )
+            columns = (batch.column(c).to_pylist() for c in ("path_key", "body", "loss"))
+            for path, body, loss in zip(*columns, strict=True):
+                if path != key:
+                    if key is not None:
+                        out.append(row())
+                    key, n_turns, loss_chars, formatted = path, 0, 0, 0
+                    said, learnt = hashlib.sha256(), hashlib.sha256()
+                for role, text in parse(body):
+                    n_turns += 1
+                    said.update(f"{role}\n{text}\n".encode())
+                if loss:
+                    part = unescape(body[loss["start"] : loss["end"]])
+                    loss_chars += len(part)
+                    learnt.update(part.encode())
+                formatted += len(body)
             yield pa.RecordBatch.from_pylist(out, schema=_READ)
+        if key is not None:
+            yield pa.RecordBatch.from_pylist([row()], schema=_READ)
 
     read = texts.mapInArrow(
         run,

@@ -66,7 +66,7 @@ _BATCH = {
 }
 
 
-def _bound_batches(spark: SparkSession) -> None:
+def bound_batches(spark: SparkSession) -> None:
     """Lower the session's bounds of Arrow batches where they are higher; no result depends on them."""
     for key, most in _BATCH.items():
         now = spark.conf.get(key, None)
@@ -89,7 +89,7 @@ def annotate(
     are: no shuffle, one result per row, repeated rows included. ``drop`` names
     columns that are not sent back.
     """
-    _bound_batches(df.sparkSession)
+    bound_batches(df.sparkSession)
     struct = T.StructType.fromDDL(fields)
     kept = [f for f in df.schema.fields if f.name not in drop]
     schema = T.StructType([*kept, T.StructField(into, struct)])
