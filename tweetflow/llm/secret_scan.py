@@ -154,15 +154,29 @@ def fit_on_corpus(docs: DataFrame, text: str = "text") -> RandomnessModel:
     return RandomnessModel.fit(random, ordinary)
 
 
+def _pieces(text: str, base: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
+    """The runs, cut at the spans of known forms; pieces that are long enough to be judged."""
+    first = 0
+    for match in RUN.finditer(text):
+        at, end = match.span()
+        while first < len(base) and base[first][2] <= at:
+            first += 1
+        for start, _, stop in base[first:]:
+            if start >= end:
+                break
+            if start - at >= LEAST_RUN:
+                yield at, start
+            at = max(at, stop)
+        if end - at >= LEAST_RUN:
+            yield at, end
+
+
 def find_secrets(text: str, model: RandomnessModel) -> list[tuple[int, str, int]]:
-    """``(start, kind, end)``: the known forms, and random runs that touch none of them."""
+    """``(start, kind, end)``: the known forms, and random runs or what the forms leave of them."""
     base = base_spans(text)
     found = [(start, KINDS[kind], end) for start, kind, end in base]
-    for match in RUN.finditer(text):
-        start, end = match.span()
-        if any(s < end and start < e for s, _, e in base):
-            continue
-        if model.is_random(match.group()):
+    for start, end in _pieces(text, base):
+        if model.is_random(text[start:end]):
             found.append((start, "random", end))
     order = {kind: i for i, kind in enumerate((*KINDS, "random"))}
     return sorted(found, key=lambda x: (x[0], order[x[1]], x[2]))
