@@ -78,3 +78,20 @@ def test_window_is_found_by_its_rarest_shingle():
     counts = {int(g): 9 for g in D.grams(part.hashes[0], D.SHINGLE)} | {int(rare): 2}
     index = D.Index(part, counts)
     assert index.keys.keys.tolist() == [rare] and index.offset.tolist() == [4]
+
+
+def test_many_blocks_hold_one_index_at_a_time(spark, documents, odd_texts, monkeypatch):
+    passes, counts = [], D.shingle_counts
+    monkeypatch.setattr(D, "shingle_counts", lambda *a: passes.append(1) or counts(*a))
+    texts = planted(odd_texts)
+    items = spark.createDataFrame(ITEMS, "item_id bigint, text string")
+    out = D.decontaminate(documents(texts), items, block_bytes=150)
+    blocks = -(-sum(len(t or "") for _, t in ITEMS) // 150)
+    assert blocks > 2 and len(passes) == blocks
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    whole = D.decontaminate(documents(texts), items)
+    key = lambda r: r.doc_id
+    assert sorted(out.select("doc_id", "contamination").collect(), key=key) == sorted(
+        whole.select("doc_id", "contamination").collect(), key=key
+    )

@@ -8,21 +8,24 @@ begin; it must lie within the document (length and positional bound), and then
 the words themselves are compared.
 
 Items are worked off in blocks of bounded size. A block's index goes to the
-executors and the documents stream past it where they lie, so no document is
-shuffled; a larger benchmark means more blocks, not a larger broadcast.
+executors and the documents stream past it where they lie; a larger benchmark
+means more blocks, not a larger broadcast. One block shuffles no document. Of
+several, each stores what it finds before the next begins, so a task holds one
+index at a time; the documents are stored once, with a number for each row.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tweetflow.llm.frames import annotate, free_name, pick
+from tweetflow.llm.frames import annotate, free_name, pick, stored
 from tweetflow.llm.words import grams, lower_words, slices, utf8, words
 
 #: Words of a window, and words of the shingles that are ordered by rarity.
@@ -91,28 +94,36 @@ def item_windows(rows: list[tuple[str, str | None]], window: int = WINDOW) -> li
     return list(sizes.values())
 
 
-def shingle_counts(docs: DataFrame, text: str, size: int, keys: np.ndarray) -> dict[int, int]:
-    """How often each of the given shingles occurs in all documents.
+def shingle_counts(docs: DataFrame, text: str, keys: dict[int, np.ndarray]) -> dict[int, dict[int, int]]:
+    """How often each of the given shingles, by their size, occurs in all documents; in one pass.
 
     Each task sums up what it reads; what comes back is one number per key.
     """
+    if not keys:
+        return {}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Keys(keys)
-        total = np.zeros(len(known.keys), np.int64)
+        known = {size: Keys(some) for size, some in keys.items()}
+        total = {size: np.zeros(len(k.keys), np.int64) for size, k in known.items()}
         for batch in slices(batches, "text"):
             found = words(*utf8(batch.column("text")))
-            at, number = known.find(grams(found.hashes, size))
-            whole = at + size <= found.first[np.searchsorted(found.first, at, side="right")]
-            total += np.bincount(number[whole], minlength=len(total))
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(known.keys[some].view(np.int64)), pa.array(total[some])], names=["key", "n"]
-        )
-
-    counted = pick(docs, text=text).mapInArrow(run, "key bigint, n bigint")
-    rows = counted.groupBy("key").agg(F.sum("n").alias("n")).collect()
-    return {row.key & (2**64 - 1): row.n for row in rows}
+            for size, k in known.items():
+                at, number = k.find(grams(found.hashes, size))
+                whole = at + size <= found.first[np.searchsorted(found.first, at, side="right")]
+                total[size] += np.bincount(number[whole], minlength=len(total[size]))
+        for size, k in known.items():
+            some = np.flatnonzero(total[size])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([size] * len(some), pa.int32()), pa.array(k.keys[some].view(np.int64)),
+                 pa.array(total[size][some])],
+                names=["size", "key", "n"],
+            )
+
+    counted = pick(docs, text=text).mapInArrow(run, "size int, key bigint, n bigint")
+    out: dict[int, dict[int, int]] = {size: {} for size in keys}
+    for row in counted.groupBy("size", "key").agg(F.sum("n").alias("n")).collect():
+        out[row["size"]][row.key & (2**64 - 1)] = row.n
+    return out
 
 
 class Index:
@@ -227,21 +238,41 @@ def decontaminate(
     size = benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-size // block_bytes))
     block = F.pmod(F.xxhash64("item", "text"), F.lit(blocks))
-    out, parts = docs, []
-    for number in range(blocks):
-        rows = [tuple(r) for r in benchmark.filter(block == number).distinct().collect()]
-        indexes = []
-        for part in item_windows(rows):
-            keys = np.concatenate([grams(h, part.size) for h in part.hashes])
-            indexes.append(Index(part, shingle_counts(docs, text, part.size, keys)))
-        parts.append(free_name(out, f"{into}_{number}"))
+    part = free_name(docs, f"{into}_part")
+    number = free_name(docs, "row_number_")
+    fields = f"n_words bigint, spans {SPANS}"
+    source = docs
+    if blocks > 1:
+        source = stored(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    hits = []
+    for i in range(blocks):
+        rows = [tuple(r) for r in benchmark.filter(block == i).distinct().collect()]
+        windows = item_windows(rows)
+        keys = {w.size: np.concatenate([grams(h, w.size) for h in w.hashes]) for w in windows}
+        counts = shingle_counts(source, text, keys)
+        indexes = [Index(w, counts[w.size]) for w in windows]
         shared = docs.sparkSession.sparkContext.broadcast(indexes)
-        out = annotate(
-            out, text, lambda b=shared: _scan(b.value), f"n_words bigint, spans {SPANS}", parts[-1],
-            drop=drop if number == blocks - 1 else (),
-        )
-    spans = F.concat(*(F.col(p).spans for p in parts))
-    n_words, n_hit = F.col(parts[0]).n_words, _covered(spans)
+        prepare = lambda b=shared: _scan(b.value)
+        if blocks == 1:
+            out = annotate(docs, text, prepare, fields, part, drop)
+        else:
+            found = annotate(source.select(number, text), text, prepare, fields, part, (text,))
+            found = found.select(number, F.col(part).spans.alias(part)).filter(F.size(part) > 0)
+            hits.append(stored(found, "hits"))
+            shared.unpersist()
+    if blocks > 1:
+        counted = annotate(source, text, lambda: lambda c: [words(*utf8(c)).counts], "n_words bigint", part, drop)
+        every = reduce(DataFrame.unionAll, hits).groupBy(number).agg(F.flatten(F.collect_list(part)).alias(part))
+        # In the order that one block would give.
+        ordered = F.array_sort(F.transform(part, lambda s: F.struct(s["item"], s.start, s.end)))
+        spans = F.transform(ordered, lambda s: F.struct(s.start, s.end, s["item"]))
+        none, own = F.array().cast(SPANS), free_name(counted, "spans")
+        joined = counted.join(every.select(number, spans.alias(own)), number, "left")
+        out = joined.withColumn(
+            part, F.struct(F.col(part).n_words.alias("n_words"), F.coalesce(F.col(own), none).alias("spans"))
+        )
+    spans = F.col(part).spans
+    n_words, n_hit = F.col(part).n_words, _covered(spans)
     result = F.struct(
         n_words.alias("n_words"),
         n_hit.alias("n_hit"),
