@@ -44,3 +44,8 @@ def duck_rows(connection, sql):
     result = connection.execute(sql)
     columns = [d[0] for d in result.description]
     return canonical(columns, result.fetchall())
+
+
+def multiset(df):
+    """Rows in an order that does not depend on how they were computed."""
+    return sorted((tuple(row) for row in df.collect()), key=repr)

@@ -50,8 +50,3 @@ def scorer():
 @pytest.fixture(scope="session")
 def sf_dir():
     return "/root/testdata/sf0.001"
-
-
-def multiset(df):
-    """Rows in an order that does not depend on how they were computed."""
-    return sorted((tuple(row) for row in df.collect()), key=repr)

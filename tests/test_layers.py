@@ -1,7 +1,7 @@
 from datetime import datetime
 
 import pytest
-from conftest import multiset
+from compare import multiset
 from pyspark.sql import functions as F
 
 from tweetflow.operators.layers import bronze_to_gold, to_bronze, to_gold, to_silver

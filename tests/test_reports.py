@@ -4,7 +4,7 @@ import random
 from collections import Counter
 
 import pytest
-from conftest import multiset
+from compare import multiset
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 

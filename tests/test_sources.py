@@ -4,7 +4,7 @@ import os
 import shutil
 
 import pytest
-from conftest import multiset
+from compare import multiset
 from pyspark.sql import functions as F
 
 from tweetflow.operators.evaluation import confusion_matrix, eval_summary, metrics_table

@@ -3,7 +3,7 @@
 import time
 
 import pytest
-from conftest import multiset
+from compare import multiset
 from pyspark.sql import functions as F
 
 from tweetflow.functions.scorers import lexicon_model, model_scorer
