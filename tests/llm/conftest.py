@@ -1,22 +1,12 @@
 from __future__ import annotations
 
-import re
-
 import pytest
 
-_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-
 DOCUMENT = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
 LONG = "Ein langer Satz über Bäume und Häuser. " * 4000
 
 
-def plain_words(text: str | None) -> list[str]:
-    """Words as the contracts define them, by the pattern over code points."""
-    return _WORD.findall((text or "").translate(_LOWER))
-
-
 @pytest.fixture(scope="session")
 def odd_texts():
     """Null, empty, blank, very long and repeated texts, ties and awkward characters."""

@@ -1,5 +1,5 @@
 import pytest
-from conftest import plain_words
+from plain import plain_words
 
 from tweetflow.llm import decontaminate as D
 

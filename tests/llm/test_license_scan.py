@@ -1,6 +1,6 @@
 import math
 
-from conftest import plain_words
+from plain import plain_words
 
 from tweetflow.llm import license_scan as L
 

@@ -5,7 +5,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import pytest
-from conftest import plain_words
+from plain import plain_words
 
 from tweetflow.llm import prob_minhash as P
 from tweetflow.llm.words import utf8, words

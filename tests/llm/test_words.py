@@ -1,6 +1,6 @@
 import numpy as np
 import pyarrow as pa
-from conftest import plain_words
+from plain import plain_words
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
