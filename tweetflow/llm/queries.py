@@ -103,16 +103,14 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    made = sketches.edited_fingerprints(_texts(spark, sf_dir))
-    own = F.col("fingerprint")
-    return made.select(
+    return sketches.edited_fingerprints(_texts(spark, sf_dir)).select(
         "doc_id",
         "n_chars",
         F.sha2("edited", 256).alias("edited_sha256"),
         "fingerprint",
         "edited_fingerprint",
-        sketches.likeness(own, F.col("edited_fingerprint")).alias("near_edited"),
-        sketches.likeness(own, F.col("next_fingerprint")).alias("near_next"),
+        "near_edited",
+        "near_next",
     )
 
 
