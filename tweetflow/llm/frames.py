@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import count
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,6 +47,34 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def text_key(*columns: Column) -> tuple[Column, Column]:
+    """Two 64-bit hashes that stand for the values together; nulls count as such."""
+    parts = [F.coalesce(c.cast("string"), F.lit("")) for c in columns]
+    nulls = [c.isNull() for c in columns]
+    return tuple(F.xxhash64(F.lit(seed), *nulls, *parts) for seed in (1, 2))
+
+
+def shard_number() -> Iterator[int]:
+    """Numbers that no other task of the stage gives out."""
+    return count(TaskContext.get().partitionId() << 32)
+
+
+def looked_up(
+    shards: DataFrame, keys: str, values: DataFrame, key: str, columns: tuple[str, ...]
+) -> DataFrame:
+    """``shards`` with an array per column of ``values``, entry by entry of the array ``keys``.
+
+    Shards have a ``shard`` number and distinct entries in ``keys``, all of
+    which occur once in ``key`` of ``values``. What is joined is one row per
+    shard and entry, so a key that every row holds comes once per shard.
+    """
+    entries = shards.select("shard", F.posexplode(keys).alias("at", key))
+    found = entries.join(values.select(key, *columns), key)
+    packed = found.groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("at", *columns))).alias("found"))
+    wide = shards.join(packed, "shard", "left")
+    return wide.select(*shards.columns, *(F.col("found")[c].alias(c) for c in columns))
+
+
 def fold(column: str | Column) -> Column:
     """crc32 of the id as text, modulo 3; a null id has fold 1, the held-out one."""
     text = (F.col(column) if isinstance(column, str) else column).cast("string")
@@ -77,17 +107,19 @@ def bound_batches(spark: SparkSession) -> None:
 def annotate(
     df: DataFrame,
     column: str,
-    prepare: Callable[[], Callable[[pa.Array], list[pa.Array]]],
+    prepare: Callable[[], Callable[..., list[pa.Array]]],
     fields: str,
     into: str,
     drop: tuple[str, ...] = (),
+    beside: tuple[str, ...] = (),
 ) -> DataFrame:
     """``df`` with a struct column ``into`` computed from the texts of ``column``.
 
     ``prepare`` runs once per task and returns a function from a slice of the
     column to the arrays of ``fields`` (a DDL string). Rows stay where they
     are: no shuffle, one result per row, repeated rows included. ``drop`` names
-    columns that are not sent back.
+    columns that are not sent back, ``beside`` further columns that the function
+    is given.
     """
     bound_batches(df.sparkSession)
     struct = T.StructType.fromDDL(fields)
@@ -100,7 +132,7 @@ def annotate(
         for batch in slices(batches, column):
             arrays = [
                 a if isinstance(a, pa.Array) and a.type == f.type else pa.array(a, f.type)
-                for a, f in zip(function(batch.column(column)), arrow, strict=True)
+                for a, f in zip(function(*map(batch.column, (column, *beside))), arrow, strict=True)
             ]
             result = pa.StructArray.from_arrays(arrays, fields=list(arrow))
             yield pa.RecordBatch.from_arrays(

@@ -11,12 +11,15 @@ from tweetflow.llm import (
     bpe_stream,
     chat_trees,
     decontaminate,
+    filter_audit,
     language_id,
     license_scan,
+    line_dedup,
     prob_minhash,
     quality_net,
     secret_scan,
     sketches,
+    token_alignment,
     warc_index,
 )
 from tweetflow.llm.frames import fold, pick, scratch, table
@@ -40,6 +43,13 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def piece_path() -> str:
+    """Where the public piece vocabulary lies, here and on every executor."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def op1_chat_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = pick(
         table(spark, sf_dir, "conversations"), conv_id="conv_id", turn="turn", role="role", text="text"
@@ -157,6 +167,28 @@ def op10_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    failed = filter_audit.failures(table(spark, sf_dir, "documents"))
+    return filter_audit.audit(filter_audit.patterns(failed, table(spark, sf_dir, "labels")))
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _texts(spark, sf_dir)
+    bitmaps = line_dedup.keep_bitmaps(docs)
+    lines = F.col("deduplicated")
+    return line_dedup.without_lines(docs, bitmaps, drop=("text",)).select(
+        "doc_id",
+        lines.n_lines.alias("n_lines"),
+        lines.n_dropped.alias("n_dropped"),
+        F.sha2(lines.text, 256).alias("kept_sha256"),
+    )
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    measures, _ = token_alignment.align(_texts(spark, sf_dir), tokenizer_path(), piece_path())
+    return measures
+
+
 _QUERIES: tuple[Query, ...] = (
     op1_chat_trees,
     op2_license_scan,
@@ -168,6 +200,9 @@ _QUERIES: tuple[Query, ...] = (
     op8_bpe_transducer,
     op9_quality_net,
     op10_warc_index,
+    op11_filter_audit,
+    op12_line_dedup,
+    op13_token_alignment,
 )
 
 
@@ -239,7 +274,87 @@ SELECT page_id, payload_bytes, payload_digest, coalesce(url, '') AS url,
 FROM best
 """
 
+_OP11 = r"""
+WITH marked AS (
+  SELECT doc_id, coalesce(max(CASE WHEN quality = 1 THEN 1 ELSE 0 END), 0) AS good,
+    coalesce(max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END), 0) AS toxic
+  FROM labels GROUP BY doc_id
+),
+own AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+),
+failed AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+    {'A': len(w) < 50,
+     'B': 100 * len(list_distinct(w)) < 65 * len(w),
+     'C': 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t),
+     'D': regexp_matches(t, '[#$%&*|]'),
+     'E': coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)} AS f
+  FROM own LEFT JOIN marked USING (doc_id)
+),
+fails AS (
+  SELECT part, good, toxic,
+    (CASE WHEN f.A THEN 'A' ELSE '' END) || (CASE WHEN f.B THEN 'B' ELSE '' END) || (CASE WHEN f.C THEN 'C' ELSE '' END)
+      || (CASE WHEN f.D THEN 'D' ELSE '' END) || (CASE WHEN f.E THEN 'E' ELSE '' END) AS p
+  FROM failed
+),
+counted AS (SELECT part, p, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM fails GROUP BY part, p),
+letter AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c),
+orders AS (
+  SELECT a.c || b.c || c.c || d.c || e.c AS o
+  FROM letter a, letter b, letter c, letter d, letter e
+  WHERE len(list_distinct([a.c, b.c, c.c, d.c, e.c])) = 5
+),
+steps AS (SELECT o, s, substr(o, s, 1) AS c, substr(o, 1, s - 1) AS before FROM orders, range(1, 6) r(s)),
+judged AS (
+  SELECT part, o, s, c, n, good, toxic, p, contains(p, c) AS hit,
+    len(translate(p, before, '')) < len(p) AS gone
+  FROM counted, steps
+),
+summed AS (
+  SELECT part, o AS filter_order, CAST(s AS INTEGER) AS step, c,
+    sum(CASE WHEN NOT hit AND NOT gone THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN hit AND NOT gone THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN hit AND gone THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN p = c THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN hit AND NOT gone THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN hit AND NOT gone THEN toxic ELSE 0 END) AS toxic_lost
+  FROM judged GROUP BY part, o, s, c
+)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+  CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, c) AS BIGINT) AS shapley
+FROM summed
+"""
+
+_OP12 = """
+WITH lines AS (
+  SELECT doc_id, unnest(range(1, len(l) + 1)) AS i, unnest(l) AS line
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)
+),
+keyed AS (
+  SELECT doc_id, i, line,
+    translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM lines
+),
+often AS (SELECT key FROM keyed WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10),
+judged AS (SELECT keyed.*, often.key IS NOT NULL AS gone FROM keyed LEFT JOIN often USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     """The others learn a model, draw hashes or keep state; brute force tests them."""
-    return {"op1_chat_trees": _OP1, "op4_decontaminate": _OP4, "op10_warc_index": _OP10}
+    return {
+        "op1_chat_trees": _OP1,
+        "op4_decontaminate": _OP4,
+        "op10_warc_index": _OP10,
+        "op11_filter_audit": _OP11,
+        "op12_line_dedup": _OP12,
+    }
