@@ -219,6 +219,7 @@ def test_run_log(spark, filled):
         "model_name": "lexicon",
         "spark_version": spark.version,
         "silver_table_version": "0",
+        "gold_table_version": "0",
         "batch_size": "64",
         "m": "None",
     }

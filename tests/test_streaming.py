@@ -14,6 +14,7 @@ from tweetflow.schemas import GOLD, LAYERS, PROGRESS, RAW, SchemaMismatch, T
 from tweetflow.sources import files, tables
 from tweetflow.sources.tables import Layout, read_layer
 from tweetflow.streaming import control, stages
+from tweetflow.streaming.history import ProgressLog, read_progress
 
 
 def land(df, path, n_files=6):
@@ -192,7 +193,6 @@ def test_continuous_run_until_idle(spark, messages, batch_gold, scorer, new_dir,
     source = new_dir("landing")
     land(messages, source)
     often = {"processingTime": "300 milliseconds"}
-    seen = []
     running = [stages.start_bronze(spark, source, layout, often, max_files=2)]
     assert control.wait_for_rows(spark, layout.table("bronze"), 60, 0.2)
     running.append(stages.start_silver(spark, layout, often))
@@ -202,12 +202,11 @@ def test_continuous_run_until_idle(spark, messages, batch_gold, scorer, new_dir,
         "bronze_stream", "silver_stream", "gold_stream",
     }
     assert control.snapshot(spark).columns == PROGRESS.fieldNames()
-    records = control.wait_until_idle(running, idle_rounds=3, poll=0.6, on_poll=seen.extend)
+    control.wait_until_idle(running, idle_rounds=3, poll=0.6, kept=ProgressLog(spark, layout.progress))
     assert not any(q.isActive for q in running)
     assert multiset(read_layer(spark, layout, "gold")) == batch_gold
-    assert seen == records
 
-    progress = control.progress_table(spark, records)
+    progress = read_progress(spark, layout.progress)
     totals = {r["query"]: r.input_rows for r in progress_by_query(progress).collect()}
     assert set(totals) == {"bronze_stream", "silver_stream", "gold_stream"}
     assert totals["bronze_stream"] == messages.count()
@@ -276,23 +275,6 @@ def test_waiting_for_idleness_has_a_deadline():
         control.wait_until_idle([busy], poll=0.05, deadline=0.2)
 
 
-def test_a_forgotten_progress_record_is_an_error():
-    class Query:
-        name = "q"
-
-        def __init__(self, ids):
-            self.recentProgress = [
-                type("P", (), {"batchId": i, "timestamp": str(i), "json": f"{i}"}) for i in ids
-            ]
-
-        def awaitTermination(self, timeout):
-            return True
-
-    assert control.run_to_end(Query([3, 4, 5])) == ["3", "4", "5"]
-    with pytest.raises(control.ProgressLost):
-        control.run_to_end(Query([3, 5]))
-
-
 def test_progress_records(spark):
     def record(batch, rows, second, extra=""):
         return (

@@ -1,0 +1,145 @@
+"""Versions and snapshots of tables give what the table itself gave."""
+
+import pytest
+from compare import multiset
+from pyspark.sql import functions as F
+
+from tweetflow.plans import feed, reports
+from tweetflow.schemas import RAW, SILVER, T
+from tweetflow.sources import files, tables, versions
+from tweetflow.sources.tables import read_layer
+from tweetflow.streaming import stages
+
+
+@pytest.fixture(scope="module")
+def parts(spark, sf_dir):
+    messages = feed.event_messages(spark, sf_dir)
+    return [messages.filter(F.pmod(F.crc32("user"), F.lit(4)) == i) for i in range(4)]
+
+
+def arrive(spark, part, source, layout):
+    part.coalesce(1).write.mode("append").json(source)
+    stages.start_bronze(spark, source, layout).awaitTermination()
+    if tables.table_version(spark, layout.table("bronze")) is not None:
+        stages.start_silver(spark, layout).awaitTermination()
+
+
+def test_every_version_can_be_read(spark, parts, layout, new_dir):
+    source, seen = new_dir("landing"), []
+    for number, part in enumerate(parts):
+        arrive(spark, part, source, layout)
+        assert tables.table_version(spark, layout.table("silver")) == number
+        seen.append(multiset(read_layer(spark, layout, "silver")))
+    for number, rows in enumerate(seen):
+        assert multiset(versions.read_as_of(spark, layout, "silver", number)) == rows
+    for unknown in (-1, 4):
+        with pytest.raises(versions.VersionLost, match=f"no version {unknown}"):
+            versions.read_as_of(spark, layout, "silver", unknown)
+    with pytest.raises(versions.VersionLost):
+        versions.read_as_of(spark, layout, "gold", 0)
+
+
+def test_versions_through_a_summed_up_log(spark, parts, layout, new_dir):
+    """The sink sums its log up every few batches; single entries may then be gone."""
+    source, seen = new_dir("landing"), {}
+    spark.conf.set("spark.sql.streaming.fileSink.log.compactInterval", "3")
+    try:
+        for number in range(7):
+            arrive(spark, parts[number % 4], source, layout)
+            seen[number] = read_layer(spark, layout, "silver").count()
+            if number == 1:
+                assert versions.pin_version(spark, layout, "silver") == 1
+    finally:
+        spark.conf.unset("spark.sql.streaming.fileSink.log.compactInterval")
+    log = f"{layout.table('silver')}/_spark_metadata"
+    assert "5.compact" in files.child_names(spark, log)
+    for number, n_rows in seen.items():
+        assert versions.read_as_of(spark, layout, "silver", number).count() == n_rows
+    for gone in ("0", "1", "2.compact", "3", "4"):
+        files.delete(spark, f"{log}/{gone}")
+    for number in (1, 5, 6):  # pinned, the summary, the batch after it
+        assert versions.read_as_of(spark, layout, "silver", number).count() == seen[number]
+    for number in (0, 2, 4):
+        with pytest.raises(versions.VersionLost, match="no longer in its log"):
+            versions.read_as_of(spark, layout, "silver", number)
+
+
+def test_readers_take_the_snapshot_and_later_batches(spark, parts, layout, new_dir):
+    source = new_dir("landing")
+    assert versions.compact_layer(spark, layout, "silver") is None
+    assert versions.read_current(spark, layout, "silver").count() == 0
+    for number, part in enumerate(parts):
+        arrive(spark, part, source, layout)
+        # What is in the table, whether the snapshot lags behind or not.
+        assert multiset(versions.read_current(spark, layout, "silver")) == multiset(read_layer(spark, layout, "silver"))
+        if number % 2 == 0:
+            made = versions.compact_layer(spark, layout, "silver")
+            assert made.version == number and len(made.segments) == number // 2 + 1
+            assert versions.compact_layer(spark, layout, "silver") == made, "nothing new, nothing written"
+            read = versions.read_current(spark, layout, "silver")
+            assert all("/silver.snapshots/" in name for name in read.inputFiles())
+            assert multiset(read) == multiset(read_layer(spark, layout, "silver"))
+    read = versions.read_current(spark, layout, "silver")
+    in_table = [name for name in read.inputFiles() if "/silver.table/" in name]
+    assert in_table and len(in_table) < len(read.inputFiles())
+    # The stream goes on over its own table.
+    arrive(spark, parts[0], source, layout)
+    assert multiset(versions.read_current(spark, layout, "silver")) == multiset(read_layer(spark, layout, "silver"))
+
+
+def test_a_compaction_that_failed_leaves_the_snapshot(spark, parts, layout, new_dir):
+    source = new_dir("landing")
+    arrive(spark, parts[0], source, layout)
+    first = versions.compact_layer(spark, layout, "silver")
+    arrive(spark, parts[1], source, layout)
+    # Written, but not yet published: drafts and segments that no listing names.
+    spark.range(3).write.parquet(f"{layout.snapshots('silver')}/_segments/000000000001-x")
+    spark.range(3).write.json(f"{layout.snapshots('silver')}/_draft-x")
+    assert versions.snapshot(spark, layout, "silver") == first
+    assert multiset(versions.read_current(spark, layout, "silver")) == multiset(read_layer(spark, layout, "silver"))
+    # The slower of two compactions of one version is refused.
+    draft = new_dir("draft")
+    spark.range(1).write.json(draft)
+    with pytest.raises(files.AlreadyPublished):
+        files.publish(spark, draft, f"{layout.snapshots('silver')}/000000000000")
+    assert not files.exists(spark, draft)
+
+
+def test_gained_columns_are_compacted(spark, parts, layout, new_dir):
+    source = new_dir("landing")
+    arrive(spark, parts[0], source, layout)
+    versions.compact_layer(spark, layout, "bronze")
+    wide = T.StructType(RAW.fields + [T.StructField("lang", T.StringType())])
+    parts[1].withColumn("lang", F.lit("en")).write.mode("append").json(source)
+    stages.start_bronze(spark, source, layout, schema=wide).awaitTermination()
+    versions.compact_layer(spark, layout, "bronze")
+    columns = [*RAW.fieldNames(), "lang"]
+    merged = versions.read_current(spark, layout, "bronze", merge_schema=True).select(*columns)
+    assert multiset(merged) == multiset(read_layer(spark, layout, "bronze", merge_schema=True).select(*columns))
+    assert versions.read_current(spark, layout, "bronze").columns == read_layer(spark, layout, "bronze").columns
+
+
+def test_a_logged_run_is_evaluated_again(spark, parts, layout, new_dir, scorer):
+    source = new_dir("landing")
+    with pytest.raises(Exception, match="run"):
+        reports.evaluate_run(spark, layout, "none")
+    for name, part in zip(("one", "two"), parts, strict=False):
+        part.write.mode("append").json(source)
+        stages.run_stages(spark, source, layout, scorer)
+        reports.log_evaluation(spark, layout, name, "lexicon")
+    parts[2].write.mode("append").json(source)
+    stages.run_stages(spark, source, layout, scorer)
+    for run in tables.read_runs(spark, layout.runs).collect():
+        again = {r.metric: r.value for r in reports.evaluate_run(spark, layout, run.run_name).collect()}
+        assert again == pytest.approx(run.metrics)
+    with pytest.raises(LookupError, match="no run three"):
+        reports.evaluate_run(spark, layout, "three")
+
+
+def test_reset_drops_versions_and_snapshots(spark, parts, layout, new_dir):
+    arrive(spark, parts[0], new_dir("landing"), layout)
+    versions.compact_layer(spark, layout, "silver")
+    tables.reset(spark, layout)
+    assert versions.snapshot(spark, layout, "silver") is None
+    assert versions.read_current(spark, layout, "silver").schema == SILVER
+    assert versions.pin_version(spark, layout, "silver") is None

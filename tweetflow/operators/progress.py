@@ -6,10 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-#: Queries whose first times are sent to every task: a few MB at most.
-MAX_SENT = 100_000
-
-
 def _series(grouped) -> DataFrame:
     return grouped.agg(
         F.sum("input_rows").alias("input_rows"),
@@ -34,17 +30,26 @@ def progress_by_window(progress: DataFrame, width: str = "10 seconds") -> DataFr
     )
 
 
+def running_windows(progress: DataFrame, width: str = "10 seconds", delay: str = "1 minute") -> DataFrame:
+    """``progress_by_window`` of a stream of records, each window once, when it is complete.
+
+    A window is complete ``delay`` after its end, by the times of the records
+    themselves; records that come later than that are left out. A batch that is
+    reported twice within the delay counts once. The state holds the windows and
+    the batches of the last ``delay``, not the history.
+    """
+    once = progress.withWatermark("ts", delay).dropDuplicatesWithinWatermark(["query", "run_id", "batch_id"])
+    return progress_by_window(once, width)
+
+
 def with_elapsed(progress: DataFrame) -> DataFrame:
     """Seconds since the first batch of the same query.
 
     A join with the first times instead of a window function: a window would
-    pull all batches of one query into one task. So would a shuffle on the
-    query, so the first times are sent to the rows once their number has been
-    checked; with more queries than that no query holds many of the rows.
+    pull all batches of one query into one task. Spark sends the first times to
+    the rows if they turn out to be few, and splits a query that has very many.
     """
     first = progress.groupBy("query").agg(F.min("ts").alias("__first_ts"))
-    if first.limit(MAX_SENT + 1).count() <= MAX_SENT:
-        first = F.broadcast(first)
     micros = F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(
         F.col("__first_ts").cast("timestamp")
     )

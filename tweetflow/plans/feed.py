@@ -9,7 +9,8 @@ one mention holds a large share of all rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tweetflow.functions.scorers import Lexicon
 
@@ -134,3 +135,15 @@ def progress(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CASE WHEN event_id % 50 <> 0 THEN bigint(floor(value * 10)) END AS processing_time",
         "0L AS memory_used",
     )
+
+
+def progress_record() -> Column:
+    """A row of ``progress`` as the record that a query would report."""
+    return F.struct(
+        F.col("query").alias("name"),
+        F.col("run_id").alias("runId"),
+        F.col("batch_id").alias("batchId"),
+        F.col("ts").alias("timestamp"),
+        F.col("input_rows").alias("numInputRows"),
+        F.struct(F.col("processing_time").alias("addBatch")).alias("durationMs"),
+    )

@@ -65,6 +65,11 @@ _TWEETS = f"""tweets AS (
 {_CONVERSATION_MESSAGES}
 )"""
 
+
+def _tweets_of(*messages: str) -> str:
+    return f"tweets AS ({' UNION ALL '.join(messages)})"
+
+
 _SILVER = rf"""silver AS (
   SELECT * FROM (
     SELECT
@@ -173,6 +178,23 @@ _LABEL_SCORES = """scores AS (
 )"""
 
 
+def _columns(kind: str, *names: str) -> dict[str, tuple[str, str]]:
+    """What is counted for a column of a layer, and the column's type."""
+    return {name: (f'"{name}"', kind) for name in names}
+
+
+_BRONZE_COLUMNS = _columns("string", "date", "sentiment", "text", "user") | {
+    "source_file": ("*", "string"),
+    "processing_time": ("*", "timestamp"),
+}
+_SILVER_COLUMNS = _columns("timestamp", "timestamp") | _columns("string", "mention", "cleaned_text", "sentiment")
+_GOLD_COLUMNS = (
+    _columns("string", "predicted_sentiment")
+    | _columns("double", "predicted_score")
+    | _columns("int", "predicted_sentiment_id", "sentiment_id")
+)
+
+
 def _with(*parts: str, select: str) -> str:
     return f"WITH {', '.join(parts)}\n{select}"
 
@@ -211,6 +233,18 @@ def oracle_sql() -> dict[str, str]:
         "CAST(sum(input_rows) AS BIGINT) AS input_rows,"
         " round(avg(processing_time), 6) AS avg_processing_time, count(*) AS n_batches"
     )
+    windows = _with(
+        _PROGRESS,
+        select="SELECT query, time_bucket(INTERVAL 10 SECONDS, ts) AS window_start,"
+        f" {series} FROM progress GROUP BY 1, 2",
+    )
+    metrics = (
+        " UNION ALL ".join(
+            f"SELECT '{m}' AS metric, round(CAST({m} AS DOUBLE), 9) AS value FROM evaluation"
+            for m in ("accuracy", "weighted_precision", "weighted_recall", "weighted_f1", "n_rows")
+        )
+        + " UNION ALL SELECT 'n_' || sentiment_id || '_' || predicted_sentiment_id, CAST(n AS DOUBLE) FROM confusion"
+    )
     with_corrupt = tweets(
         f"SELECT *, CAST(NULL AS VARCHAR) AS _corrupt_record FROM ({raw})"
         " UNION ALL SELECT NULL, NULL, NULL, NULL,"
@@ -315,28 +349,13 @@ def oracle_sql() -> dict[str, str]:
             " UNION ALL SELECT 'gold', 2, count(*) FROM gold"
         ),
         "run_log": evaluated(
-            " UNION ALL ".join(
-                f"SELECT 'lexicon' AS run_name, 'lexicon-11' AS model_name, true AS of_this_version,"
-                f" '{m}' AS metric, round(CAST({m} AS DOUBLE), 9) AS value FROM evaluation"
-                for m in (
-                    "accuracy",
-                    "weighted_precision",
-                    "weighted_recall",
-                    "weighted_f1",
-                    "n_rows",
-                )
-            )
-            + " UNION ALL SELECT 'lexicon', 'lexicon-11', true, 'n_' || sentiment_id || '_' || predicted_sentiment_id,"
-            " CAST(n AS DOUBLE) FROM confusion"
+            "SELECT 'lexicon' AS run_name, 'lexicon-11' AS model_name, true AS of_this_version,"
+            f" metric, value FROM ({metrics})"
         ),
         "progress_by_query": _with(
             _PROGRESS, select=f"SELECT query, {series} FROM progress GROUP BY query"
         ),
-        "progress_by_window": _with(
-            _PROGRESS,
-            select="SELECT query, time_bucket(INTERVAL 10 SECONDS, ts) AS window_start,"
-            f" {series} FROM progress GROUP BY 1, 2",
-        ),
+        "progress_by_window": windows,
         "progress_elapsed": _with(
             _PROGRESS,
             select="SELECT query, batch_id,"
@@ -345,6 +364,72 @@ def oracle_sql() -> dict[str, str]:
             " FROM progress JOIN"
             " (SELECT query, min(ts) AS first_ts FROM progress GROUP BY query) USING (query)",
         ),
+        "active_streams": tweets(
+            "SELECT 'bronze_stream' AS name, TRUE AS is_active, count(*) AS n_messages FROM tweets"
+        ),
+        "newest_files": tweets(
+            "SELECT TRUE AS complete, TRUE AS in_order, count(*) AS n_messages FROM tweets"
+        ),
+        "replay_rounds": tweets(f"{raw} UNION ALL {raw}"),
+        "bronze_provenance": tweets(
+            "SELECT count(*) AS n_messages, count(*) AS n_from_listed_files, count(*) AS n_in_time FROM tweets"
+        ),
+        "compacted_read": _with(_TWEETS, _SILVER, select=silver),
+        "table_as_of": _with(
+            _tweets_of(_EVENT_MESSAGES, _DOCUMENT_MESSAGES), _SILVER, _GOLD, select="SELECT * FROM gold"
+        ),
+        "evaluation_as_of": _with(
+            _tweets_of(_EVENT_MESSAGES), _SILVER, _GOLD, _CONFUSION, _REPORT, _EVALUATION,
+            f"metrics AS ({metrics})",
+            select="SELECT metric, value, value AS logged FROM metrics",
+        ),
+        "progress_history": (
+            "SELECT CAST(0 AS BIGINT) AS first_batch, count(*) AS input_rows FROM events"
+            " UNION ALL SELECT 1, (SELECT count(*) FROM documents) + (SELECT count(*) FROM conversations)"
+        ),
+        "running_windows": windows,
+        "mention_partials": app_table,
+        "quality_report": tweets(
+            " UNION ALL ".join(
+                f"SELECT 'null_profile' AS section, '{c}' AS key, {n} AS n FROM tweets"
+                for c, n in missing.items()
+            )
+XX, \"user\", count(*) AS n FROM tweets"
+            ' GROUP BY "user" ORDER BY n DESC, "user" LIMIT 20)'
+            " UNION ALL SELECT 'mention_presence', CASE WHEN text LIKE '%@%' THEN '1' ELSE '0' END, count(*)"
+            " FROM tweets GROUP BY 2"
+            f" UNION ALL SELECT 'only_mention_count', '', {only_mentions} FROM tweets"
+            f" UNION ALL SELECT 'length_distribution', CAST(length({cleaned}) AS VARCHAR), count(*)"
+            " FROM tweets GROUP BY 2"
+        ),
+        "mention_report": pivot(
+            "SELECT 'total_mentions' AS section, '' AS key, count(*) AS n FROM gold"
+            + "".join(
+                f" UNION ALL SELECT * FROM (SELECT 'top_{name}', mention, {column} FROM pivoted"
+                f" ORDER BY {column} DESC, mention LIMIT 20)"
+                for name, column in (("total", "total"), ("positive", '"POS"'), ("negative", '"NEG"'))
+            )
+        ),
+        "progress_report": _with(
+            _PROGRESS,
+            select="SELECT 'input_rows' AS section, query AS key, CAST(sum(input_rows) AS BIGINT) AS n"
+            " FROM progress GROUP BY query"
+            " UNION ALL SELECT 'windows', query, count(DISTINCT time_bucket(INTERVAL 10 SECONDS, ts))"
+            " FROM progress GROUP BY query"
+            " UNION ALL SELECT 'batches', query, count(*) FROM progress GROUP BY query",
+        ),
+        "layer_report": gold(
+            " UNION ALL ".join(
+                f"SELECT '{layer}' AS layer, '{column}' AS column_name, '{kind}' AS type,"
+                f' count({value}) AS n_values, count(*) AS n_rows FROM {source}'
+                for layer, source, columns in (
+                    ("bronze", "tweets", _BRONZE_COLUMNS),
+                    ("silver", "silver", _SILVER_COLUMNS),
+                    ("gold", "gold", _SILVER_COLUMNS | _GOLD_COLUMNS),
+                )
+                for column, (value, kind) in columns.items()
+            )
+        ),
         "landing_files": tweets("SELECT 0 AS n_unread_files, count(*) AS n_messages FROM tweets"),
         "landing_file_count": tweets("SELECT TRUE AS complete, count(*) AS n_messages FROM tweets"),
         "stream_progress": tweets(

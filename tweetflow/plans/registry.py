@@ -20,9 +20,10 @@ from tweetflow.operators.layers import bronze_to_gold, to_gold, to_silver
 from tweetflow.plans import feed, reports
 from tweetflow.schemas import GOLD, RAW, SILVER, T, enforce
 from tweetflow.session import configure, shared_dir
-from tweetflow.sources import files, landing, tables
+from tweetflow.sources import files, landing, tables, versions
 from tweetflow.sources.tables import Layout, read_layer
-from tweetflow.streaming import control, stages
+from tweetflow.streaming import control, feeder, history, partials, stages
+from tweetflow.streaming.history import ProgressLog, read_progress
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -245,17 +246,13 @@ def _corrupt_landing(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, "corrupt", make)
 
 
-#: Bound of the micro-batches of these queries, whatever the size of their input.
-BATCH_BYTES = 16 << 20
-
-
 def _tables(spark: SparkSession, sf_dir: str) -> Layout:
     """All three tables, as left by one bounded run."""
 
     def make() -> Layout:
         layout = Layout(_new_dir(spark, "tables"))
         source = _landing(spark, sf_dir)
-        stages.run_stages(spark, source, layout, _SCORER, max_bytes=BATCH_BYTES)
+        stages.run_stages(spark, source, layout, _SCORER)
         return layout
 
     return _once(spark, sf_dir, "tables", make)
@@ -271,33 +268,33 @@ SETUP = {"landing": _landing, "tables": _tables, "corrupt": _corrupt_landing}
 @_query
 def bronze_stream(spark, sf_dir):
     source, layout = _landing(spark, sf_dir), Layout(_new_dir(spark, "bronze"))
-    stages.start_bronze(spark, source, layout, max_bytes=BATCH_BYTES).awaitTermination()
+    stages.start_bronze(spark, source, layout).awaitTermination()
     return read_layer(spark, layout, "bronze").select(*RAW.fieldNames())
 
 
 @_query
 def silver_stream(spark, sf_dir):
     upstream, layout = _tables(spark, sf_dir), Layout(_new_dir(spark, "silver"))
-    stages.start_silver(spark, layout, max_bytes=BATCH_BYTES, upstream=upstream).awaitTermination()
+    stages.start_silver(spark, layout, upstream=upstream).awaitTermination()
     return _plain(read_layer(spark, layout, "silver"), *SILVER.fieldNames())
 
 
-def _run_gold(spark: SparkSession, sf_dir: str, scorer: Scorer):
-    """A gold run beside the shared tables: its query and where it wrote."""
+def _run_gold(spark: SparkSession, sf_dir: str, scorer: Scorer) -> Layout:
+    """A gold run beside the shared tables: where it wrote."""
     upstream, layout = _tables(spark, sf_dir), Layout(_new_dir(spark, "gold"))
-    query = stages.start_gold(spark, layout, scorer, max_bytes=BATCH_BYTES, upstream=upstream)
-    return control.run_to_end(query), layout
+    stages.start_gold(spark, layout, scorer, upstream=upstream).awaitTermination()
+    return layout
 
 
 @_query
 def gold_stream(spark, sf_dir):
-    _, layout = _run_gold(spark, sf_dir, _SCORER)
+    layout = _run_gold(spark, sf_dir, _SCORER)
     return _plain(read_layer(spark, layout, "gold"), *GOLD.fieldNames())
 
 
 @_query
 def gold_stream_pandas_udf(spark, sf_dir):
-    _, layout = _run_gold(spark, sf_dir, model_scorer(lexicon_model(feed.LEXICON)))
+    layout = _run_gold(spark, sf_dir, model_scorer(lexicon_model(feed.LEXICON)))
     return _plain(read_layer(spark, layout, "gold"), *GOLD.fieldNames())
 
 
@@ -315,7 +312,7 @@ def continuous_app_table(spark, sf_dir):
     layout = Layout(_new_dir(spark, "continuous"))
     source = _landing(spark, sf_dir)
     often = {"processingTime": "500 milliseconds"}
-    running = [stages.start_bronze(spark, source, layout, often, max_bytes=BATCH_BYTES)]
+    running = [stages.start_bronze(spark, source, layout, often)]
     try:
         for upstream, start in (
             ("bronze", lambda: stages.start_silver(spark, layout, often)),
@@ -325,7 +322,7 @@ def continuous_app_table(spark, sf_dir):
             if not control.wait_for_rows(spark, table, None, poll=0.5, writer=running[-1]):
                 raise stages.UpstreamNotReady(f"{table} stays empty")
             running.append(start())
-        control.wait_until_idle(running, poll=1.0)
+        control.wait_until_idle(running, poll=1.0, kept=ProgressLog(spark, layout.progress))
     finally:
         for query in running:
             query.stop()
@@ -343,15 +340,16 @@ def stage_report(spark, sf_dir):
 
 @_query
 def active_streams(spark, sf_dir):
-    """The stages that run while messages are being ingested."""
+    """The stages that run while messages are being ingested, and what has been ingested."""
     layout = Layout(_new_dir(spark, "active"))
     query = stages.start_bronze(
         spark, _landing(spark, sf_dir), layout, stages.EVERY_10_SECONDS
     )
     try:
-        if not control.wait_for_rows(spark, layout.table("bronze"), None, poll=0.2, writer=query):
-            raise stages.UpstreamNotReady("no message has been ingested")
-        return control.list_streams(spark)
+        query.processAllAvailable()
+        n_messages = read_layer(spark, layout, "bronze").count()
+        listed = control.list_streams(spark).select("name", "is_active")
+        return listed.withColumn("n_messages", F.lit(n_messages).cast("long"))
     finally:
         query.stop()
 
@@ -404,9 +402,7 @@ def corrupt_rows(spark, sf_dir):
 def corrupt_stream(spark, sf_dir):
     """Malformed lines kept by the ingest: the bronze table has them in a column of their own."""
     source, layout = _corrupt_landing(spark, sf_dir), Layout(_new_dir(spark, "kept"))
-    stages.start_bronze(
-        spark, source, layout, max_bytes=BATCH_BYTES, corrupt_column=_CORRUPT
-    ).awaitTermination()
+    stages.start_bronze(spark, source, layout, corrupt_column=_CORRUPT).awaitTermination()
     bronze = read_layer(spark, layout, "bronze", merge_schema=True)
     return bronze.select(*RAW.fieldNames(), _CORRUPT)
 
@@ -440,7 +436,23 @@ def landing_file_count(spark, sf_dir):
 
 @_query
 def newest_files(spark, sf_dir):
-    return _plain(landing.newest_files(spark, _landing(spark, sf_dir), 50))
+    """The newer half of the files: all of its size, none older than another file, and whose messages."""
+    path = _landing(spark, sf_dir)
+    n_files = landing.count_files(spark, path).first()["n_files"]
+    newest = landing.newest_files(spark, path, n_files // 2).withColumn("newest", F.lit(True))
+    listed = landing.list_files(spark, path).join(newest.select("path", "newest"), "path", "left")
+    file = F.col("_metadata.file_path")
+    read = spark.read.schema(RAW).json(path).groupBy(file.alias("path")).agg(F.count("*").alias("n"))
+    is_newest = F.col("newest").isNotNull()
+    return listed.join(read, "path", "left").agg(
+        (F.count(F.when(is_newest, 1)) == n_files // 2).alias("complete"),
+        F.coalesce(
+            F.min(F.when(is_newest, F.col("modificationTime")))
+            >= F.max(F.when(~is_newest, F.col("modificationTime"))),
+            F.lit(True),
+        ).alias("in_order"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_messages"),
+    )
 
 
 @_query
@@ -454,6 +466,40 @@ def replay_feed(spark, sf_dir):
     return read_layer(spark, layout, "bronze").select(*RAW.fieldNames())
 
 
+@_query
+def replay_rounds(spark, sf_dir):
+    """All files re-landed in two rounds, the feed restarted between them: every message twice."""
+    source, base = _landing(spark, sf_dir), _new_dir(spark, "rounds")
+    target, state = f"{base}/landing", f"{base}/state"
+    n_files = landing.count_files(spark, source).first()["n_files"]
+    for rounds in (1, 2):
+        feed_query = feeder.start_replay(spark, source, target, state, rounds, n_files, "1 second")
+        feeder.wait_for_rounds(spark, feed_query, state, rounds)
+    layout = Layout(_new_dir(spark, "rounded"))
+    stages.start_bronze(spark, target, layout).awaitTermination()
+    return read_layer(spark, layout, "bronze").select(*RAW.fieldNames())
+
+
+@_query
+def bronze_provenance(spark, sf_dir):
+    """Rows of the bronze table against the files they name and the time they were ingested."""
+    source, layout = _landing(spark, sf_dir), Layout(_new_dir(spark, "provenance"))
+    now = lambda: spark.range(1).select(F.current_timestamp()).first()[0]
+    began = now()
+    stages.start_bronze(spark, source, layout).awaitTermination()
+    ended = now()
+    in_time = F.col("processing_time").between(F.lit(began), F.lit(ended))
+    listed = landing.list_files(spark, source).select(F.col("path").alias("source_file"), F.lit(1).alias("listed"))
+    bronze = read_layer(spark, layout, "bronze").groupBy("source_file").agg(
+        F.count("*").alias("n"), F.count(F.when(in_time, 1)).alias("n_in_time")
+    )
+    return bronze.join(listed, "source_file", "left").agg(
+        F.sum("n").alias("n_messages"),
+        F.sum(F.when(F.col("listed") == 1, F.col("n")).otherwise(0)).alias("n_from_listed_files"),
+        F.sum("n_in_time").alias("n_in_time"),
+    )
+
+
 # --- maintenance --------------------------------------------------------------
 
 
@@ -464,15 +510,60 @@ def compact_table(spark, sf_dir):
     return _plain(spark.read.schema(SILVER).parquet(snapshot))
 
 
+def _arrivals(spark: SparkSession, sf_dir: str):
+    return (
+        feed.event_messages(spark, sf_dir),
+        feed.document_messages(spark, sf_dir),
+        feed.conversation_messages(spark, sf_dir),
+    )
+
+
+def _versioned(spark: SparkSession, sf_dir: str) -> Layout:
+    """Tables that three arrivals were brought to, one batch each; compacted after the
+    first two, and evaluated after the first."""
+
+    def make() -> Layout:
+        source, layout = _new_dir(spark, "versioned"), Layout(_new_dir(spark, "versions"))
+        for number, part in enumerate(_arrivals(spark, sf_dir)):
+            _land(part, source)
+            stages.run_stages(spark, source, layout, _SCORER)
+            if number < 2:
+                versions.compact_layer(spark, layout, "silver")
+            if number == 0:
+                reports.log_evaluation(spark, layout, "first", "lexicon-11")
+        return layout
+
+    return _once(spark, sf_dir, "versioned", make)
+
+
+@_query
+def compacted_read(spark, sf_dir):
+    """A table from the two segments of its snapshot and the files of the batch since."""
+    silver = versions.read_current(spark, _versioned(spark, sf_dir), "silver")
+    return _plain(silver, *SILVER.fieldNames())
+
+
+@_query
+def table_as_of(spark, sf_dir):
+    """The gold table as it was after its second batch."""
+    gold = versions.read_as_of(spark, _versioned(spark, sf_dir), "gold", 1)
+    return _plain(gold, *GOLD.fieldNames())
+
+
+@_query
+def evaluation_as_of(spark, sf_dir):
+    """A run that was logged after the first batch, evaluated again when there are three."""
+    layout = _versioned(spark, sf_dir)
+    again = reports.evaluate_run(spark, layout, "first").select("metric", _rounded("value"))
+    logged = tables.read_runs(spark, layout.runs).select(F.explode("metrics").alias("metric", "logged"))
+    return again.join(logged, "metric").select("metric", "value", _rounded("logged"))
+
+
 @_query
 def table_version(spark, sf_dir):
     """Three arrivals, each brought through all stages in one batch per table."""
     source, layout = _new_dir(spark, "arrivals"), Layout(_new_dir(spark, "versions"))
-    for part in (
-        feed.event_messages(spark, sf_dir),
-        feed.document_messages(spark, sf_dir),
-        feed.conversation_messages(spark, sf_dir),
-    ):
+    for part in _arrivals(spark, sf_dir):
         _land(part, source)
         stages.run_stages(spark, source, layout, _SCORER)
     layers = ("bronze", "silver", "gold")
@@ -527,12 +618,23 @@ def progress_elapsed(spark, sf_dir):
     return _plain(elapsed, "query", "batch_id", "elapsed_time", "input_rows", "processing_time")
 
 
+def _reported_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The kept progress of an ingest that was ended and started again for the last arrival."""
+    source, layout = _new_dir(spark, "reporting"), Layout(_new_dir(spark, "reported"))
+    first, *rest = _arrivals(spark, sf_dir)
+    for arrivals in ([first], rest):
+        for part in arrivals:
+            _land(part, source)
+        log = ProgressLog(spark, layout.progress)
+        control.run_to_end(stages.start_bronze(spark, source, layout), log)
+        log.flush(*spark.streams.active)
+    return read_progress(spark, layout.progress)
+
+
 @_query
 def stream_progress(spark, sf_dir):
     """What an ingest reported, batch by batch, summed up: every message once."""
-    layout, source = Layout(_new_dir(spark, "reported")), _landing(spark, sf_dir)
-    bronze = stages.start_bronze(spark, source, layout, max_bytes=BATCH_BYTES)
-    elapsed = progress.with_elapsed(control.progress_table(spark, control.run_to_end(bronze)))
+    elapsed = progress.with_elapsed(_reported_ingest(spark, sf_dir))
     return elapsed.groupBy("query").agg(
         F.sum("input_rows").alias("input_rows"), F.min("elapsed_time").alias("first_elapsed")
     )
@@ -541,13 +643,113 @@ def stream_progress(spark, sf_dir):
 @_query
 def stream_input_rows(spark, sf_dir):
     """Rows read by the ingest according to its progress: every message once."""
-    layout, source = Layout(_new_dir(spark, "live")), _landing(spark, sf_dir)
-    bronze = stages.start_bronze(spark, source, layout, max_bytes=BATCH_BYTES)
-    reported = control.progress_table(spark, control.run_to_end(bronze))
-    by_query = progress.progress_by_query(reported)
+    by_query = progress.progress_by_query(_reported_ingest(spark, sf_dir))
     return by_query.select("query", "input_rows")
 
 
+@_query
+def progress_history(spark, sf_dir):
+    """Batches of the two runs of an ingest in the kept table, by the run they belong to."""
+    kept = _reported_ingest(spark, sf_dir)
+    runs = kept.groupBy("run_id").agg(F.sum("input_rows").alias("input_rows"), F.min("batch_id").alias("first_batch"))
+    return runs.select("first_batch", "input_rows")
+
+
+@_query
+def running_windows(spark, sf_dir):
+    """The report per window kept by a stream, from records that come in three arrivals."""
+    base = _new_dir(spark, "windows")
+    records, checkpoint, target = f"{base}/records", f"{base}/checkpoint", f"{base}/table"
+    known = feed.progress(spark, sf_dir)
+    lines = known.select("ts", F.to_json(feed.progress_record()).alias("value"))
+    bounds = known.agg(F.min("ts"), F.max("ts")).first()
+    third = (bounds[1] - bounds[0]) / 3
+    for lower, upper in ((None, third), (third, 2 * third), (2 * third, None)):
+        part = lines
+        part = part if lower is None else part.filter(F.col("ts") >= F.lit(bounds[0] + lower))
+        part = part if upper is None else part.filter(F.col("ts") < F.lit(bounds[0] + upper))
+        part.select("value").write.mode("append").text(records)
+        history.start_windows(spark, records, target, checkpoint).awaitTermination()
+    # A last record, long after the others, completes their windows; its own stays open.
+    end = F.lit(bounds[1]) + F.expr("INTERVAL 1 DAY")
+    last = known.limit(1).withColumns({"ts": end, "batch_id": F.lit(-1).cast("long")})
+    last.select(F.to_json(feed.progress_record())).write.mode("append").text(records)
+    history.start_windows(spark, records, target, checkpoint).awaitTermination()
+    table = spark.read.parquet(target)
+    return _plain(table.withColumn("avg_processing_time", F.round("avg_processing_time", 6)))
+
+
+@_query
+def mention_partials(spark, sf_dir):
+    """The application table merged from partials per batch: folded after two batches, the
+    last batch run twice."""
+    source, layout = _new_dir(spark, "partial"), Layout(_new_dir(spark, "partials"))
+    for part in _arrivals(spark, sf_dir):
+        _land(part, source)
+        stages.run_stages(spark, source, layout, _SCORER)
+        partials.start_mentions(spark, layout).awaitTermination()
+        partials.fold(spark, layout)
+    # As if the batch had failed before it was committed.
+    last = tables.table_version(spark, layout.table("gold"))
+    files.delete(spark, f"{layout.partials_checkpoint}/commits/{last}")
+    partials.start_mentions(spark, layout).awaitTermination()
+    partials.drop_folded(spark, layout)
+    return _plain(partials.read_mentions(spark, layout))
+
+
+# --- reports ------------------------------------------------------------------
+
+
+def _section(df: DataFrame, name: str, key: str, value: str) -> DataFrame:
+    return df.select(
+        F.lit(name).alias("section"), F.col(key).cast("string").alias("key"), F.col(value).cast("long").alias("n")
+    )
+
+
+@_query
+def quality_report(spark, sf_dir):
+    """All sections of the report on the bronze table."""
+    report = reports.quality_report(read_layer(spark, _tables(spark, sf_dir), "bronze"))
+    only = report["only_mention_count"].select(F.lit("").alias("key"), "n_only_mention")
+    return (
+        _section(report["null_profile"], "null_profile", "column_name", "n_missing")
+        .unionByName(_section(report["top_users"], "top_users", "user", "n_tweets"))
+        .unionByName(_section(report["mention_presence"], "mention_presence", "has_mention", "n_tweets"))
+        .unionByName(_section(only, "only_mention_count", "key", "n_only_mention"))
+        .unionByName(_section(report["length_distribution"], "length_distribution", "char_length", "n_tweets"))
+    )
+
+
+@_query
+def mention_report(spark, sf_dir):
+    """The leaders of the report on the gold table, and its total."""
+    report = reports.mention_report(read_layer(spark, _tables(spark, sf_dir), "gold"))
+    total = report["total_mentions"].select(F.lit("").alias("key"), "total_mentions")
+    sections = _section(total, "total_mentions", "key", "total_mentions")
+    for by in ("total", "positive", "negative"):
+        sections = sections.unionByName(_section(report[f"top_{by}"], f"top_{by}", "mention", by))
+    return sections
+
+
+@_query
+def progress_report(spark, sf_dir):
+    """Rows per query and the number of windows and batches, from the report on the progress table."""
+    report = reports.progress_report(feed.progress(spark, sf_dir))
+    windows = report["by_window"].groupBy("query").agg(F.count("*").alias("n"))
+    elapsed = report["elapsed"].groupBy("query").agg(F.count("elapsed_time").alias("n"))
+    return (
+        _section(report["by_query"], "input_rows", "query", "input_rows")
+        .unionByName(_section(windows, "windows", "query", "n"))
+        .unionByName(_section(elapsed, "batches", "query", "n"))
+    )
+
+
+@_query
+def layer_report(spark, sf_dir):
+    """Columns of every layer with their types and how many of them are filled."""
+    return reports.layer_report(spark, _tables(spark, sf_dir)).select("layer", "column_name", "type", "n_values", "n_rows")
+
+
 @_query
 def scoring_throughput(spark, sf_dir):
     silver = read_layer(spark, _tables(spark, sf_dir), "silver")

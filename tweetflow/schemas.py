@@ -43,6 +43,19 @@ GOLD = T.StructType(
 
 LAYERS = {"bronze": BRONZE, "silver": SILVER, "gold": GOLD}
 
+#: The application table: one row per mention.
+MENTIONS = T.StructType(
+    [
+        T.StructField("min_timestamp", T.TimestampType()),
+        T.StructField("max_timestamp", T.TimestampType()),
+        T.StructField("mention", T.StringType()),
+        T.StructField("negative", T.LongType()),
+        T.StructField("neutral", T.LongType()),
+        T.StructField("positive", T.LongType()),
+        T.StructField("total", T.LongType()),
+    ]
+)
+
 #: One row per micro-batch of one query.
 PROGRESS = T.StructType(
     [

@@ -25,6 +25,49 @@ def delete(spark: SparkSession, path: str) -> bool:
     return fs.delete(hadoop_path, True)
 
 
+class AlreadyPublished(FileExistsError):
+    """Something else has been published under the name."""
+
+
+def publish(spark: SparkSession, draft: str, path: str) -> None:
+    """Give a directory that has been written its name, in one step.
+
+    A name is given once; the draft of a second one is removed.
+    """
+    source, fs = _path_and_fs(spark, draft)
+    target, _ = _path_and_fs(spark, path)
+    # A rename onto a directory that exists would move the draft into it.
+    if fs.exists(target) or not fs.rename(source, target):
+        fs.delete(source, True)
+        raise AlreadyPublished(path)
+
+
+def move_into(spark: SparkSession, path: str, directory: str, name: str) -> None:
+    """Move a file into a directory under a new name; nothing where it is there already."""
+    source, fs = _path_and_fs(spark, path)
+    target, _ = _path_and_fs(spark, f"{directory}/{name}")
+    fs.mkdirs(target.getParent())
+    if not fs.exists(target) and not fs.rename(source, target):
+        raise OSError(f"{path} could not be moved to {target}")
+
+
+def copy_into(spark: SparkSession, paths: list[str], directory: str) -> str:
+    """Copy files into a new directory."""
+    target, fs = _path_and_fs(spark, directory)
+    fs.mkdirs(target)
+    for path in paths:
+        source, source_fs = _path_and_fs(spark, path)
+        spark._jvm.org.apache.hadoop.fs.FileUtil.copy(
+            source_fs, source, fs, target, False, spark._jsc.hadoopConfiguration()
+        )
+    return directory
+
+
+def make_dir(spark: SparkSession, path: str) -> None:
+    hadoop_path, fs = _path_and_fs(spark, path)
+    fs.mkdirs(hadoop_path)
+
+
 def make_scratch(spark: SparkSession, path: str) -> str:
     """Make a directory that is removed when the driver's JVM ends."""
     hadoop_path, fs = _path_and_fs(spark, path)

@@ -37,6 +37,28 @@ class Layout:
     def schemas(self, layer: str) -> str:
         return f"{self.base}/{self._known(layer)}.schemas"
 
+    def versions(self, layer: str) -> str:
+        return f"{self.base}/{self._known(layer)}.versions"
+
+    def snapshots(self, layer: str) -> str:
+        return f"{self.base}/{self._known(layer)}.snapshots"
+
+    @property
+    def partials(self) -> str:
+        return f"{self.base}/mentions.partials"
+
+    @property
+    def folds(self) -> str:
+        return f"{self.base}/mentions.folds"
+
+    @property
+    def partials_checkpoint(self) -> str:
+        return f"{self.base}/mentions.checkpoint"
+
+    @property
+    def progress(self) -> str:
+        return f"{self.base}/progress"
+
     @property
     def runs(self) -> str:
         return f"{self.base}/runs"
@@ -124,7 +146,7 @@ def compact(
 
 
 def reset(spark: SparkSession, layout: Layout) -> bool:
-    """Drop the tables, their noted schemas and checkpoints of a run; True if there were any.
+    """Drop the tables of a run, what is noted and kept of them, and checkpoints; True if there were any.
 
     Always both: a table whose log outlives its checkpoint would take the first
     batches of the next run for batches it has already seen, and skip them.
@@ -132,8 +154,9 @@ def reset(spark: SparkSession, layout: Layout) -> bool:
     paths = [
         place(layer)
         for layer in LAYERS
-        for place in (layout.checkpoint, layout.table, layout.schemas)
+        for place in (layout.checkpoint, layout.table, layout.schemas, layout.versions, layout.snapshots)
     ]
+    paths += [layout.partials_checkpoint, layout.partials, layout.folds]
     return any([files.delete(spark, path) for path in paths])
 
 

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tweetflow.schemas import PROGRESS, STREAM_STATUS
 from tweetflow.sources.tables import table_version
+from tweetflow.streaming.history import ProgressLog
 
 UNNAMED = "<unnamed>"
 
@@ -99,16 +100,19 @@ def progress_table(spark: SparkSession, records: Iterable[str]) -> DataFrame:
 
     A batch is one row, however often it was reported.
     """
-    parsed = spark.createDataFrame([(r,) for r in records], "record string").select(
-        F.from_json("record", PROGRESS_JSON).alias("p")
-    )
+    return parse_progress(spark.createDataFrame([(r,) for r in records], "value string"))
+
+
+def progress_rows(records: DataFrame) -> DataFrame:
+    """Records, as JSON in ``value``, in the form of ``schemas.PROGRESS``, one row per report."""
+    parsed = records.select(F.from_json("value", PROGRESS_JSON).alias("p"))
     none = F.lit(0).cast("long")
     state = F.aggregate(
         F.coalesce("p.stateOperators", F.array().cast(STATE_OPERATORS)),
         none,
         lambda total, operator: total + F.coalesce(operator["memoryUsedBytes"], none),
     )
-    rows = parsed.select(
+    return parsed.select(
         F.coalesce("p.name", F.lit(UNNAMED)).alias("query"),
         F.col("p.runId").alias("run_id"),
         F.col("p.batchId").alias("batch_id"),
@@ -117,38 +121,31 @@ def progress_table(spark: SparkSession, records: Iterable[str]) -> DataFrame:
         F.col("p.durationMs.addBatch").alias("processing_time"),
         state.alias("memory_used"),
     )
+
+
+def parse_progress(records: DataFrame) -> DataFrame:
+    """The same, one row per batch."""
     # An idle report has zero rows and the id of the batch to come, so of
     # several reports with one id that with the most rows is the batch itself.
     report = F.struct("input_rows", "ts", "processing_time", "memory_used")
     return (
-        rows.groupBy("query", "run_id", "batch_id")
+        progress_rows(records)
+        .groupBy("query", "run_id", "batch_id")
         .agg(F.max(report).alias("r"))
         .select("query", "run_id", "batch_id", "r.*")
         .select(*PROGRESS.fieldNames())
     )
 
 
-class ProgressLost(RuntimeError):
-    """A query forgot a progress record before it was fetched."""
-
-
-def run_to_end(query: StreamingQuery, poll: float = 1.0) -> list[str]:
-    """Wait for a bounded run to end; all its progress records, as JSON.
+def run_to_end(query: StreamingQuery, kept: ProgressLog, poll: float = 1.0) -> None:
+    """Wait for a bounded run to end; its progress goes to ``kept`` while it runs.
 
-    Spark remembers only the last ``numRecentProgressUpdates`` records, so they
-    are fetched while the query runs. Were one missed all the same, the batch
-    ids would have a hole, and that is an error: a report is never too small.
+    Spark remembers only the last ``numRecentProgressUpdates`` records of a query.
     """
-    seen: dict[tuple[int, str], str] = {}
     ended = False
     while not ended:
         ended = query.awaitTermination(poll)
-        for p in query.recentProgress:
-            seen.setdefault((p.batchId, p.timestamp), p.json)
-    ids = sorted({batch for batch, _ in seen})
-    if ids and ids[-1] - ids[0] + 1 != len(ids):
-        raise ProgressLost(f"{query.name}: batches {ids[0]} to {ids[-1]} are not all reported")
-    return list(seen.values())
+        kept.flush(query)
 
 
 def snapshot(spark: SparkSession) -> DataFrame:
@@ -189,34 +186,30 @@ def wait_until_idle(
     queries: StreamingQuery | Iterable[StreamingQuery],
     idle_rounds: int = 3,
     poll: float = 10.0,
-    on_poll: Callable[[list[str]], None] | None = None,
+    kept: ProgressLog | None = None,
     deadline: float | None = None,
-) -> list[str]:
+) -> None:
     """Poll until every query has been idle for ``idle_rounds`` polls or has
-    ended, then stop them. Returns all progress records seen, as JSON.
+    ended, then stop them. At each poll their progress goes to ``kept``.
 
     ``idle_rounds`` polls should span more than one trigger interval and one
     listing of the source, or a query may be taken for idle between two batches.
-    ``on_poll`` receives the records of each poll that were not seen before.
     After ``deadline`` seconds, if given, a ``TimeoutError`` is raised and the
     queries are left as they are.
     """
     began = time.monotonic()
     queries = [queries] if isinstance(queries, StreamingQuery) else list(queries)
     rules = [IdleRule(query) for query in queries]
-    seen: dict[str, None] = {}
 
-    def gather() -> None:
-        fresh = [p.json for q in queries for p in q.recentProgress if p.json not in seen]
-        seen.update(dict.fromkeys(fresh))
-        if on_poll is not None:
-            on_poll(fresh)
+    def flush() -> None:
+        if kept is not None:
+            kept.flush(*queries)
 
     while True:
         # All queries are polled before deciding: an upstream that is idle now
         # may have fed its downstream just before.
         polls = [rule.poll() if rule.query.isActive else idle_rounds for rule in rules]
-        gather()
+        flush()
         if all(n >= idle_rounds for n in polls):
             break
         if deadline is not None and time.monotonic() - began > deadline:
@@ -226,5 +219,4 @@ def wait_until_idle(
         query.stop()
         if query.exception() is not None:
             raise query.exception()
-    gather()
-    return list(seen)
+    flush()

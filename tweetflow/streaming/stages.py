@@ -61,7 +61,7 @@ def start_silver(
     upstream: Layout | None = None,
 ) -> StreamingQuery:
     """Follow the bronze table, by default the one of the same layout."""
-    bronze = _read_upstream(spark, upstream or layout, "bronze", max_bytes)
+    bronze = read_upstream(spark, upstream or layout, "bronze", max_bytes)
     return _append(to_silver(bronze), layout, "silver", trigger)
 
 
@@ -75,12 +75,12 @@ def start_gold(
 ) -> StreamingQuery:
     """Follow the silver table, by default the one of the same layout. With
     another ``upstream`` a table is scored anew beside its first scores."""
-    silver = _read_upstream(spark, upstream or layout, "silver", max_bytes)
+    silver = read_upstream(spark, upstream or layout, "silver", max_bytes)
     return _append(to_gold(silver, scorer), layout, "gold", trigger)
 
 
-def _read_upstream(
-    spark: SparkSession, layout: Layout, layer: str, max_bytes: int
+def read_upstream(
+    spark: SparkSession, layout: Layout, layer: str, max_bytes: int = MAX_BATCH_BYTES
 ) -> DataFrame:
     """A layer table as a stream; its sink log says which files are committed."""
     path = layout.table(layer)
