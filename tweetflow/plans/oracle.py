@@ -392,9 +392,9 @@ def oracle_sql() -> dict[str, str]:
         "quality_report": tweets(
             " UNION ALL ".join(
                 f"SELECT 'null_profile' AS section, '{c}' AS key, {n} AS n FROM tweets"
-                for c, n in missing.items()
+                for c, n in (missing | {"source_file": 0, "processing_time": 0}).items()
             )
-XX, \"user\", count(*) AS n FROM tweets"
+            + " UNION ALL SELECT * FROM (SELECT 'top_users', \"user\", count(*) AS n FROM tweets"
             ' GROUP BY "user" ORDER BY n DESC, "user" LIMIT 20)'
             " UNION ALL SELECT 'mention_presence', CASE WHEN text LIKE '%@%' THEN '1' ELSE '0' END, count(*)"
             " FROM tweets GROUP BY 2"
