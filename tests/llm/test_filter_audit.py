@@ -57,27 +57,31 @@ def test_failures_equal_brute_force(documents, texts, shard, monkeypatch):
         assert (out[i].n_words, out[i].n_distinct) == (len(words), len(set(words)))
 
 
-def test_matrix_and_dictionary(documents, texts):
-    """Entries name words of one dictionary, numbered in order without gaps."""
-    shards, terms = A.csr_shards(documents(texts))
-    word = {r.word_id: r.word for r in terms.collect()}
-    assert [word[i] for i in range(len(word))] == sorted(word.values(), key=str.encode)
+@pytest.mark.parametrize("shard, buckets", [(300, 3), (4 << 20, 64)])
+def test_matrix_and_dictionary(documents, texts, shard, buckets, monkeypatch):
+    """Entries name words of one dictionary, in which each distinct word has one number."""
+    monkeypatch.setattr(A, "SHARD", shard)
+    shards, terms = A.csr_shards(documents(texts), buckets=buckets)
+    terms = terms.collect()
+    word = {r.word_id: r.word for r in terms}
+    assert len(word) == len(terms) == len(set(word.values()))
     seen = 0
     for shard in shards.collect():
+        indptr, indices, counts = A.matrix(shard.indptr, shard.indices, shard.counts)
         for row, doc_id in enumerate(shard.doc_ids):
-            a, b = shard.indptr[row : row + 2]
-            found = {word[i]: n for i, n in zip(shard.indices[a:b], shard.counts[a:b], strict=True)}
+            a, b = indptr[row : row + 2]
+            found = {word[i]: n for i, n in zip(indices[a:b].tolist(), counts[a:b].tolist(), strict=True)}
             words = re.findall(r"[^\x20\x09-\x0D]+", texts[doc_id] or "")
             assert found == {w: words.count(w) for w in set(words)}
-            assert shard.indices[a:b] == sorted(shard.indices[a:b])
             seen += 1
     assert seen == len(texts)
+    assert set(word.values()) == {w for t in texts for w in re.findall(r"[^\x20\x09-\x0D]+", t or "")}
 
 
 def test_terms_of_texts_that_touch():
     words, indptr, indices, counts = A.document_terms(*utf8(pa.array(["b a", "a", "", None, "b b", " "])))
-    assert words.to_pylist() == ["a", "b"] and indptr.tolist() == [0, 2, 3, 3, 3, 4, 4]
-    assert indices.tolist() == [0, 1, 0, 1] and counts.tolist() == [1, 1, 1, 2]
+    assert words == [b"b", b"a"] and indptr.tolist() == [0, 2, 3, 3, 3, 4, 4]
+    assert indices.tolist() == [0, 1, 1, 0] and counts.tolist() == [1, 1, 1, 2]
     assert len(A.document_terms(np.zeros(0, np.uint8), np.zeros(1, np.int64))[0]) == 0
 
 

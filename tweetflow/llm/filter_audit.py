@@ -1,11 +1,12 @@
 """What five filters remove, and how much of it another one would have removed anyway.
 
 Documents are held as a sparse matrix of documents by words: shards in CSR form
-over one dictionary for the whole corpus. A shard first numbers its own words;
-these small vocabularies, not the words of the texts, are shuffled to number all
-distinct words, and the numbers come back to the shards. Sums and counts of the
-rows of the matrix decide the filters on words, other filters are judged beside
-them, and copies by the least id that has the same text.
+over one dictionary for the whole corpus. A shard first numbers its own distinct
+words, and only these go on, packed by buckets of their hash: to a bucket come
+its words from all shards, it numbers them, and the numbers go back to the
+shards. Sums and counts of the rows of the matrix decide the filters on words,
+other filters are judged beside them, and copies by the least id that has the
+same text.
 
 A failing pattern is the set of filters that a document fails. Only the number
 of documents per part and pattern is needed to follow every order of filters.
@@ -18,11 +19,11 @@ from itertools import permutations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tweetflow.llm.frames import bound_batches, looked_up, pick, shard_number, stored, text_key
+from tweetflow.llm.frames import bound_batches, packed, pick, shard_number, stored, text_key, unpacked
 from tweetflow.llm.words import slices, utf8
 
 #: The filters; the bit of a filter in a pattern is its place here.
@@ -37,6 +38,8 @@ MOST_CAPITALS = 5
 SIGNS = b"#$%&*|"
 #: Bytes of texts in a shard.
 SHARD = 4 << 20
+#: Buckets of words at least; as many as there are shuffle partitions if those are more.
+BUCKETS = 64
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -52,8 +55,8 @@ def _count(mask: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.diff(np.searchsorted(np.flatnonzero(mask), ends))
 
 
-def document_terms(data: np.ndarray, ends: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted words of the texts, and the CSR matrix of texts by words: indptr, indices, counts."""
+def document_terms(data: np.ndarray, ends: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct words of the texts, and the CSR matrix of texts by words: indptr, indices, counts."""
     inside = ~_SPACE[data]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
@@ -63,27 +66,39 @@ def document_terms(data: np.ndarray, ends: np.ndarray) -> tuple[pa.Array, np.nda
     n = len(ends) - 1
     if not len(starts):
         none = np.zeros(0, np.int64)
-        return pa.array([], pa.string()), np.zeros(n + 1, np.int64), none, none
+        return [], np.zeros(n + 1, np.int64), none, none
     # Between two starts, what is inside belongs to the first.
-    letters = np.cumsum(np.concatenate([[0], np.bincount(np.searchsorted(starts, np.flatnonzero(inside), "right") - 1)]))
-    words = pa.StringArray.from_buffers(
-        len(starts), pa.py_buffer(letters.astype(np.int32)), pa.py_buffer(data[inside])
+    lengths = np.add.reduceat(inside, starts, dtype=np.int64)
+    offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+    words = pa.BinaryArray.from_buffers(
+        pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data[inside])]
     ).dictionary_encode()
-    order = pc.array_sort_indices(words.dictionary).to_numpy()
-    rank = np.empty(len(order), np.int64)
-    rank[order] = np.arange(len(order))
+    n_words = len(words.dictionary)
     text = np.searchsorted(ends, starts, side="right") - 1
-    cells, counts = np.unique(text * len(order) + rank[words.indices.to_numpy()], return_counts=True)
-    rows = cells // len(order)
-    return words.dictionary.take(pa.array(order)), np.searchsorted(rows, np.arange(n + 1)), cells % len(order), counts
+    cells, counts = np.unique(text * n_words + words.indices.to_numpy(), return_counts=True)
+    rows, indices = np.divmod(cells, n_words)
+    return words.dictionary.to_pylist(), np.searchsorted(rows, np.arange(n + 1)), indices, counts
 
 
-def _lists(values: np.ndarray, kind: pa.DataType) -> pa.ListArray:
+def _lists(values: pa.Array) -> pa.ListArray:
     """One list that holds all values."""
-    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values, kind))
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
-def _local_shards(docs: DataFrame) -> DataFrame:
+def _by_bucket(words: list[bytes], buckets: int) -> tuple[np.ndarray, list[bytes]]:
+    """New numbers of the words, bucket by bucket, and the words of each bucket, packed."""
+    bucket = np.fromiter((xxhash.xxh32_intdigest(w) % buckets for w in words), np.int64, len(words))
+    order = np.argsort(bucket, kind="stable")
+    number = np.empty(len(words), np.int64)
+    number[order] = np.arange(len(words))
+    ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
+    return number, [
+        packed(b" ".join([words[i] for i in order[a:b].tolist()])) if b > a else b""
+        for a, b in zip(ends[:-1], ends[1:], strict=True)
+    ]
+
+
+def _local_shards(docs: DataFrame, buckets: int) -> DataFrame:
     """Shards over their own words; ``other`` has the bits of the filters C and D."""
     bound_batches(docs.sparkSession)
 
@@ -92,70 +107,119 @@ def _local_shards(docs: DataFrame) -> DataFrame:
         for batch in slices(batches, "text", SHARD):
             data, ends = utf8(batch.column("text"))
             words, indptr, indices, counts = document_terms(data, ends)
+            number, packs = _by_bucket(words, buckets)
             points = np.diff(ends) - _count(_CONTINUES[data], ends)
             capitals, signs = _count(_CAPITAL[data], ends), _count(_SIGN[data], ends)
             other = 4 * (100 * capitals > MOST_CAPITALS * points) + 8 * (signs > 0)
-            ids = batch.column("doc_id")
+            blobs = (packed(x.astype(np.int32)) for x in (indptr, number[indices], counts))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([next(numbers)], pa.int64()),
-                    *(pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c)
-                      for c in (ids, batch.column("part"), batch.column("t1"), batch.column("t2"))),
-                    _lists(other, pa.int32()),
-                    _lists(indptr, pa.int32()),
-                    _lists(indices, pa.int32()),
-                    _lists(counts, pa.int32()),
-                    pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words),
+                    *(_lists(batch.column(c)) for c in ("doc_id", "part", "t1", "t2")),
+                    _lists(pa.array(other, pa.int32())),
+                    *(pa.array([blob], pa.binary()) for blob in blobs),
+                    _lists(pa.array(packs, pa.binary())),
                 ],
-                names=["shard", "doc_ids", "parts", "t1s", "t2s", "other", "indptr", "indices", "counts", "words"],
-            )
+                names=["shard", "doc_ids", "parts", "t1s", "t2s", "other", "indptr", "indices", "counts", "packs"],
+            )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.mapInArrow(
         run,
         f"shard bigint, doc_ids array<{kind}>, parts array<string>, t1s array<bigint>, t2s array<bigint>,"
-        " other array<int>, indptr array<int>, indices array<int>, counts array<int>, words array<string>",
+        " other array<int>, indptr binary, indices binary, counts binary, packs array<binary>",
     )
 
 
-def dictionary(shards: DataFrame, words: str = "words") -> DataFrame:
-    """``(word, word_id)``: the distinct words of all shards, numbered in their order from 0.
+def _numbered(shards: DataFrame, buckets: int) -> DataFrame:
+    """``(shard, bucket, ranks, fresh)``: words of a bucket are numbered as they come.
 
-    Words are dealt by range and sorted; a range begins where the ones before it
-    end, by a count per range.
+    ``ranks`` are those of a shard's words, ``fresh`` the words that came for the
+    first time. A task holds the distinct words of one bucket at a time.
     """
-    distinct = shards.select(F.explode(words).alias("word")).distinct()
-    ranged = distinct.repartitionByRange("word").sortWithinPartitions("word")
-    place = F.monotonically_increasing_id()
-    placed = stored(ranged.withColumn("place", place), "dictionary")
-    # The upper bits number the range, the lower 33 the word in it.
-    placed = placed.withColumn("range", F.shiftrightunsigned("place", 33).cast("int"))
-    sizes = placed.groupBy("range").agg(F.count("*").alias("n"))
-    before = F.sum("n").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1))
-    # One row per range, that is per task of the sort.
-    starts = sizes.select("range", F.coalesce(before, F.lit(0)).alias("start"))
-    within = F.col("place").bitwiseAND(F.lit((1 << 33) - 1))
-    return placed.join(F.broadcast(starts), "range").select("word", (F.col("start") + within).alias("word_id"))
+    packs = shards.select("shard", F.posexplode("packs").alias("bucket", "pack")).filter(F.length("pack") > 0)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, known = None, {}
+        for batch in batches:
+            ranks, fresh = [], []
+            for bucket, pack in zip(batch.column("bucket").to_pylist(), batch.column("pack"), strict=True):
+                if bucket != current:
+                    current, known = bucket, {}
+                words, before = unpacked(pack.as_py()).split(b" "), len(known)
+                own = [known.setdefault(w, len(known)) for w in words]
+                ranks.append(packed(np.array(own, np.int32)))
+                fresh.append(packed(b" ".join([w for w, i in zip(words, own, strict=True) if i >= before])))
+            columns = [batch.column("shard"), batch.column("bucket"), pa.array(ranks, pa.binary()), pa.array(fresh, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["shard", "bucket", "ranks", "fresh"])
+
+    dealt = packs.repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    return dealt.mapInArrow(run, "shard bigint, bucket int, ranks binary, fresh binary")
+
+
+def dictionary(numbered: DataFrame, buckets: int) -> DataFrame:
+    """``(word, word_id)`` for each distinct word of the corpus.
+
+    In a bucket words come in the order of their numbers, but from shard to
+    shard: a shard's fresh words go on from the highest rank before it, which is
+    the least rank among them.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for bucket, ranks, fresh in zip(*(batch.column(c).to_pylist() for c in ("bucket", "ranks", "fresh")), strict=True):
+                words = unpacked(fresh).split(b" ") if unpacked(fresh) else []
+                last = np.sort(np.frombuffer(unpacked(ranks), np.int32))[len(unpacked(ranks)) // 4 - len(words) :]
+                ids = last.astype(np.int64) * buckets + bucket
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(words, pa.binary()).cast(pa.string()), pa.array(ids)], names=["word", "word_id"]
+                )
+
+    return numbered.mapInArrow(run, "word string, word_id bigint")
 
 
 def csr_shards(
-    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source: str = "source"
+    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source: str = "source", buckets: int | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """The document-term matrix of ``docs`` in shards, and the dictionary of its columns.
 
     A shard has ``doc_ids`` and ``parts`` (sources, null: empty) of its rows, and
-    ``indptr``, ``indices`` (word ids, ascending within a row) and ``counts``.
-    ``t1s``, ``t2s`` stand for the whole text. A null text is empty and has a row
-    without entries; repeated rows are rows of their own.
+    ``indptr``, ``indices`` (word ids, in no order within a row) and ``counts``,
+    packed integers that ``matrix`` reads. ``t1s``, ``t2s`` stand for the whole
+    text. A null text is empty and has a row without entries; repeated rows are
+    rows of their own. More ``buckets`` make smaller dictionaries in the tasks.
     """
+    buckets = buckets or max(BUCKETS, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     own = pick(docs, doc_id=doc_id, text=text, part=source)
     own = own.withColumns({"part": F.coalesce("part", F.lit("")), "text": F.coalesce("text", F.lit(""))})
     t1, t2 = text_key(F.col("text"))
-    local = stored(_local_shards(own.withColumns({"t1": t1, "t2": t2})), "shards")
-    terms = stored(dictionary(local), "terms")
-    wide = looked_up(local, "words", terms, "word", ("word_id",))
-    ids = F.transform("indices", lambda i: F.col("word_id")[i])
-    return wide.withColumn("indices", ids).drop("words", "word_id"), terms
+    local = stored(_local_shards(own.withColumns({"t1": t1, "t2": t2}), buckets), "shards")
+    numbered = stored(_numbered(local, buckets), "numbered")
+    # A row per bucket to a shard.
+    back = numbered.groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("bucket", "ranks"))).alias("found"))
+    joined = local.drop("packs").join(back, "shard", "left")
+    names = [c for c in local.columns if c != "packs"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (whole.slice(i, 1) for whole in batches for i in range(whole.num_rows)):
+            found = batch.column("found")[0].as_py() or []
+            ids = [np.frombuffer(unpacked(x["ranks"]), np.int32).astype(np.int64) * buckets + x["bucket"] for x in found]
+            number = np.concatenate(ids) if ids else np.zeros(0, np.int64)
+            indices = number[np.frombuffer(unpacked(batch.column("indices")[0].as_py()), np.int32)]
+            columns = {c: batch.column(c) for c in names} | {"indices": pa.array([packed(indices)], pa.binary())}
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=names)
+
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in local.schema if f.name != "packs")
+    return joined.mapInArrow(run, schema), dictionary(numbered, buckets)
+
+
+def matrix(indptr: bytes, indices: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The arrays of a shard's CSR matrix."""
+    return (
+        np.frombuffer(unpacked(indptr), np.int32),
+        np.frombuffer(unpacked(indices), np.int64),
+        np.frombuffer(unpacked(counts), np.int32),
+    )
 
 
 def row_statistics(shards: DataFrame) -> DataFrame:
@@ -164,15 +228,13 @@ def row_statistics(shards: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                own = {name: batch.column(name)[i].values for name in batch.schema.names if name != "shard"}
-                indptr = own["indptr"].to_numpy()
-                total = np.concatenate([[0], np.cumsum(own["counts"].to_numpy(), dtype=np.int64)])
-                n_words, n_distinct = np.diff(total[indptr]), np.diff(indptr)
+                indptr, _, counts = matrix(*(batch.column(c)[i].as_py() for c in ("indptr", "indices", "counts")))
+                total = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *(own[name] for name in ("doc_ids", "parts", "t1s", "t2s", "other")),
-                        pa.array(n_words, pa.int64()),
-                        pa.array(n_distinct, pa.int64()),
+                        *(batch.column(c)[i].values for c in ("doc_ids", "parts", "t1s", "t2s", "other")),
+                        pa.array(np.diff(total[indptr]), pa.int64()),
+                        pa.array(np.diff(indptr), pa.int64()),
                     ],
                     names=["doc_id", "part", "t1", "t2", "other", "n_words", "n_distinct"],
                 )

@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from itertools import count
 
+import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,6 +61,18 @@ def shard_number() -> Iterator[int]:
     return count(TaskContext.get().partitionId() << 32)
 
 
+_COMPRESSOR, _DECOMPRESSOR = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+
+def packed(data: bytes | np.ndarray) -> bytes:
+    """Bytes or numbers, compressed."""
+    return _COMPRESSOR.compress(data if isinstance(data, bytes) else data.tobytes())
+
+
+def unpacked(data: bytes) -> bytes:
+    return _DECOMPRESSOR.decompress(data) if data else b""
+
+
 def looked_up(
     shards: DataFrame, keys: str, values: DataFrame, key: str, columns: tuple[str, ...]
 ) -> DataFrame:
