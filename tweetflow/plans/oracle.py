@@ -339,6 +339,19 @@ def oracle_sql() -> dict[str, str]:
             f" UNION ALL SELECT *, CAST(NULL AS INTEGER) FROM ({_CONVERSATION_MESSAGES})"
             f" UNION ALL SELECT *, CAST(length(text) AS INTEGER) FROM ({_DOCUMENT_MESSAGES})"
         ),
+        "rescued_fields": (
+            f'SELECT *, CAST(NULL AS INTEGER) AS n_letters, CAST(NULL AS INTEGER) AS n_left FROM ({_EVENT_MESSAGES})'
+            f" UNION ALL SELECT *, CAST(length(text) AS INTEGER), NULL FROM ({_CONVERSATION_MESSAGES})"
+            f" UNION ALL SELECT *, CAST(length(text) AS INTEGER), NULL FROM ({_DOCUMENT_MESSAGES})"
+        ),
+        "trained_scorer": _with(
+            _TWEETS, _SILVER,
+            select="SELECT count(*) AS n_held_out, TRUE AS has_learned FROM silver"
+            " WHERE lower(sentiment) IN ('positive', 'neutral', 'negative') AND substr(md5(cleaned_text), 1, 1) < '5'",
+        ),
+        "trained_gold_stream": _with(
+            _TWEETS, _SILVER, select="SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_differing FROM silver"
+        ),
         "corrupt_rows": with_corrupt,
         "corrupt_stream": with_corrupt,
         "replay_feed": tweets(raw),
@@ -392,7 +405,7 @@ def oracle_sql() -> dict[str, str]:
         "quality_report": tweets(
             " UNION ALL ".join(
                 f"SELECT 'null_profile' AS section, '{c}' AS key, {n} AS n FROM tweets"
-                for c, n in (missing | {"source_file": 0, "processing_time": 0}).items()
+                for c, n in (missing | dict.fromkeys(("source_file", "processing_time"), "count(*) FILTER (WHERE false)")).items()
             )
             + " UNION ALL SELECT * FROM (SELECT 'top_users', \"user\", count(*) AS n FROM tweets"
             ' GROUP BY "user" ORDER BY n DESC, "user" LIMIT 20)'

@@ -13,6 +13,7 @@ from functools import wraps
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tweetflow.functions import trained
 from tweetflow.functions.labels import apply_label_rule
 from tweetflow.functions.scorers import Scorer, lexicon_model, lexicon_scorer, model_scorer
 from tweetflow.operators import evaluation, mentions, progress, quality, throughput
@@ -30,6 +31,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 _SCORER = lexicon_scorer(feed.LEXICON)
 _CORRUPT = "_corrupt_record"
+_RESCUED = "_rescued"
 
 
 def queries() -> dict[str, Query]:
@@ -198,6 +200,64 @@ def eval_weighted(spark, sf_dir):
     return summary.select(*[_rounded(c) for c in summary.columns if c != "n_rows"], "n_rows")
 
 
+def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver rows with a label, and whether they are kept from the training."""
+    silver = to_silver(feed.messages(spark, sf_dir))
+    return silver.filter(trained.label_of("sentiment").isNotNull()).withColumn(
+        "held_out", F.substring(F.md5("cleaned_text"), 1, 1) < "5"
+    )
+
+
+def _trained(spark: SparkSession, sf_dir: str) -> str:
+    """A scorer trained on labelled messages, saved."""
+
+    def make() -> str:
+        path = f"{_new_dir(spark, 'trained')}/v1"
+        trained.train(_labelled(spark, sf_dir).filter(~F.col("held_out"))).save(path)
+        return path
+
+    return _once(spark, sf_dir, "trained", make)
+
+
+@_query
+def trained_scorer(spark, sf_dir):
+    """Rows that were held out of the training, and whether the scorer beats the most
+    frequent label by a tenth of all rows."""
+    scorer = trained.load_scorer(_trained(spark, sf_dir))
+    held_out = _labelled(spark, sf_dir).filter("held_out")
+    judged = scorer(held_out, "cleaned_text", "p").select(
+        trained.label_of("sentiment").alias("label"), F.col("p.label").alias("predicted")
+    )
+    by_label = judged.groupBy("label").agg(
+        F.count("*").alias("n"), F.count(F.when(F.col("label") == F.col("predicted"), 1)).alias("hits")
+    )
+    return by_label.agg(
+        F.sum("n").alias("n_held_out"),
+        (F.sum("hits") >= F.max("n") + 0.1 * F.sum("n")).alias("has_learned"),
+    )
+
+
+@_query
+def trained_gold_stream(spark, sf_dir):
+    """A gold stream with the trained scorer against the same scorer over the silver table."""
+    scorer = trained.load_scorer(_trained(spark, sf_dir))
+    streamed = read_layer(spark, _run_gold(spark, sf_dir, scorer), "gold")
+    batch = to_gold(read_layer(spark, _tables(spark, sf_dir), "silver"), scorer)
+    key = [c for c in GOLD.fieldNames() if c != "predicted_score"] + [F.round("predicted_score", 9).alias("score")]
+    count = lambda df, name: df.select(*key).groupBy(*df.select(*key).columns).agg(F.count("*").alias(name))
+    names = [c for c in GOLD.fieldNames() if c != "predicted_score"] + ["score"]
+    one, other = count(streamed, "n"), count(batch, "m")
+    same = [one[c].eqNullSafe(other[c]) for c in names]
+    condition = same[0]
+    for part in same[1:]:
+        condition = condition & part
+    compared = one.join(other, condition, "full_outer")
+    return compared.agg(
+        F.sum("n").alias("n_rows"),
+        F.count(F.when(~F.col("n").eqNullSafe(F.col("m")), 1)).alias("n_differing"),
+    )
+
+
 # --- landing files and tables -------------------------------------------------
 
 #: Landing directories and layer tables that several queries read, made
@@ -392,6 +452,23 @@ def schema_merge(spark, sf_dir):
     return read_layer(spark, layout, "bronze", merge_schema=True).select(*wider.fieldNames())
 
 
+@_query
+def rescued_fields(spark, sf_dir):
+    """Documents come with a field that is declared only afterwards, conversations when it
+    is; it becomes a column for both."""
+    source, layout = _new_dir(spark, "undeclared"), Layout(_new_dir(spark, "rescuing"))
+    field = T.StructField("n_letters", T.IntegerType())
+    _land(feed.event_messages(spark, sf_dir), source)
+    _land(feed.document_messages(spark, sf_dir).withColumn("n_letters", F.length("text")), source)
+    stages.start_bronze(spark, source, layout, rescue_column=_RESCUED).awaitTermination()
+    _land(feed.conversation_messages(spark, sf_dir).withColumn("n_letters", F.length("text")), source)
+    wider = T.StructType([*RAW.fields, field])
+    stages.start_bronze(spark, source, layout, schema=wider, rescue_column=_RESCUED).awaitTermination()
+    bronze = read_layer(spark, layout, "bronze", merge_schema=True)
+    whole = landing.promote(bronze, T.StructType([field]), _RESCUED)
+    return whole.select(*wider.fieldNames(), F.size(_RESCUED).alias("n_left"))
+
+
 @_query
 def corrupt_rows(spark, sf_dir):
     """Malformed lines kept by a batch scan."""

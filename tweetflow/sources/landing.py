@@ -25,21 +25,22 @@ def read_stream(
     max_bytes: int | None = None,
     max_files: int | None = None,
     corrupt_column: str | None = None,
+    rescue_column: str | None = None,
 ) -> DataFrame:
-    """New files as a stream, with a declared schema; for ``corrupt_column`` see
-    ``read_batch``.
+    """New files as a stream, with a declared schema; for ``corrupt_column`` and
+    ``rescue_column`` see ``read_batch``.
 
     ``max_bytes`` or ``max_files`` bounds a micro-batch. Prefer bytes: files
     differ in size, so a number of files says little about the work.
     """
     if max_bytes is not None and max_files is not None:
         raise ValueError("give max_bytes or max_files, not both")
-    reader = _declared(spark.readStream, schema, corrupt_column).option("maxFileAge", MAX_FILE_AGE)
+    reader = spark.readStream.option("maxFileAge", MAX_FILE_AGE)
     if max_bytes is not None:
         reader = reader.option("maxBytesPerTrigger", str(max_bytes))
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
-    return reader.json(path)
+    return _read(reader, path, schema, corrupt_column, rescue_column)
 
 
 def read_batch(
@@ -47,17 +48,62 @@ def read_batch(
     path: str,
     schema: T.StructType = RAW,
     corrupt_column: str | None = None,
+    rescue_column: str | None = None,
 ) -> DataFrame:
     """The same files as a batch. A malformed line is a row of nulls; with
-    ``corrupt_column`` that extra column holds the line."""
-    return _declared(spark.read, schema, corrupt_column).json(path)
+    ``corrupt_column`` that extra column holds the line.
 
+    With ``rescue_column`` that extra column, a map of strings, holds the fields
+    that ``schema`` lacks, nested ones as JSON; null where there are none. See
+    ``promote``."""
+    return _read(spark.read, path, schema, corrupt_column, rescue_column)
 
-def _declared(reader, schema: T.StructType, corrupt_column: str | None):
-    if corrupt_column is None:
-        return reader.schema(schema)
-    wider = T.StructType(schema.fields + [T.StructField(corrupt_column, T.StringType())])
-    return reader.schema(wider).option("columnNameOfCorruptRecord", corrupt_column)
+
+def _read(
+    reader, path: str, schema: T.StructType, corrupt_column: str | None, rescue_column: str | None
+) -> DataFrame:
+    options = {}
+    declared = schema.fieldNames()
+    if corrupt_column is not None:
+        schema = T.StructType(schema.fields + [T.StructField(corrupt_column, T.StringType())])
+        options["columnNameOfCorruptRecord"] = corrupt_column
+    if rescue_column is None:
+        return reader.schema(schema).options(**options).json(path)
+    # A line is parsed for the declared fields and once more for all that it has.
+    lines = reader.text(path).filter(F.trim("value") != "")
+    every = F.map_filter(
+        F.from_json("value", "map<string,string>"), lambda name, _: ~F.coalesce(name.isin(*declared), F.lit(False))
+    )
+    parsed = lines.withColumns({"__row": F.from_json("value", schema, options), "__every": every})
+    return parsed.select(
+        *(F.col("__row")[name].alias(name) for name in schema.fieldNames()),
+        F.when(F.size("__every") > 0, F.col("__every")).alias(rescue_column),
+    )
+
+
+def promote(table: DataFrame, fields: T.StructType, rescue_column: str) -> DataFrame:
+    """``table`` with rescued fields as columns of their own.
+
+    A column that the table has gained meanwhile is filled up from what was
+    rescued before. A value that does not have the declared type stays rescued,
+    and is null in the column.
+    """
+    rescued = F.col(rescue_column)
+    columns = {}
+    for field in fields:
+        value = F.try_element_at(rescued, F.lit(field.name)).try_cast(field.dataType)
+        own = F.col(field.name) if field.name in table.columns else F.lit(None)
+        columns[field.name] = F.coalesce(own, value)
+    kinds = {field.name: field.dataType for field in fields}
+
+    def stays(name, value):
+        moved = F.lit(False)
+        for field, kind in kinds.items():
+            moved = moved | ((name == field) & (value.isNull() | value.try_cast(kind).isNotNull()))
+        return ~moved
+
+    left = F.map_filter(rescued, stays)
+    return table.withColumns({**columns, rescue_column: F.when(F.size(left) > 0, left)})
 
 
 def read_inferred(spark: SparkSession, path: str) -> DataFrame:
