@@ -119,28 +119,46 @@ def test_measures_equal_brute_force(documents, tokenizers, texts):
 def test_segments_join_up_and_tokenise_alike(tokenizers):
     """Random texts of awkward characters: by segments as whole."""
     rng = random.Random(3)
-    aligner = A.ShardAligner(A.Aligner(tokenizer_path(), piece_path()))
-    letters = "ab c  \n\t\x1c\x85\xa0 'sé日▁🎉1-<|endoftext|>"
-    for _ in range(300):
-        text = "".join(rng.choice(letters) for _ in range(rng.randint(1, 40)))
+    aligner = A.Aligner(tokenizer_path(), piece_path())
+    letters = "ab c  \n\t\x1c\x85\xa0 'sé日▁🎉1-<|endoftext|>"
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(1, 40))) for _ in range(300)]
+    # Without the sign that is never given back as well.
+    texts += [t.replace("▁", "") or "x" for t in texts]
+    found = aligner.align(texts)
+    assert any(found.digests[:300]) and all(found.digests[300:])
+    for i, text in enumerate(texts):
         assert "".join(A.SEGMENT.findall(" " + text)) == " " + text
         groups = groups_by_hand(tokenizers, text)
-        ((n_a, n_b, n_groups, _, digest),) = aligner.align([text]).measures
         if groups is None:
-            assert digest == "" and n_a == 0, repr(text)
+            assert found.digests[i] == "" and not found.measures[:, i].any(), repr(text)
         else:
             said = ";".join(f"{','.join(map(str, a))}|{','.join(map(str, b))}" for a, b in groups)
-            assert digest == hashlib.sha256(said.encode()).hexdigest(), repr(text)
-            assert (n_a, n_b, n_groups) == (sum(len(a) for a, _ in groups), sum(len(b) for _, b in groups), len(groups))
+            assert found.digests[i] == hashlib.sha256(said.encode()).hexdigest(), repr(text)
+            sizes = (sum(len(a) for a, _ in groups), sum(len(b) for _, b in groups), len(groups))
+            assert tuple(found.measures[:3, i].tolist()) == sizes
 
 
-def test_forgetting_segments_changes_nothing(tokenizers, texts, monkeypatch):
-    aligner = A.ShardAligner(A.Aligner(tokenizer_path(), piece_path()))
+def test_however_segments_are_joined(texts, monkeypatch):
     some = [t or "" for t in texts[:60]]
-    whole = aligner.align(some)
-    monkeypatch.setattr(A, "_SEGMENTS", 1)
-    parts = [aligner.align(some[i : i + 7]) for i in range(0, len(some), 7)]
-    assert [m for p in parts for m in p.measures] == whole.measures
+    whole = A.Aligner(tokenizer_path(), piece_path()).align(some)
+    monkeypatch.setattr(A, "_CHUNK", 7)
+    parts = [A.Aligner(tokenizer_path(), piece_path()).align(some[i : i + 7]) for i in range(0, len(some), 7)]
+    assert [d for p in parts for d in p.digests] == whole.digests
+    monkeypatch.setattr(A, "_chunks", lambda kinds, _: [(i, i + 1) for i in range(len(kinds))])
+    again = A.Aligner(tokenizer_path(), piece_path()).align(some)
+    assert again.digests == whole.digests and (again.measures == whole.measures).all()
+    assert (again.pairs == whole.pairs).all() and (again.links == whole.links).all()
+
+
+@pytest.mark.parametrize("shard, gather, buckets", [(500, 5, 3), (2 << 20, 1 << 21, 200)])
+def test_sums_over_shards_and_buckets(documents, tokenizers, texts, shard, gather, buckets, monkeypatch):
+    monkeypatch.setattr(A, "SHARD", shard)
+    monkeypatch.setattr(A, "_GATHER", gather)
+    some = texts[:90]
+    measures, counts = A.align(documents(some), tokenizer_path(), piece_path(), buckets=buckets)
+    want, want_counts = by_hand(tokenizers, some)
+    assert {r.doc_id: tuple(r[m] for m in A.MEASURES) for r in measures.collect()} == dict(enumerate(want))
+    assert {(r.a, r.b): r.n for r in counts.collect()} == want_counts
 
 
 def test_empty_tables_and_rows_without_ids(documents):
@@ -172,4 +190,26 @@ def test_a_vocabulary_that_goes_on_behind_blanks_is_refused(monkeypatch):
 def test_the_vocabulary_file_has_the_bytes_of_every_id():
     with open(tokenizer_path(), encoding="utf-8") as file:
         vocab = json.load(file)["model"]["vocab"]
-    assert len(A._byte_level(tokenizer_path())[1]) == len(vocab)
+    assert len(A._byte_level(tokenizer_path())[2]) == len(vocab)
+
+
+def test_both_functions_of_the_byte_level_vocabulary_agree(texts):
+    any_text, plain_text, _ = A._byte_level(tokenizer_path())
+    assert any_text is not plain_text
+    rng = random.Random(9)
+    letters = "".join(map(chr, [*range(0x21, 0x7F), *range(0xA1, 0x250)])) + "'" * 9 + "  stdreve"
+    segments = {s for t in texts for s in A.SEGMENT.findall(" " + (t or "")) if A._kind(s) == 0}
+    segments |= {" x" + "".join(rng.choice(letters) for _ in range(rng.randint(1, 30))) + "x" for _ in range(3000)}
+    segments = sorted(s for s in segments if A._kind(s) == 0)
+    assert len(segments) > 3000
+    assert [plain_text(s) for s in segments] == [any_text(s) for s in segments]
+
+
+def test_a_vocabulary_in_another_order_has_one_function(tmp_path):
+    with open(tokenizer_path(), encoding="utf-8") as file:
+        content = json.load(file)
+    content["model"]["merges"][:2] = content["model"]["merges"][1::-1]
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(content))
+    any_text, plain_text, _ = A._byte_level(str(path))
+    assert any_text is plain_text

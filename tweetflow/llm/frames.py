@@ -73,22 +73,6 @@ def unpacked(data: bytes) -> bytes:
     return _DECOMPRESSOR.decompress(data) if data else b""
 
 
-def looked_up(
-    shards: DataFrame, keys: str, values: DataFrame, key: str, columns: tuple[str, ...]
-) -> DataFrame:
-    """``shards`` with an array per column of ``values``, entry by entry of the array ``keys``.
-
-    Shards have a ``shard`` number and distinct entries in ``keys``, all of
-    which occur once in ``key`` of ``values``. What is joined is one row per
-    shard and entry, so a key that every row holds comes once per shard.
-    """
-    entries = shards.select("shard", F.posexplode(keys).alias("at", key))
-    found = entries.join(values.select(key, *columns), key)
-    packed = found.groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("at", *columns))).alias("found"))
-    wide = shards.join(packed, "shard", "left")
-    return wide.select(*shards.columns, *(F.col("found")[c].alias(c) for c in columns))
-
-
 def fold(column: str | Column) -> Column:
     """crc32 of the id as text, modulo 3; a null id has fold 1, the held-out one."""
     text = (F.col(column) if isinstance(column, str) else column).cast("string")
