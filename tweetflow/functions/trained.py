@@ -66,15 +66,16 @@ def train(
     *,
     text: str = "cleaned_text",
     sentiment: str = "sentiment",
-    n_features: int = 1 << 18,
-    iterations: int = 30,
+    n_features: int = 1 << 16,
+    iterations: int = 15,
     penalty: float = 1e-4,
     version: str = "untitled",
 ) -> TrainedScorer:
     """Learn from the rows of ``labelled`` whose sentiment is a label.
 
     The weights, ``n_features`` for each label, are held by the driver and sent
-    to the tasks for each of the ``iterations``. Every label has to occur.
+    to the tasks for each of the ``iterations``. Rows should be spread over all
+    cores, for every iteration goes through them. Every label has to occur.
     """
     label = label_of(sentiment)
     rows = labelled.select(F.coalesce(as_column(text), F.lit("")).alias(_TEXT), label.alias("label"))

@@ -213,7 +213,9 @@ def _trained(spark: SparkSession, sf_dir: str) -> str:
 
     def make() -> str:
         path = f"{_new_dir(spark, 'trained')}/v1"
-        trained.train(_labelled(spark, sf_dir).filter(~F.col("held_out"))).save(path)
+        sample = _labelled(spark, sf_dir).filter(~F.col("held_out"))
+        # Input files may be few; every iteration goes through all rows.
+        trained.train(sample.repartition(spark.sparkContext.defaultParallelism)).save(path)
         return path
 
     return _once(spark, sf_dir, "trained", make)
