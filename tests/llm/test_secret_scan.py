@@ -60,6 +60,45 @@ def test_held_out_accuracy():
     assert not any(map(model.is_random, ["=" * 40, "-" * 40, "_" * 40]))
 
 
+STYLES = {
+    "snake": "_".join,
+    "kebab": "-".join,
+    "path": "/".join,
+    "upper": lambda w: "_".join(w).upper(),
+    "camel": lambda w: w[0] + "".join(x.title() for x in w[1:]),
+    "pascal": lambda w: "".join(x.title() for x in w),
+    "joined": "".join,
+}
+#: None of these is in the samples that a model is trained on.
+OTHER_WORDS = (
+    "customer request handler service manager config default connection pool timeout retry buffer stream parse"
+    " format encode decode event listener callback matrix vector gradient window filter token shard bucket merge"
+).split()
+
+
+def test_error_rates_on_held_out_strings(spark):
+    """Alphabets and naming styles that the corpus has and has not, by a model of the corpus."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = S.fit_on_corpus(docs)
+    rng = random.Random(11)
+    for letters in S.ALPHABETS:
+        for size in (24, 40):
+            found = [model.is_random(x) for x in randoms(rng, 400, letters, size)]
+            assert sum(found) >= 0.95 * 400, (letters, size)
+    own = [w for r in docs.limit(50).collect() for w in re.findall("[a-z]{4,10}", r.text or "")]
+    for words in (own, OTHER_WORDS):
+        for style, join in STYLES.items():
+            made = [join([rng.choice(words) for _ in range(5)]) for _ in range(400)]
+            assert sum(map(model.is_random, made)) <= 0.02 * 400, style
+
+
+def test_probabilities_sum_to_one():
+    counts = S.pair_counts(["abcabc", "x_y", "AB12"])
+    for given in (counts, np.zeros_like(counts)):
+        assert np.allclose(np.exp(S._log_rows(given)).sum(axis=1), 1)
+    assert S._drawn().sum() > 0 and S._named(counts).sum() == pytest.approx(1)
+
+
 @pytest.fixture(scope="module")
 def model():
     rng = random.Random(5)

@@ -4,7 +4,11 @@ Two character Markov models of order one are trained from labelled samples:
 one of random strings, one of ordinary identifiers. A string is a secret if the
 log-likelihood ratio of the two, per string and per character, is high enough.
 In the corpus the labels come from form: values of known secrets are random,
-all other runs of the same characters are ordinary.
+all other runs of the same characters are ordinary. A corpus shows few
+alphabets of secrets and few styles of names, so each class has further samples:
+strings drawn from usual alphabets, and the words of the ordinary runs joined
+the way names are written. Pairs that a class lacks are backed off to what
+follows the kind of character, and that to single characters.
 """
 
 from __future__ import annotations
@@ -47,11 +51,25 @@ _ORDINARY = re.compile(r"[A-Za-z0-9+/_=-]{8,}")
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 _SIGNS = "/_=-"
-#: Weight of a uniform model beside the counts, in characters per context.
+#: Weight of what a model backs off to beside its counts: a share, however many
+#: there are, since names of other words than the corpus has are ordinary too.
+BACK_OFF = 0.3
+#: And characters per context, which tell where there are few counts.
 PRIOR = 20.0
-#: Nats by which the random model must win: in all, and per character.
+#: Nats by which the random model must win: in all, and per character. Chosen on
+#: strings that were not trained on; the tests hold both error rates.
 LEAST_RATIO = 12.0
-LEAST_RATE = 0.6
+LEAST_RATE = 0.75
+#: Alphabets of random strings.
+_LOWER, _UPPER, _DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+ALPHABETS = (
+    _DIGITS + "abcdef",
+    _DIGITS + "ABCDEF",
+    _DIGITS + _UPPER,
+    _DIGITS + _LOWER,
+    _DIGITS + _UPPER + _LOWER,
+    _DIGITS + _UPPER + _LOWER + "+/",
+)
 
 _N = len(ALPHABET) + 1  # the last one stands for both ends
 _CODE = np.full(256, _N - 1, np.int64)
@@ -79,6 +97,72 @@ def pair_counts(strings: list[str]) -> np.ndarray:
     return np.bincount(pairs, minlength=_N * _N).reshape(_N, _N) if strings else np.zeros((_N, _N), int)
 
 
+def _drawn() -> np.ndarray:
+    """What pairs to expect in strings drawn from each alphabet: one character in all for each."""
+    counts = np.zeros((_N, _N))
+    for alphabet in ALPHABETS:
+        codes = _CODE[np.frombuffer(alphabet.encode(), np.uint8)]
+        counts[np.ix_(codes, codes)] += 1 / len(codes) ** 2
+        counts[_N - 1, codes] += 1 / len(codes) / 40
+    return counts / len(ALPHABETS)
+
+
+def _named(ordinary: np.ndarray) -> np.ndarray:
+    """What pairs to expect in names made of the words of ordinary runs: one character in all.
+
+    Words are their letters without case. Names are snake_case, kebab-case,
+    paths, UPPER_CASE, camelCase and PascalCase, equally often.
+    """
+    upper, lower = slice(0, 26), slice(26, 52)
+    signs = [ALPHABET.index(sign) for sign in _SIGNS]
+    outside = [*signs, *range(52, _N)]
+    pairs = sum(ordinary[a, b] for a in (upper, lower) for b in (upper, lower)) + 1e-3
+    # Words begin behind what is no letter, and where a capital follows a small letter.
+    begins = ordinary[outside, upper].sum(axis=0) + ordinary[outside, lower].sum(axis=0)
+    begins = begins + ordinary[lower, upper].sum(axis=0) + 1e-3
+    ends = ordinary[upper, outside].sum(axis=1) + ordinary[lower, outside].sum(axis=1)
+    ends = ends + ordinary[lower, upper].sum(axis=1) + 1e-3
+    pairs, begins, ends = pairs / pairs.sum(), begins / begins.sum(), ends / ends.sum()
+    # Of six characters one begins a word.
+    out = np.zeros((_N, _N))
+    for case, n_styles in ((lower, 3), (upper, 1)):
+        out[case, case] += n_styles * 4 / 6 * pairs
+        for sign in signs[:3]:
+            out[sign, case] += n_styles / 6 / 3 * begins
+            out[case, sign] += n_styles / 6 / 3 * ends
+        out[_N - 1, case] += n_styles / 6 / 5 * begins
+    joined = ends[:, None] * begins[None, :]
+    first = pairs * (begins / np.maximum(pairs.sum(axis=1), 1e-12))[:, None]
+    for capital in (False, True):
+        out[lower, lower] += 3 / 6 * pairs
+        out[lower, upper] += 1 / 6 * joined
+        out[upper, lower] += 1 / 6 * first
+        out[_N - 1, upper if capital else lower] += 1 / 6 / 5 * begins
+    return out / out.sum()
+
+
+def _kinds() -> np.ndarray:
+    """Small letter, capital, digit, sign or end: what a context is backed off to."""
+    kinds = np.full(_N, 4)
+    for i, c in enumerate(ALPHABET):
+        kinds[i] = 0 if c.islower() else 1 if c.isupper() else 2 if c.isdigit() else 3
+    return kinds
+
+
+def _log_rows(counts: np.ndarray) -> np.ndarray:
+    """Log-probability of each character behind each other one."""
+    seen = counts[:, :-1].astype(float)
+    single = seen.sum(axis=0) + 1 / (_N - 1)
+    single = single / single.sum()
+    kinds = _kinds()
+    by_kind = np.zeros_like(seen)
+    for kind in range(5):
+        rows = seen[kinds == kind].sum(axis=0)
+        by_kind[kinds == kind] = (1 - BACK_OFF) * (rows + PRIOR * single) / (rows.sum() + PRIOR) + BACK_OFF * single
+    pairs = (seen + PRIOR * by_kind) / (seen.sum(axis=1, keepdims=True) + PRIOR)
+    return np.log((1 - BACK_OFF) * pairs + BACK_OFF * by_kind)
+
+
 @dataclass(frozen=True)
 class RandomnessModel:
     """Log-likelihood ratio of random over ordinary, per pair of characters."""
@@ -87,15 +171,16 @@ class RandomnessModel:
 
     @classmethod
     def fit(cls, random: np.ndarray, ordinary: np.ndarray) -> RandomnessModel:
-        """From the pair counts of the two kinds of sample."""
-
-        def log_rows(counts: np.ndarray) -> np.ndarray:
-            seen = counts[:, :-1].astype(float)
-            total = seen.sum(axis=1, keepdims=True) + PRIOR
-            return np.log((seen + PRIOR / (_N - 1)) / total)
-
+        """From the pair counts of the two kinds of sample.
+
+        The further samples of a class weigh as much as those that are given,
+        and 100,000 characters at least.
+        """
+        weight = lambda counts: max(float(counts.sum()), 1e5)
+        random = random + weight(random) * _drawn()
+        ordinary = ordinary + weight(ordinary) * _named(ordinary)
         ratio = np.zeros((_N, _N))
-        ratio[:, :-1] = log_rows(random) - log_rows(ordinary)
+        ratio[:, :-1] = _log_rows(random) - _log_rows(ordinary)
         # Paths, dashes and rules are joined by signs; those say nothing either way.
         ratio[:, [ALPHABET.index(sign) for sign in _SIGNS]] = 0
         return cls(ratio)
