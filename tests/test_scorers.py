@@ -1,13 +1,17 @@
 import re
+import sys
+import types
 
 import pytest
 
 from tweetflow.functions.scorers import (
     Lexicon,
+    in_windows,
     lexicon_model,
     lexicon_scorer,
     model_scorer,
     transformers_model,
+    windowed,
 )
 from tweetflow.operators.throughput import scoring_throughput
 
@@ -108,3 +112,53 @@ def test_models_agree_on_signs_that_are_no_letters():
     model = lexicon_model(Lexicon(positive=("good",), negative=("the", "and")))()
     scores = {s["label"]: s["score"] for s in model(["the\u00b2 \u00bdand \u2167good"])[0]}
     assert scores == {"NEG": 0.5, "NEU": 0.25, "POS": 0.25}
+
+
+def letters_model(texts):
+    """Scores a text by its letters and refuses one that is too long."""
+    assert all(len(text) <= 10 for text in texts)
+    return [
+        [{"label": "POS", "score": text.count("g") / 10}, {"label": "NEG", "score": text.count("b") / 10}]
+        for text in texts
+    ]
+
+
+@pytest.mark.parametrize("text", ["", "gb", "g" * 10, "g" * 10 + "b" * 30, "gg bb gg bb gg", " " * 50, "a " * 40 + "g"])
+def test_windows_cover_the_whole_text(text):
+    parts = in_windows(text, len, 10)
+    assert "".join(part for part, _ in parts) == text
+    assert all(n == len(part) <= 10 for part, n in parts)
+
+
+def test_long_texts_are_scored_whole():
+    """By their windows, weighted by length; short ones as the model does."""
+    model = windowed(letters_model, len, 10)
+    texts = ["ggb", "", "g" * 10 + "b" * 30, "ggb"]
+    short, empty, long, again = ({s["label"]: s["score"] for s in scores} for scores in model(texts))
+    assert short == again == {"POS": 0.2, "NEG": 0.1} and empty == {"POS": 0, "NEG": 0}
+    assert long["POS"] == pytest.approx(0.25) and long["NEG"] == pytest.approx(0.75)
+
+
+def test_a_hub_model_reads_to_the_end(monkeypatch):
+    class Pipe:
+        class tokenizer:
+            model_max_length = 10**30
+
+            def __new__(cls, text):
+                return {"input_ids": [*text]}
+
+        class model:
+            class config:
+                max_position_embeddings = 10
+
+        def __call__(self, texts):
+            return letters_model(texts)
+
+    made = []
+    fake = types.ModuleType("transformers")
+    fake.pipeline = lambda *args, **kwargs: made.append(kwargs) or Pipe()
+    monkeypatch.setitem(sys.modules, "transformers", fake)
+    factory = transformers_model("long/texts", 4)
+    (scores,) = factory()(["g" * 20 + "b" * 20])
+    assert {s["label"]: round(s["score"], 9) for s in scores} == {"POS": 0.5, "NEG": 0.5}
+    assert factory() is factory() and len(made) == 1 and "truncation" not in made[0]

@@ -137,12 +137,58 @@ def lexicon_model(lexicon: Lexicon) -> Callable[[], Model]:
 _LOADED: dict[tuple[str, int], Model] = {}
 
 
+def in_windows(text: str, n_tokens: Callable[[str], int], most: int) -> list[tuple[str, int]]:
+    """A text in parts of up to ``most`` tokens, each with its number of tokens.
+
+    A text that is too long is cut in half at a blank, or between characters
+    where there is none, until its parts fit. A single character always does.
+    """
+    n = n_tokens(text)
+    if n <= most or len(text) < 2:
+        return [(text, n)]
+    middle = len(text) // 2
+    cut = text.rfind(" ", 1, middle + 1)
+    after = text.find(" ", middle)
+    if cut < 0 or 0 <= after - middle < middle - cut:
+        cut = after
+    if not 0 < cut < len(text):
+        cut = middle
+    return in_windows(text[:cut], n_tokens, most) + in_windows(text[cut:], n_tokens, most)
+
+
+def windowed(model: Model, n_tokens: Callable[[str], int], most: int) -> Model:
+    """A model that reads texts of any length.
+
+    The windows of a long text are scored one by one, and the score of a label is
+    their mean, weighted by tokens.
+    """
+
+    def rate(texts: list[str]) -> list[list[dict]]:
+        windows = [in_windows(text, n_tokens, most) for text in texts]
+        scored = iter(model([part for parts in windows for part, _ in parts]))
+        out = []
+        for parts in windows:
+            own = [next(scored) for _ in parts]
+            if len(own) == 1:
+                out.append(own[0])
+                continue
+            total = sum(max(n, 1) for _, n in parts)
+            sums: dict[str, float] = {}
+            for scores, (_, n) in zip(own, parts, strict=True):
+                for one in scores:
+                    sums[one["label"]] = sums.get(one["label"], 0.0) + one["score"] * max(n, 1) / total
+            out.append([{"label": label, "score": score} for label, score in sums.items()])
+        return out
+
+    return rate
+
+
 def transformers_model(name: str, batch_size: int = 32) -> Callable[[], Model]:
     """A factory for ``model_scorer`` that loads a text-classification model of
     the Hugging Face hub. The library has to be installed on the executors.
 
     A worker process loads a model once, however many tasks it runs. Texts
-    longer than the model reads are cut off by its tokenizer.
+    longer than the model reads are scored in windows (see ``windowed``).
     """
 
     def factory() -> Model:
@@ -156,6 +202,11 @@ def transformers_model(name: str, batch_size: int = 32) -> Callable[[], Model]:
         except ImportError as missing:
             raise ImportError("transformers is not installed on this executor") from missing
         # top_k=None: the scores of all labels, not of the best one only.
-        return pipeline("text-classification", model=name, top_k=None, batch_size=batch_size, truncation=True)
+        model = pipeline("text-classification", model=name, top_k=None, batch_size=batch_size)
+        tokenizer = model.tokenizer
+        # Some tokenizers do not say what their model reads.
+        places = getattr(model.model.config, "max_position_embeddings", None) or tokenizer.model_max_length
+        most = min(tokenizer.model_max_length, places)
+        return windowed(model, lambda text: len(tokenizer(text)["input_ids"]), most)
 
     return factory
