@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tweetflow.operators.evaluation import confusion_matrix, eval_summary, metrics_table
 from tweetflow.plans import feed, reports
-from tweetflow.schemas import RAW, SILVER, T
+from tweetflow.schemas import LAYERS, RAW, SILVER, T
 from tweetflow.session import shared_dir
 from tweetflow.sources import files, landing, tables
 from tweetflow.sources.tables import Layout
@@ -197,6 +197,30 @@ def test_compaction_without_a_table(spark, layout, new_dir):
     assert tables.compact(spark, layout.table("gold"), new_dir("none")) is None
 
 
+def test_arrivals_are_archived_and_none_is_lost(spark, new_dir, layout):
+    """Ten arrivals, some with old times or names used before; the directory stays as it is."""
+    inbox, source, archive = new_dir("inbox"), new_dir("landing"), new_dir("archive")
+    fs = spark._jvm.org.apache.hadoop.fs.FileSystem.get(spark._jsc.hadoopConfiguration())
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    spark.conf.set("spark.sql.streaming.fileSource.cleaner.numThreads", "0")
+    try:
+        for number in range(10):
+            spark.createDataFrame([(None, None, f"text {number}", "u")], RAW).coalesce(1).write.json(f"{inbox}/{number}")
+            (name,) = [n for n in files.child_names(spark, f"{inbox}/{number}") if n.endswith(".json")]
+            fs.rename(path(f"{inbox}/{number}/{name}"), path(f"{inbox}/same.json"))
+            if number % 3 == 2:
+                fs.setTimes(path(f"{inbox}/same.json"), 10**12, -1)  # 2001
+            assert landing.hand_on(spark, inbox, source) == 1 and landing.hand_on(spark, inbox, source) == 0
+            stages.start_bronze(spark, source, layout, archive=archive).awaitTermination()
+            assert len(files.child_names(spark, source)) == 1
+            assert tables.read_layer(spark, layout, "bronze").count() == number + 1
+    finally:
+        spark.conf.unset("spark.sql.streaming.fileSource.cleaner.numThreads")
+    assert {r.text for r in tables.read_layer(spark, layout, "bronze").collect()} == {f"text {i}" for i in range(10)}
+    archived = spark.read.option("recursiveFileLookup", "true").schema(RAW).json(archive)
+    assert archived.count() == 9
+
+
 def test_reset_drops_tables_and_checkpoints(spark, filled):
     other = f"{filled.base}/notes"
     spark.range(1).write.parquet(other)
@@ -232,9 +256,13 @@ def test_run_log(spark, filled):
 
 def test_reports_over_the_tables(spark, filled):
     bronze, gold = (tables.read_layer(spark, filled, layer) for layer in ("bronze", "gold"))
-    assert multiset(reports.layer_report(spark, filled)) == [
+    report = reports.layer_report(spark, filled)
+    assert multiset(report.select("layer", "n_rows").distinct()) == [
         ("bronze", 24), ("gold", 24), ("silver", 24),
     ]
+    for layer, schema in LAYERS.items():
+        rows = report.filter(F.col("layer") == layer).orderBy("position").collect()
+        assert [(r.column_name, r.type) for r in rows] == [(f.name, f.dataType.simpleString()) for f in schema]
     quality = reports.quality_report(bronze, 5)
     assert quality["summary"].first().n_tweets == 24
     assert [tuple(r) for r in quality["top_users"].collect()] == [("u", 24)]

@@ -339,6 +339,7 @@ def oracle_sql() -> dict[str, str]:
             f" UNION ALL SELECT *, CAST(NULL AS INTEGER) FROM ({_CONVERSATION_MESSAGES})"
             f" UNION ALL SELECT *, CAST(length(text) AS INTEGER) FROM ({_DOCUMENT_MESSAGES})"
         ),
+        "archived_ingest": tweets(f"SELECT *, 0 AS n_left FROM ({raw})"),
         "rescued_fields": (
             f'SELECT *, CAST(NULL AS INTEGER) AS n_letters, CAST(NULL AS INTEGER) AS n_left FROM ({_EVENT_MESSAGES})'
             f" UNION ALL SELECT *, CAST(length(text) AS INTEGER), NULL FROM ({_CONVERSATION_MESSAGES})"

@@ -454,6 +454,20 @@ def schema_merge(spark, sf_dir):
     return read_layer(spark, layout, "bronze", merge_schema=True).select(*wider.fieldNames())
 
 
+@_query
+def archived_ingest(spark, sf_dir):
+    """Arrivals are handed on, ingested and archived; the directory holds the last one only."""
+    base, layout = _new_dir(spark, "handed"), Layout(_new_dir(spark, "archiving"))
+    inbox, source, archive = f"{base}/inbox", f"{base}/landing", f"{base}/archive"
+    for part in _arrivals(spark, sf_dir):
+        _land(part, inbox)
+        n_files = landing.hand_on(spark, inbox, source)
+        stages.start_bronze(spark, source, layout, archive=archive).awaitTermination()
+    left = len(files.child_names(spark, source)) - n_files
+    bronze = read_layer(spark, layout, "bronze").select(*RAW.fieldNames())
+    return bronze.withColumn("n_left", F.lit(left))
+
+
 @_query
 def rescued_fields(spark, sf_dir):
     """Documents come with a field that is declared only afterwards, conversations when it

@@ -51,6 +51,14 @@ def move_into(spark: SparkSession, path: str, directory: str, name: str) -> None
         raise OSError(f"{path} could not be moved to {target}")
 
 
+def hand_into(spark: SparkSession, path: str, directory: str, name: str) -> None:
+    """Move a file into a directory as if it had been written now."""
+    source, fs = _path_and_fs(spark, path)
+    now = spark._jvm.java.lang.System.currentTimeMillis()
+    fs.setTimes(source, now, -1)
+    move_into(spark, path, directory, name)
+
+
 def copy_into(spark: SparkSession, paths: list[str], directory: str) -> str:
     """Copy files into a new directory."""
     target, fs = _path_and_fs(spark, directory)

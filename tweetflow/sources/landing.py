@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +17,9 @@ from tweetflow.sources import files
 #: the driver's list of files seen.
 MAX_FILE_AGE = "36500d"
 
+#: The same where files are archived: they are remembered for a day.
+ARCHIVE_AGE = "1d"
+
 SUFFIX = ".json"
 
 
@@ -26,16 +31,26 @@ def read_stream(
     max_files: int | None = None,
     corrupt_column: str | None = None,
     rescue_column: str | None = None,
+    archive: str | None = None,
 ) -> DataFrame:
     """New files as a stream, with a declared schema; for ``corrupt_column`` and
     ``rescue_column`` see ``read_batch``.
 
+    With ``archive`` files are moved to that directory, which must not lie in
+    ``path``, once a later batch is committed. Then neither the listing nor the
+    driver's list of files seen grows with the files that have ever come; what
+    still does is the source's log in the checkpoint, by a line a file. Files
+    have to come through ``hand_on``: one that is ``ARCHIVE_AGE`` older than
+    another is taken for seen.
+
     ``max_bytes`` or ``max_files`` bounds a micro-batch. Prefer bytes: files
     differ in size, so a number of files says little about the work.
     """
     if max_bytes is not None and max_files is not None:
         raise ValueError("give max_bytes or max_files, not both")
-    reader = spark.readStream.option("maxFileAge", MAX_FILE_AGE)
+    reader = spark.readStream.option("maxFileAge", MAX_FILE_AGE if archive is None else ARCHIVE_AGE)
+    if archive is not None:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     if max_bytes is not None:
         reader = reader.option("maxBytesPerTrigger", str(max_bytes))
     if max_files is not None:
@@ -125,6 +140,20 @@ def newest_files(spark: SparkSession, path: str, n: int) -> DataFrame:
     return list_files(spark, path).orderBy(F.desc("modificationTime"), "path").limit(n)
 
 
+def hand_on(spark: SparkSession, inbox: str, path: str) -> int:
+    """Move the files of an inbox to the landing directory; how many there were.
+
+    Whatever their times say, they are new there, so none is taken for one that
+    has been seen; a name that has been used before is no hindrance either. A
+    file is moved whole or stays: after a failure the rest is moved by the next
+    call.
+    """
+    names = [n for n in sorted(files.child_names(spark, inbox)) if n.endswith(SUFFIX) and n[0] not in "._"]
+    for name in names:
+        files.hand_into(spark, f"{inbox}/{name}", path, f"{uuid.uuid4().hex}-{name}")
+    return len(names)
+
+
 def replay_newest(
     spark: SparkSession,
     source: str,

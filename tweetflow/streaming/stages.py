@@ -42,17 +42,25 @@ def start_bronze(
     max_files: int | None = None,
     corrupt_column: str | None = None,
     rescue_column: str | None = None,
+    archive: str | None = None,
 ) -> StreamingQuery:
     """Ingest new landing files. ``schema`` may have gained columns since the
     last run; starting never drops what is there (see ``tables.reset``). With
     ``corrupt_column`` the table gains a column that keeps malformed lines, with
-    ``rescue_column`` one that keeps fields which ``schema`` lacks.
+    ``rescue_column`` one that keeps fields which ``schema`` lacks. ``archive`` is
+    where files go that have been ingested (see ``landing.read_stream``).
 
     A micro-batch is bounded by ``max_files`` if given, else by ``max_bytes``.
     """
     bound = {"max_bytes": max_bytes} if max_files is None else {"max_files": max_files}
     raw = landing.read_stream(
-        spark, landing_dir, schema, corrupt_column=corrupt_column, rescue_column=rescue_column, **bound
+        spark,
+        landing_dir,
+        schema,
+        corrupt_column=corrupt_column,
+        rescue_column=rescue_column,
+        archive=archive,
+        **bound,
     )
     return _append(to_bronze(raw), layout, "bronze", trigger)
 
