@@ -30,6 +30,58 @@ def test_ids_and_text_equal_the_library(text):
     assert B.Decoder(MERGES).decode(ids) == LIBRARY.decode(ids, skip_special_tokens=False)
 
 
+@settings(max_examples=300, deadline=None)
+@given(
+    st.one_of(
+        st.text(max_size=80),
+        st.lists(PARTS, max_size=90).map("".join),
+        st.lists(st.tuples(PARTS, st.integers(1, 150)), max_size=6).map(lambda x: "".join(p * n for p, n in x)),
+    ),
+    st.integers(1, 90),
+    st.sampled_from([64, 80, 1 << 16]),
+)
+def test_pieces_give_the_ids_of_the_whole(text, size, piece):
+    """Wherever a text is cut, special tokens and long runs included."""
+    encoder = B.Encoder(MERGES, piece=piece)
+    for _ in range(2):  # nothing of a text is left for the next
+        parts = encoder.stream(text[at : at + size] for at in range(0, len(text), size))
+        assert [i for ids in parts for i in ids] == library_ids(text)
+    assert encoder.encode(text) == library_ids(text)
+
+
+@pytest.mark.parametrize("unit", ["the wheel of time ", "etaoin" * 50, "日本語", " ", "\n", "-=", "12 ", "x\n"])
+def test_long_texts_are_read_in_constant_memory(unit):
+    """Tokens come long before the end, through the transducer; what is held does not grow."""
+    rng = random.Random(4)
+    piece = 1 << 12
+    text = (unit * (400_000 // len(unit)))[: 400_000 - rng.randint(0, 5)] + "ending"
+    encoder, read, held, early, seen = B.Encoder(MERGES, piece=piece), 0, [], [], []
+
+    def pieces():
+        nonlocal read
+        for at in range(0, len(text), piece):
+            read += piece
+            yield text[at : at + piece]
+
+    for ids in encoder.stream(pieces()):
+        seen += ids
+        early.append(len(seen))
+        held.append(len(encoder.transducer._held))
+    assert seen == library_ids(text)
+    half = early[len(early) // 2]
+    assert half >= 0.4 * len(seen), "half of the text gives its tokens before the rest is read"
+    assert max(held) <= encoder.transducer.window + 4 * 2 * piece
+
+
+def test_every_run_goes_through_the_transducer(monkeypatch):
+    pushed = []
+    push = B.Transducer.push
+    monkeypatch.setattr(B.Transducer, "push", lambda self, data: pushed.append(data) or push(self, data))
+    assert B.Encoder(MERGES).encode("one two  two\nthree") == library_ids("one two  two\nthree")
+    runs = [b"one", b" two", b" ", b"\n", b"three"]
+    assert sorted(pushed) == sorted(runs), "a run that has been met is not read again"
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(0, 50256), max_size=30))
 def test_any_ids_decode_as_in_the_library(ids):

@@ -21,7 +21,7 @@ from __future__ import annotations
 import codecs
 import json
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from itertools import chain
 
 import numpy as np
@@ -29,7 +29,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from tweetflow.llm.frames import annotate, pick
+from tweetflow.llm.frames import annotate, bound_batches, pick
 
 #: Fixed value: the pattern that cuts a text before byte-level BPE.
 CUT = regex.compile(
@@ -37,8 +37,14 @@ CUT = regex.compile(
 )
 
 
-#: Runs up to this many bytes are kept with their tokens.
-_SHORT = 64
+#: Runs up to this many characters are kept with their tokens.
+_KEPT = 64
+#: Characters of a text that are read at a time.
+PIECE = 1 << 16
+#: A run is final once so many characters behind it are known: contractions have three.
+_MARGIN = 3
+#: What a run of the pattern consists of, but for a blank before it.
+_LETTERS, _NUMBERS, _OTHERS, _SPACES = map(regex.compile, (r"\p{L}+", r"\p{N}+", r"[^\s\p{L}\p{N}]+", r"\s+"))
 _TOKEN = -1
 _SPACE = frozenset(regex.findall(r"\s", "".join(map(chr, range(0x3001)))))
 #: Entries of the caches before they are begun anew.
@@ -249,26 +255,33 @@ class Transducer:
 
 
 class Encoder:
-    """Texts to token ids, run by run."""
+    """Texts to token ids, run by run; a text may come in pieces.
 
-    def __init__(self, merges: Merges, piece: int = 4096):
+    Every run goes through the transducer. What is held of a text is a piece and
+    what is not final yet of the one before, and of a run that is longer than a
+    piece what the transducer holds.
+    """
+
+    def __init__(self, merges: Merges, piece: int = PIECE):
         self.merges = merges
-        self.piece = piece
+        #: Longer than any contraction and special token.
+        self.piece = max(piece, 64)
         self.transducer = Transducer(merges)
         #: Tokens of runs of the pattern, and of words that follow a blank.
         self.known: dict[str, tuple[int, ...]] = {}
         self.words: dict[str, tuple[int, ...]] = {}
         names = sorted(merges.special, key=len, reverse=True)
         self.special = re.compile("|".join(map(re.escape, names))) if names else None
+        #: Characters that may be the beginning of a special token.
+        self.ahead = max(map(len, names), default=1) - 1
+        #: The class of the run that the transducer is in the middle of.
+        self.open: regex.Pattern | None = None
 
     def _run(self, run: str) -> list[int]:
-        if len(run) <= _SHORT:  # far from filling a window
-            return self.merges.cut(run.encode(), None)
         ids: list[int] = []
-        for at in range(0, len(run), self.piece):
-            ids += self.transducer.push(run[at : at + self.piece].encode())
-        ids += self.transducer.finish()
-        return ids
+        for at in range(0, len(run), 4096):
+            ids += self.transducer.push(run[at : at + 4096].encode())
+        return ids + self.transducer.finish()
 
     def _cut(self, text: str) -> list[int]:
         """Tokens of a text that begins and ends where the pattern cuts."""
@@ -284,7 +297,7 @@ class Encoder:
 
     @staticmethod
     def _keep(known: dict, key: str, tokens: list[int]) -> None:
-        if len(key) <= _SHORT:
+        if len(key) <= _KEPT:
             if len(known) >= _CACHE:
                 known.clear()
             known[key] = tuple(tokens)
@@ -313,18 +326,98 @@ class Encoder:
         if pending:
             ids += self._cut(pending)
 
-    def encode(self, text: str) -> list[int]:
-        ids: list[int] = []
+    def _go_on(self, text: str, end: int, last: bool, ids: list[int]) -> int:
+        """Read on in the run that is open; how many characters of it there were."""
+        match = self.open.match(text)
+        to = match.end() if match else 0
+        if self.open is _SPACES and to < len(text):
+            to -= 1  # the last blank belongs to what follows
+        ends = last or to + _MARGIN <= end
+        if not ends:
+            to = min(to, max(end - _MARGIN, 0))
+        ids += self.transducer.push(text[:to].encode())
+        if ends:
+            ids += self.transducer.finish()
+            self.open = None
+        return to
+
+    def _advance(self, text: str, ids: list[int]) -> int:
+        """Read what is final at the beginning of a text that goes on; how many characters.
+
+        The characters that may begin a special token are not final.
+        """
+        end, at = len(text) - self.ahead, 0
+        if self.open is not None:
+            at = self._go_on(text, end, False, ids)
+            if self.open is not None:
+                return at
+        # Up to the last blank between two other characters all runs are closed.
+        cut = text.rfind(" ", at + 1, max(end - _MARGIN, 0))
+        while cut > at and (_blank(text[cut - 1]) or _blank(text[cut + 1])):
+            cut = text.rfind(" ", at + 1, cut)
+        if cut > at:
+            self._plain(text[at:cut], ids)
+            at = cut
+        if len(text) - at <= self.piece:
+            return at
+        # No such blank for long: run by run, and the last one as far as it is there.
+        for match in CUT.finditer(text, at):
+            if match.end() + _MARGIN > end:
+                break
+            ids += self._run(match.group())
+            at = match.end()
+        if len(text) - at > self.piece:
+            run = text[at : at + 2]
+            inner = run[1] if run[0] == " " and not _blank(run[1]) else run[0]
+            self.open = next(c for c in (_LETTERS, _NUMBERS, _SPACES, _OTHERS) if c.match(inner))
+            ids += self.transducer.push(text[at : end - _MARGIN].encode())
+            at = end - _MARGIN
+        return at
+
+    def _closed(self, text: str, ids: list[int]) -> None:
+        """Read a text to its end."""
+        at = self._go_on(text, len(text), True, ids) if self.open is not None else 0
+        if at < len(text):
+            self._plain(text[at:] if at else text, ids)
+
+    def _specials(self, text: str, ids: list[int]) -> int:
+        """Read up to the last special token in ``text``; how many characters."""
         at = 0
         if self.special is not None:
             for match in self.special.finditer(text):
-                self._plain(text[at : match.start()], ids)
+                self._closed(text[at : match.start()], ids)
                 ids.append(self.merges.special[match.group()])
                 at = match.end()
+        return at
+
+    def stream(self, pieces: Iterable[str]) -> Iterator[list[int]]:
+        """Ids of a text that comes in pieces, as soon as they are final."""
+        held = ""
+        for piece in pieces:
+            held += piece
+            ids: list[int] = []
+            held = held[self._specials(held, ids) :]
+            held = held[self._advance(held, ids) :]
+            yield ids
+        ids = []
+        at = self._specials(held, ids)
+        self._closed(held[at:], ids)
+        yield ids
+
+    def encode(self, text: str) -> list[int]:
+        if len(text) > self.piece:
+            pieces = (text[at : at + self.piece] for at in range(0, len(text), self.piece))
+            return [*chain.from_iterable(self.stream(pieces))]
+        ids: list[int] = []
+        at = self._specials(text, ids)
         self._plain(text[at:] if at else text, ids)
         return ids
 
 
+def _blank(character: str) -> bool:
+    return character.isspace() or character in _SPACE
+
+
 class Decoder:
     """Token ids to text: the bytes of a character may come from several tokens.
 
@@ -343,8 +436,9 @@ class Decoder:
         self._machine.reset()
         return rest
 
-    def decode(self, ids: Iterable[int]) -> str:
-        return self.push(ids) + self.finish()
+    def decode(self, ids: Sequence[int]) -> str:
+        parts = [self.push(ids[at : at + PIECE]) for at in range(0, len(ids), PIECE)]
+        return "".join([*parts, self.finish()])
 
 
 _MERGES: dict[str, Merges] = {}
@@ -392,6 +486,7 @@ def encode(
 
 def decode(tokens: DataFrame, path: str, *, row_id: str = "doc_id", ids: str = "ids") -> DataFrame:
     """``(row_id, ids, text)`` of rows of token ids; null ids give an empty text."""
+    bound_batches(tokens.sparkSession)
     own = pick(tokens, row_id=row_id, ids=ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
