@@ -22,7 +22,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tweetflow.llm.frames import pick, stored
+from tweetflow.llm.frames import bound_batches, pick, stored
 
 #: Payloads from this size on are written once; equal ones refer to it.
 REVISIT_BYTES = 1000
@@ -31,6 +31,8 @@ ARCHIVE_BYTES = 1 << 30
 #: Ranges closer than this are read in one go, up to so many bytes at a time.
 GAP_BYTES = 64 << 10
 READ_BYTES = 8 << 20
+#: Compressed bytes that a task reads, about.
+TASK_BYTES = 128 << 20
 #: The table has no time of capture.
 DATE = "1970-01-01T00:00:00Z"
 
@@ -158,6 +160,7 @@ def write_archives(
     empty payload, a null URL an empty one; null ids come before all others, so
     where all ids are null a revisit refers to null.
     """
+    bound_batches(pages.sparkSession)
     own = pick(pages, page_id=page_id, url=url, html=html)
     payload = F.coalesce("html", F.lit(""))
     keyed = own.withColumn("payload_digest", F.sha1(payload))
@@ -222,13 +225,18 @@ def read_records(selected: DataFrame, folder: str) -> DataFrame:
     """The records that rows of the index name, parsed; columns of ``RECORD``.
 
     Tasks get stretches of archives, so an archive is read by as many tasks as
-    it is long, and each reads its ranges in order. An index row that comes
-    twice is read twice.
+    it is long, and each reads its ranges in order. There are as many tasks as
+    the bytes that are read need: the index itself is small and says little
+    about them. An index row that comes twice is read twice.
     """
+    spark = selected.sparkSession
+    bound_batches(spark)
+    n_bytes = selected.agg(F.sum("length")).first()[0] or 0
+    tasks = max(spark.sparkContext.defaultParallelism, n_bytes // TASK_BYTES + 1)
     stretch = (F.col("offset") / F.lit(4 * READ_BYTES)).cast("bigint").alias("stretch")
     placed = (
         selected.select("file", stretch, "offset", "length")
-        .repartition("file", "stretch")
+        .repartition(tasks, "file", "stretch")
         .sortWithinPartitions("file", "offset")
     )
 
