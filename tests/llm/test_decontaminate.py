@@ -1,4 +1,6 @@
-import pytest
+import random
+
+import numpy as np
 from plain import plain_words
 
 from tweetflow.llm import decontaminate as D
@@ -50,12 +52,11 @@ def planted(odd_texts):
     ]
 
 
-@pytest.mark.parametrize("block_bytes", [1 << 20, 100])
-def test_equals_brute_force(spark, documents, odd_texts, block_bytes):
+def test_equals_brute_force(spark, documents, odd_texts):
     texts = planted(odd_texts)
     items = spark.createDataFrame(ITEMS, "item_id bigint, text string")
     docs = documents(texts, extra=True)
-    out = D.decontaminate(docs, items, block_bytes=block_bytes)
+    out = D.decontaminate(docs, items)
     assert out.columns == [*docs.columns, "contamination"]
     rows = sorted(out.collect(), key=lambda r: r.doc_id)
     got = [
@@ -65,6 +66,32 @@ def test_equals_brute_force(spark, documents, odd_texts, block_bytes):
     assert [r.text for r in rows] == texts
 
 
+def drawn(seed, n):
+    """Texts of few words, so that shingles repeat and windows share anchors, with long words among them."""
+    rng = random.Random(seed)
+    pool = ["a", "b", "C", "É", "long" * 40, "LONG" * 40, "long" * 41]
+    return [" ".join(rng.choices(pool[: rng.randrange(1, 8)], k=rng.randrange(60))) for _ in range(n)]
+
+
+def test_texts_of_few_words_equal_brute_force(spark, documents):
+    items = [(i % 9, t) for i, t in enumerate(drawn(1, 25))]
+    texts = [*drawn(2, 120), *(f"x {t} y" for _, t in items)]
+    table = spark.createDataFrame(items, "item_id bigint, text string")
+    rows = sorted(D.decontaminate(documents(texts), table).collect(), key=lambda r: r.doc_id)
+    got = [(c.n_words, c.n_hit, list(c["items"]), c.contaminated) for c in (r.contamination for r in rows)]
+    assert got == brute(texts, items)
+
+
+def test_spans_are_joined_per_item_and_repeated_rows_stay(spark, documents):
+    item = ITEMS[0][1]
+    text = f"x {item} y {' '.join(item.split()[:14])}"
+    docs = documents([text]).unionAll(documents([text]))
+    items = spark.createDataFrame(ITEMS, "item_id bigint, text string")
+    for row in D.decontaminate(docs, items).collect():
+        spans = [(s.start, s.end, s["item"]) for s in row.contamination.spans]
+        assert spans == [(1, 31, "1"), (32, 46, "1"), (11, 25, "5")]
+
+
 def test_empty_tables(spark, documents):
     items = spark.createDataFrame([], "item_id bigint, text string")
     assert D.decontaminate(documents([]), items).count() == 0
@@ -72,26 +99,53 @@ def test_empty_tables(spark, documents):
     assert row.contamination.n_hit == 0 and not row.contamination.contaminated
 
 
-def test_window_is_found_by_its_rarest_shingle():
-    (part,) = D.item_windows([("1", " ".join("abcdefghijklm"))])
-    rare = D.grams(part.hashes[0], D.SHINGLE)[4]
-    counts = {int(g): 9 for g in D.grams(part.hashes[0], D.SHINGLE)} | {int(rare): 2}
-    index = D.Index(part, counts)
-    assert index.keys.keys.tolist() == [rare] and index.offset.tolist() == [4]
+def test_window_is_found_by_its_rarest_shingle(spark):
+    pieces = spark.createDataFrame([(b"p", " ".join("abcdefghijklm"))], "id binary, text string")
+    places = D.item_places(pieces)
+    keys = {r.pos: r.key for r in places.collect()}
+    assert sorted(keys) == list(range(10))
+    counts = spark.createDataFrame([(k, 2 if p == 4 else 9) for p, k in keys.items()], "key bigint, n bigint")
+    (anchor,) = D.anchors(places, counts).collect()
+    assert (anchor.pos, anchor.key, anchor.n, anchor.need) == (4, keys[4], 2, 13)
+    assert (anchor.before, anchor.around) == (4, " ".join("abcdefghijklm"))
 
 
-def test_many_blocks_hold_one_index_at_a_time(spark, documents, odd_texts, monkeypatch):
-    passes, counts = [], D.shingle_counts
-    monkeypatch.setattr(D, "shingle_counts", lambda *a: passes.append(1) or counts(*a))
-    texts = planted(odd_texts)
-    items = spark.createDataFrame(ITEMS, "item_id bigint, text string")
-    out = D.decontaminate(documents(texts), items, block_bytes=150)
-    blocks = -(-sum(len(t or "") for _, t in ITEMS) // 150)
-    assert blocks > 2 and len(passes) == blocks
-    plan = out._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("MapInArrow") == 1
-    whole = D.decontaminate(documents(texts), items)
-    key = lambda r: r.doc_id
-    assert sorted(out.select("doc_id", "contamination").collect(), key=key) == sorted(
-        whole.select("doc_id", "contamination").collect(), key=key
+def test_neighbouring_windows_share_anchors(spark):
+    pieces = spark.createDataFrame([(b"p", ITEMS[0][1])], "id binary, text string")
+    places = D.item_places(pieces)
+    counts = spark.createDataFrame([], "key bigint, n bigint")
+    assert D.anchors(places, counts).count() < 30 - 13 + 1
+
+
+def test_a_full_table_loses_nothing(spark):
+    """A table too small for its keys lets more through, never less."""
+    keys = np.random.default_rng(1).integers(0, 1 << 63, 3000)
+    table = D.sieve(spark.createDataFrame([(int(k),) for k in keys], "key bigint"), bits=10)
+    assert len(D.passing(table, keys.astype(np.uint64))) == len(keys)
+    roomy = D.sieve(spark.createDataFrame([(int(k),) for k in keys], "key bigint"))
+    others = np.random.default_rng(2).integers(0, 1 << 63, 100000).astype(np.uint64)
+    assert len(D.passing(roomy, keys.astype(np.uint64))) == len(keys)
+    assert len(D.passing(roomy, others)) < 10
+
+
+def test_a_shingle_that_very_many_documents_share_is_dealt(spark):
+    around = " ".join("abcdefghijklm")
+    probes = spark.createDataFrame(
+        [(bytes([i]), 4, 7, 4, around) for i in range(100)], "id binary, pos bigint, key bigint, before int, around string"
     )
+    wanted = spark.createDataFrame(
+        [(7, 100, 13, 4, around, "1"), (8, 0, 13, 4, around, "2")],
+        "key bigint, n bigint, need bigint, before int, around string, item string",
+    )
+    rows = D.occurrences(probes, wanted, parts=4).collect()
+    assert sorted((r.id[0], r["item"], r.start, r.end) for r in rows) == [(i, "1", 0, 13) for i in range(100)]
+
+
+def test_nothing_of_the_documents_comes_to_the_driver(spark, documents, odd_texts, monkeypatch):
+    """Only the sizes of shingles and one sum are collected, beside the bit tables."""
+    kind = type(spark.range(1))
+    collected, collect = [], kind.collect
+    monkeypatch.setattr(kind, "collect", lambda df: collected.append(df.columns) or collect(df))
+    items = spark.createDataFrame(ITEMS, "item_id bigint, text string")
+    D.decontaminate(documents(planted(odd_texts)), items)
+    assert collected == [["size"], ["sum(n)"]]

@@ -3,41 +3,50 @@
 A window is a run of ``WINDOW`` words of a benchmark item (all its words if it
 has fewer). As a set of word shingles it is contained in a document only if its
 rarest shingle is, so that one shingle is the whole prefix the join needs.
-Rarity is counted over all documents. A match fixes where the window would
-begin; it must lie within the document (length and positional bound), and then
-the words themselves are compared.
-
-Items are worked off in blocks of bounded size. A block's index goes to the
-executors and the documents stream past it where they lie; a larger benchmark
-means more blocks, not a larger broadcast. One block shuffles no document. Of
-several, each stores what it finds before the next begins, so a task holds one
-index at a time; the documents are stored once, with a number for each row.
+Rarity is counted over all documents. Neighbouring windows mostly share their
+rarest shingle, so items come down to few *anchors*: places of such shingles,
+each with the words that any of its windows may reach.
+
+Documents send out the places whose shingle may be an anchor's, with as many
+words around them; a bit table of fixed size sorts out the others where they are
+read. Both sides are joined by shingle. A match fixes where a window would lie,
+in the item and in the document (length and positional bounds: the words around
+end with the text), and the words are compared outwards from it. What agrees in
+a run of a window's length is an occurrence of every window in that run.
+
+Nothing of items or documents goes through the driver but the bit table. Rows
+are joined by the digest of their text, so copies are searched once.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
-from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tweetflow.llm.frames import annotate, free_name, pick, stored
-from tweetflow.llm.words import grams, lower_words, slices, utf8, words
+from tweetflow.llm.frames import annotate, bound_batches, free_name, pick, stored
+from tweetflow.llm.words import WORD_BYTE, Words, grams, slices, utf8, words
 
 #: Words of a window, and words of the shingles that are ordered by rarity.
 WINDOW = 13
 SHINGLE = 4
-#: Bytes of benchmark text indexed and broadcast at a time.
-BLOCK_BYTES = 4 << 20
 #: A document is contaminated if at least one word in so many is hit.
 WORDS_PER_HIT = 20
 
+#: Bytes of a word that are compared as they are; of longer ones a digest is.
+SPELLED = 64
+#: Rows that a task hands on at a time.
+_ROWS = 4096
+#: Bits of the table that sorts out shingles: 8 MB, however many are looked for.
+_SIEVE_BITS = 26
 _FILTER_BITS = 20
 SPANS = "array<struct<start:bigint,end:bigint,item:string>>"
+#: A shingle in its place, and the words around it, joined by spaces.
+PLACES = "id binary, n_words bigint, pos bigint, size int, key bigint, before int, around string"
 
 
 class Keys:
@@ -63,139 +72,208 @@ class Keys:
         return at[same], number[same]
 
 
-@dataclass
-class Windows:
-    """The distinct windows of a block: their words, in hashes and as text, and their items."""
-
-    hashes: list[np.ndarray]
-    texts: list[bytes]
-    items: list[tuple[str, ...]]
-    size: int  # words of a shingle; less than SHINGLE only for shorter windows
-
-
-def item_windows(rows: list[tuple[str, str | None]], window: int = WINDOW) -> list[Windows]:
-    """Windows of ``(item, text)`` rows, apart by the size of their shingles."""
-    data, offsets = utf8(pa.array([text for _, text in rows], pa.string()))
-    found = words(data, offsets)
-    by_text: dict[bytes, tuple[np.ndarray, set[str]]] = {}
-    for i, (item, _) in enumerate(rows):
-        lo, hi = int(found.first[i]), int(found.first[i + 1])
-        for at in range(lo, max(hi - window, lo) + 1 if hi > lo else lo):
-            to = min(at + window, hi)
-            text = lower_words(data, found.starts[at:to], found.ends[at:to])
-            by_text.setdefault(text, (found.hashes[at:to], set()))[1].add(item)
-    sizes: dict[int, Windows] = {}
-    for text, (hashes, items) in by_text.items():
-        size = min(SHINGLE, len(hashes))
-        part = sizes.setdefault(size, Windows([], [], [], size))
-        part.hashes.append(hashes)
-        part.texts.append(text)
-        part.items.append(tuple(sorted(items)))
-    return list(sizes.values())
-
-
-def shingle_counts(docs: DataFrame, text: str, keys: dict[int, np.ndarray]) -> dict[int, dict[int, int]]:
-    """How often each of the given shingles, by their size, occurs in all documents; in one pass.
-
-    Each task sums up what it reads; what comes back is one number per key.
-    """
-    if not keys:
-        return {}
+def sieve(keys: DataFrame, bits: int = _SIEVE_BITS) -> np.ndarray:
+    """A table of ``2**bits`` bits, two of them set for each ``key``; set up by the executors."""
+    high = F.shiftrightunsigned("key", 64 - bits)
+    low = F.col("key").bitwiseAND(F.lit((1 << bits) - 1))
+    slots = keys.select(F.explode(F.array(high, low)).alias("slot"))
+    found = (
+        slots.select(
+            F.expr("slot div 64").cast("int").alias("word"),
+            F.expr("shiftleft(1L, cast(slot % 64 as int))").alias("bit"),
+        )
+        .groupBy("word")
+        .agg(F.bit_or("bit").alias("bits"))
+        .toArrow()
+    )
+    table = np.zeros(1 << (bits - 6), np.int64)
+    table[found.column("word").to_numpy()] = found.column("bits").to_numpy()
+    return table
+
+
+def passing(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Positions of the keys that the table lets through: all that it was made of, few others."""
+    bits = len(table).bit_length() + 5
+    at = np.arange(len(keys))
+    for slot in (keys >> np.uint64(64 - bits), keys & np.uint64((1 << bits) - 1)):
+        slot = slot[at].astype(np.int64)
+        at = at[(table[slot >> 6] >> (slot & 63)) & 1 == 1]
+    return at
+
+
+def _within(found: Words, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of the shingles from words ``at`` on those within one text, and the numbers of the texts."""
+    text = np.searchsorted(found.first, at, side="right") - 1
+    whole = at + size <= found.first[text + 1]
+    return at[whole], text[whole]
+
+
+def _spell(word: np.ndarray) -> str:
+    """A lowered word, or a digest that no word can be taken for."""
+    raw = word.tobytes()
+    return raw.decode() if len(raw) <= SPELLED else "#" + hashlib.sha256(raw).hexdigest()
+
+
+def _places(
+    data: np.ndarray, found: Words, ids: list[bytes], at: np.ndarray, text: np.ndarray, size: int, reach: int
+) -> Iterator[pa.RecordBatch]:
+    """Rows of ``PLACES`` for the shingles of ``size`` words at ``at``, with ``reach`` words on both sides."""
+    keys = grams(found.hashes, size)[at].view(np.int64)
+    first, end = found.first[text], found.first[text + 1]
+    low, high = np.maximum(first, at - reach), np.minimum(end, at + size + reach)
+    for i in range(0, len(at), _ROWS):
+        part = slice(i, i + _ROWS)
+        spelled: dict[int, str] = {}  # words stand around several places
+        around = []
+        for lo, hi in zip(low[part].tolist(), high[part].tolist(), strict=True):
+            for w in range(lo, hi):
+                if w not in spelled:
+                    spelled[w] = _spell(WORD_BYTE[data[found.starts[w] : found.ends[w]]])
+            around.append(" ".join([spelled[w] for w in range(lo, hi)]))
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([ids[t] for t in text[part].tolist()], pa.binary()),
+                pa.array((end - first)[part]),
+                pa.array((at - first)[part]),
+                pa.array(np.full(len(around), size, np.int32)),
+                pa.array(keys[part]),
+                pa.array((at - low)[part].astype(np.int32)),
+                pa.array(around, pa.string()),
+            ],
+            names=[c.split()[0] for c in PLACES.split(", ")],
+        )
+
+
+def item_places(pieces: DataFrame, window: int = WINDOW) -> DataFrame:
+    """``PLACES`` of every shingle of ``(id, text)`` rows; texts of fewer words are one shingle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            data, offsets = utf8(batch.column("text"))
+            found = words(data, offsets)
+            ids = batch.column("id").to_pylist()
+            of_word = np.repeat(found.counts, found.counts)
+            for size in range(1, SHINGLE + 1):
+                own = (of_word == size) if size < SHINGLE else (of_word >= size)
+                at, text = _within(found, np.flatnonzero(own), size)
+                yield from _places(data, found, ids, at, text, size, window - size if size == SHINGLE else 0)
+
+    return pieces.mapInArrow(run, PLACES)
+
+
+def shingle_counts(docs: DataFrame, table, sizes: list[int]) -> DataFrame:
+    """``(key, n)``: how often the shingles that pass the table occur in all documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = {size: Keys(some) for size, some in keys.items()}
-        total = {size: np.zeros(len(k.keys), np.int64) for size, k in known.items()}
         for batch in slices(batches, "text"):
             found = words(*utf8(batch.column("text")))
-            for size, k in known.items():
-                at, number = k.find(grams(found.hashes, size))
-                whole = at + size <= found.first[np.searchsorted(found.first, at, side="right")]
-                total[size] += np.bincount(number[whole], minlength=len(total[size]))
-        for size, k in known.items():
-            some = np.flatnonzero(total[size])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([size] * len(some), pa.int32()), pa.array(k.keys[some].view(np.int64)),
-                 pa.array(total[size][some])],
-                names=["size", "key", "n"],
-            )
-
-    counted = pick(docs, text=text).mapInArrow(run, "size int, key bigint, n bigint")
-    out: dict[int, dict[int, int]] = {size: {} for size in keys}
-    for row in counted.groupBy("size", "key").agg(F.sum("n").alias("n")).collect():
-        out[row["size"]][row.key & (2**64 - 1)] = row.n
-    return out
-
-
-class Index:
-    """Windows of one shingle size, found by their rarest shingle."""
-
-    def __init__(self, part: Windows, counts: dict[int, int]):
-        self.part = part
-        prefix, self.offset = [], []
-        for hashes in part.hashes:
-            every = grams(hashes, part.size).tolist()
-            rarest = min(range(len(every)), key=lambda j: (counts.get(every[j], 0), every[j], j))
-            prefix.append(every[rarest])
-            self.offset.append(rarest)
-        order = np.argsort(np.array(prefix, np.uint64), kind="stable")
-        self.order = order
-        self.offset = np.array(self.offset, np.int64)[order]
-        self.length = np.array([len(part.hashes[i]) for i in order], np.int64)
-        keys = np.array(prefix, np.uint64)[order]
-        self.keys = Keys(keys)
-        self.first = np.searchsorted(keys, self.keys.keys)
-        self.many = np.diff(np.append(self.first, len(keys)))
-        self.hashes = np.zeros((len(order), int(self.length.max())), np.uint64)
-        for row, i in enumerate(order):
-            self.hashes[row, : self.length[row]] = part.hashes[i]
-
-    def occurrences(self, data, found) -> Iterator[tuple[int, int, int, tuple[str, ...]]]:
-        """``(text, first word, end word, items)`` of every window that occurs."""
-        at, number = self.keys.find(grams(found.hashes, self.part.size))
-        many = self.many[number]
-        at = np.repeat(at, many)
-        within = np.arange(len(at)) - np.repeat(np.cumsum(many) - many, many)
-        row = np.repeat(self.first[number], many) + within
-        text = np.searchsorted(found.first, at, side="right") - 1
-        start = at - self.offset[row]
-        fits = (start >= found.first[text]) & (start + self.length[row] <= found.first[text + 1])
-        text, start, row = text[fits], start[fits], row[fits]
-        same = np.ones(len(row), bool)
-        for j in range(self.hashes.shape[1]):
-            word = found.hashes[np.minimum(start + j, len(found.hashes) - 1)] if len(row) else start
-            same &= (word == self.hashes[row, j]) | (j >= self.length[row])
-        for t, s, r in zip(text[same].tolist(), start[same].tolist(), row[same].tolist(), strict=True):
-            e = s + int(self.length[r])
-            i = int(self.order[r])
-            if lower_words(data, found.starts[s:e], found.ends[s:e]) == self.part.texts[i]:
-                begin = int(found.first[t])
-                yield t, s - begin, e - begin, self.part.items[i]
-
-
-def _scan(indexes: list[Index]):
-    def texts(column: pa.Array) -> list:
-        data, offsets = utf8(column)
-        found = words(data, offsets)
-        runs: list[dict[str, list[list[int]]]] = [{} for _ in range(len(column))]
-        hits = sorted(hit for index in indexes for hit in index.occurrences(data, found))
-        for text, start, end, items in hits:
-            for item in items:
-                of_item = runs[text].setdefault(item, [])
-                if of_item and start <= of_item[-1][1]:
-                    of_item[-1][1] = max(end, of_item[-1][1])
-                else:
-                    of_item.append([start, end])
-        spans = [
-            [
-                {"start": start, "end": end, "item": item}
-                for item, of_item in sorted(of_text.items())
-                for start, end in of_item
-            ]
-            for of_text in runs
-        ]
-        return [found.counts, spans]
+            for size in sizes:
+                keys = grams(found.hashes, size)
+                at, _ = _within(found, passing(table.value, keys), size)
+                some, n = np.unique(keys[at], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(some.view(np.int64)), pa.array(n)], names=["key", "n"])
+
+    counted = docs.select("text").mapInArrow(run, "key bigint, n bigint")
+    return counted.groupBy("key").agg(F.sum("n").alias("n"))
+
+
+def anchors(places: DataFrame, counts: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The ``places`` whose shingle is the rarest of a window, with ``need``, the window's words, and ``n``.
+
+    Of equally rare shingles the one with the smaller key is taken, then the first.
+    """
+    need = F.least(F.col("n_words"), F.lit(window))
+    counted = places.join(counts, "key", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    ahead = Window.partitionBy("id").orderBy("pos").rowsBetween(0, window - SHINGLE)
+    rarest = counted.select(
+        "id", "pos", "n_words", F.min(F.struct("n", "key", "pos")).over(ahead).alias("rarest")
+    ).filter(F.col("pos") + need <= F.col("n_words"))
+    chosen = rarest.select("id", F.col("rarest.pos").alias("pos"), F.col("rarest.n").alias("n")).distinct()
+    return places.join(chosen, ["id", "pos"]).withColumn("need", need)
+
+
+def document_places(docs: DataFrame, table, sizes: list[int], window: int = WINDOW) -> DataFrame:
+    """``PLACES`` of ``(id, text)`` rows whose shingle passes the table; equal texts give one row a place."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            data, offsets = utf8(batch.column("text"))
+            found = words(data, offsets)
+            ids = batch.column("id").to_pylist()
+            for size in sizes:
+                at, text = _within(found, passing(table.value, grams(found.hashes, size)), size)
+                yield from _places(data, found, ids, at, text, size, window - size if size == SHINGLE else 0)
+
+    every = docs.select("id", "text").mapInArrow(run, PLACES)
+    return every.groupBy("id", "pos", "size", "key").agg(F.first("before").alias("before"), F.first("around").alias("around"))
+
+
+def _agreeing(here: Column, there: Column, start: Column, other: Column, step: int, most: int) -> Column:
+    """How many words agree one after the other, from two places on in the same direction."""
+    same = F.transform(
+        F.sequence(F.lit(0), F.lit(most - 1)),
+        lambda i: F.coalesce(F.get(here, start + step * i) == F.get(there, other + step * i), F.lit(False)),
+    )
+    return F.array_position(F.concat(same, F.array(F.lit(False))), F.lit(False)) - 1
+
+
+def occurrences(probes: DataFrame, wanted: DataFrame, parts: int, window: int = WINDOW) -> DataFrame:
+    """``(id, item, start, end)``: runs of words that documents share with items, a window long at least.
+
+    A shingle that holds more than the fourth part of a partition's share of all
+    occurrences is dealt over several keys. No more than ``4 * parts`` shingles
+    can, which is what is sent round.
+    """
+    keys = wanted.groupBy("key").agg(F.max("n").alias("n"))
+    total = keys.agg(F.sum("n")).first()[0] or 0
+    heavy = keys.filter(F.col("n") * (4 * parts) > total).select(
+        "key", F.least(F.ceil(F.col("n") * (4 * parts) / F.lit(max(total, 1))), F.lit(4 * parts)).alias("salts")
+    )
+    heavy = F.broadcast(heavy)
+    salts = F.coalesce("salts", F.lit(1))
+    here = probes.join(heavy, "key", "left").select(
+        "key", F.pmod(F.xxhash64("id", "pos"), salts).alias("salt"), "id", "pos", "before", "around"
+    )
+    there = wanted.join(heavy, "key", "left").select(
+        "key",
+        F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1)).alias("salt"),
+        F.col("need"), F.col("item"), F.col("before").alias("item_before"), F.col("around").alias("item_around"),
+    )
+    met = here.join(there, ["key", "salt"]).select(
+        "id", "item", "pos", "need", "before", "item_before",
+        F.split("around", " ").alias("d"), F.split("item_around", " ").alias("w"),
+    )
+    d, w, before, item_before = (F.col(c) for c in ("d", "w", "before", "item_before"))
+    met = met.select(
+        "id", "item", "pos", "need",
+        _agreeing(d, w, before - 1, item_before - 1, -1, window).alias("left"),
+        _agreeing(d, w, before, item_before, 1, window).alias("right"),
+    ).filter(F.col("left") + F.col("right") >= F.col("need"))
+    return met.select("id", "item", (F.col("pos") - F.col("left")).alias("start"), (F.col("pos") + F.col("right")).alias("end"))
+
+
+def joined_runs(runs: DataFrame) -> DataFrame:
+    """``(id, item, start, end)`` with runs of an item that meet or overlap made one."""
+    order = Window.partitionBy("id", "item").orderBy("start", "end")
+    reached = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    begins = runs.distinct().withColumn("new", F.when(F.col("start") <= reached, 0).otherwise(1))
+    numbered = begins.withColumn("run", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    return (
+        numbered.groupBy("id", "item", "run")
+        .agg(F.min("start").alias("start"), F.max("end").alias("end"))
+        .select("id", "item", "start", "end")
+    )
 
-    return texts
+
+def _word_counts(column: pa.Array) -> list:
+    """Words of each text, without their hashes."""
+    data, offsets = utf8(column)
+    inside = WORD_BYTE[data] != 0
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    edges = offsets[:-1][offsets[:-1] < len(data)]
+    begins[edges] = inside[edges]
+    return [np.diff(np.searchsorted(np.flatnonzero(begins), offsets))]
 
 
 def _covered(spans: Column) -> Column:
@@ -212,6 +290,34 @@ def _covered(spans: Column) -> Column:
     )
 
 
+def _digest(text: Column) -> Column:
+    return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
+
+
+def find_items(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """``(id, spans)`` of the ``(id, text)`` rows of ``docs`` in which windows of ``(item, text)`` rows occur."""
+    spark = docs.sparkSession
+    bound_batches(spark)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    benchmark = items.select(_digest(items["text"]).alias("id"), "item", "text")
+    pieces = benchmark.groupBy("id").agg(F.first("text").alias("text"))
+    places = stored(item_places(pieces), "item_places")
+    sizes = sorted(row["size"] for row in places.select("size").distinct().collect())
+    every = spark.sparkContext.broadcast(sieve(places))
+    counts = stored(shingle_counts(docs, every, sizes), "shingle_counts")
+    every.unpersist()
+    owners = benchmark.select("id", "item").distinct()
+    wanted = anchors(places, counts).join(owners, "id").select("key", "n", "need", "before", "around", "item")
+    wanted = stored(wanted.distinct(), "anchors")
+    some = spark.sparkContext.broadcast(sieve(wanted))
+    probes = document_places(docs, some, sizes)
+    runs = joined_runs(occurrences(probes, wanted, parts))
+    # By item and start; a document's spans are no more than its own occurrences.
+    ordered = F.array_sort(F.collect_list(F.struct("item", "start", "end")))
+    spans = F.transform(ordered, lambda s: F.struct(s.start, s.end, s["item"]))
+    return stored(runs.groupBy("id").agg(spans.alias("spans")), "hits")
+
+
 def decontaminate(
     docs: DataFrame,
     items: DataFrame,
@@ -221,7 +327,6 @@ def decontaminate(
     item_text: str = "text",
     into: str = "contamination",
     drop: tuple[str, ...] = (),
-    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """``docs`` with a struct ``into`` of n_words, n_hit, items, spans, contaminated.
 
@@ -235,43 +340,15 @@ def decontaminate(
     benchmark = pick(items, item=item_id, text=item_text).select(
         F.coalesce(F.col("item").cast("string"), F.lit("")).alias("item"), "text"
     )
-    size = benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-size // block_bytes))
-    block = F.pmod(F.xxhash64("item", "text"), F.lit(blocks))
-    part = free_name(docs, f"{into}_part")
-    number = free_name(docs, "row_number_")
-    fields = f"n_words bigint, spans {SPANS}"
-    source = docs
-    if blocks > 1:
-        source = stored(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
-    hits = []
-    for i in range(blocks):
-        rows = [tuple(r) for r in benchmark.filter(block == i).distinct().collect()]
-        windows = item_windows(rows)
-        keys = {w.size: np.concatenate([grams(h, w.size) for h in w.hashes]) for w in windows}
-        counts = shingle_counts(source, text, keys)
-        indexes = [Index(w, counts[w.size]) for w in windows]
-        shared = docs.sparkSession.sparkContext.broadcast(indexes)
-        prepare = lambda b=shared: _scan(b.value)
-        if blocks == 1:
-            out = annotate(docs, text, prepare, fields, part, drop)
-        else:
-            found = annotate(source.select(number, text), text, prepare, fields, part, (text,))
-            found = found.select(number, F.col(part).spans.alias(part)).filter(F.size(part) > 0)
-            hits.append(stored(found, "hits"))
-            shared.unpersist()
-    if blocks > 1:
-        counted = annotate(source, text, lambda: lambda c: [words(*utf8(c)).counts], "n_words bigint", part, drop)
-        every = reduce(DataFrame.unionAll, hits).groupBy(number).agg(F.flatten(F.collect_list(part)).alias(part))
-        # In the order that one block would give.
-        ordered = F.array_sort(F.transform(part, lambda s: F.struct(s["item"], s.start, s.end)))
-        spans = F.transform(ordered, lambda s: F.struct(s.start, s.end, s["item"]))
-        none, own = F.array().cast(SPANS), free_name(counted, "spans")
-        joined = counted.join(every.select(number, spans.alias(own)), number, "left")
-        out = joined.withColumn(
-            part, F.struct(F.col(part).n_words.alias("n_words"), F.coalesce(F.col(own), none).alias("spans"))
-        )
-    spans = F.col(part).spans
+    own = pick(docs, text=text).select(_digest(F.col("text")).alias("id"), "text")
+    hits = find_items(own, benchmark)
+    key, part, found = (free_name(docs, f"{into}_{name}") for name in ("key", "part", "spans"))
+    keyed = docs.withColumn(key, _digest(docs[text]))
+    counted = annotate(keyed, text, lambda: _word_counts, "n_words bigint", part, drop)
+    # The hits are stored: Spark knows their size and sends them round if they
+    # are few; of many, it splits the copies of a text that has very many.
+    out = counted.join(hits.select(F.col("id").alias(key), F.col("spans").alias(found)), key, "left")
+    spans = F.coalesce(F.col(found), F.array().cast(SPANS))
     n_words, n_hit = F.col(part).n_words, _covered(spans)
     result = F.struct(
         n_words.alias("n_words"),
