@@ -5,6 +5,7 @@ import types
 import pytest
 
 from tweetflow.functions.scorers import (
+    _LISTS_TYPE,
     Lexicon,
     in_windows,
     lexicon_model,
@@ -79,6 +80,13 @@ def test_label_scores_and_flag_share_one_model_call(texts):
     assert plan.count("ArrowEvalPython") == 1
 
 
+def test_model_results_leave_python_as_plain_lists(texts):
+    scored = model_scorer(lambda: lambda given: [None if t == "" else [{"label": t, "score": 1.0}] for t in given])
+    assert [f.dataType.simpleString() for f in _LISTS_TYPE] == ["array<string>", "array<double>"]
+    got = {r.i: r.p for r in scored(texts, "t", "p").collect()}
+    assert got[1].label == "good" and got[1].score == 1.0 and got[8].label is None and got[8].score is None
+
+
 @pytest.mark.parametrize(
     "positive, negative",
     [(("a", "b"), ("b",)), (("a b",), ("c",)), (("A",), ("c",)), ((), ("c",)), (("a1",), ("c",))],

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tweetflow.functions.labels import SCORES_TYPE, apply_label_rule, label_from_votes
 from tweetflow.functions.text import as_column
@@ -21,6 +22,10 @@ Scorer = Callable[[DataFrame, str, str], DataFrame]
 #: Texts in, for each text the scores of all labels out.
 Model = Callable[[list[str]], list[list[dict]]]
 
+_LISTS_TYPE = T.StructType(
+    [T.StructField("label", T.ArrayType(T.StringType())), T.StructField("score", T.ArrayType(T.DoubleType()))]
+)
+
 
 @dataclass(frozen=True)
 class Lexicon:
@@ -81,19 +86,28 @@ def model_scorer(factory: Callable[[], Model], batch_size: int = 32) -> Scorer:
     if batch_size < 1:
         raise ValueError("batch_size must be positive")
 
-    @F.pandas_udf(SCORES_TYPE)
-    def infer(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    # Labels and scores as two lists: a list of records would be converted field
+    # by field in Python, which takes longer than a short text takes to score.
+    @F.pandas_udf(_LISTS_TYPE)
+    def infer(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model = factory()
         for texts in batches:
             texts = texts.tolist()
-            scores = []
+            labels, shares = [], []
             for start in range(0, len(texts), batch_size):
-                scores.extend(model(texts[start : start + batch_size]))
-            yield pd.Series(scores, dtype=object)
+                for scores in model(texts[start : start + batch_size]):
+                    known = scores is not None
+                    labels.append([s.get("label") for s in scores] if known else None)
+                    shares.append([s.get("score") for s in scores] if known else None)
+            yield pd.DataFrame({"label": pd.Series(labels, dtype=object), "score": pd.Series(shares, dtype=object)})
 
     def score(df: DataFrame, text: str, out: str) -> DataFrame:
         scores = f"__scores_{out}"
-        scored = df.withColumn(scores, infer(F.coalesce(as_column(text), F.lit(""))))
+        lists = infer(F.coalesce(as_column(text), F.lit("")))
+        # A step of its own, so that the model is asked once for both lists.
+        scored = df.withColumn(scores, lists).withColumn(
+            scores, F.arrays_zip(F.col(scores)["label"], F.col(scores)["score"]).cast(SCORES_TYPE)
+        )
         return apply_label_rule(scored, scores, out)
 
     return score
@@ -111,6 +125,10 @@ def lexicon_model(lexicon: Lexicon) -> Callable[[], Model]:
         import re
 
         runs = re.compile(r"[^\W\d_]+")
+        known = positive | negative
+        # Western texts have a byte a character, and any byte but a letter parts words.
+        blanked = bytes(b if chr(b).isalpha() else ord(" ") for b in range(256))
+        named = {w.encode("latin-1"): w for w in known if all(ord(c) < 256 for c in w)}
 
         def letters(run: str) -> list[str]:
             """Letters only: the class of the pattern has signs like ½ and Ⅷ as well."""
@@ -118,10 +136,18 @@ def lexicon_model(lexicon: Lexicon) -> Callable[[], Model]:
                 return [run]
             return "".join(c if c.isalpha() else " " for c in run).split()
 
+        def hits(text: str) -> list[str]:
+            text = text.lower()
+            try:
+                words = text.encode("latin-1").translate(blanked).split()
+            except UnicodeEncodeError:
+                return [w for run in runs.findall(text) for w in letters(run) if w in known]
+            return [named[w] for w in filter(named.__contains__, words)]
+
         def rate(text: str) -> list[dict]:
-            words = [w for run in runs.findall(text.lower()) for w in letters(run)]
-            n_pos = sum(w in positive for w in words)
-            n_neg = sum(w in negative for w in words)
+            found = hits(text)
+            n_pos = sum(map(positive.__contains__, found))
+            n_neg = len(found) - n_pos
             votes = n_pos + n_neg + 1
             return [
                 {"label": "NEG", "score": n_neg / votes},
