@@ -90,3 +90,22 @@ APRIL_6 = datetime(2009, 4, 6, 22, 19, 45)
 )
 def test_dates(spark, date, expected):
     assert column(spark, [date], fn.tweet_timestamp("v").cast("timestamp_ntz")) == [expected]
+
+
+def test_usual_dates_are_cast_and_agree_with_the_parser(spark):
+    dates = [
+        f"{day} {month} {rest}"
+        for day in ("Mon", "Sun")
+        for month in ("Jan", "Feb", "Jun", "Dec")
+        for rest in (
+            "06 22:19:45 PDT 2009", "29 00:00:00 UTC 2008", "30 23:59:59 PDT 1000", "31 12:00:00 PST 9999",
+            "00 12:00:00 PDT 2009", "32 12:00:00 PDT 2009", "01 24:00:00 PDT 2009", "01 29:00:00 PDT 2009",
+        )
+    ]
+    unusual = ["Mon Jan 06 22:19:45 PDT 2009\n", "Mon Jan 06 22:19:45 PDTX 2009", "mon Jan 6 22:19:45 PDT 2009", ""]
+    dates += [*unusual, None]
+    digits = F.regexp_replace(F.regexp_replace("v", fn.ZONE_TOKEN, " "), fn.WEEKDAY, "")
+    parsed = F.when(F.col("v").rlike(fn.WEEKDAY), F.try_to_timestamp(digits, F.lit(fn.DATE_FORMAT)))
+    assert column(spark, dates, fn.tweet_timestamp("v")) == column(spark, dates, parsed)
+    usual = column(spark, dates, F.col("v").rlike(fn.USUAL_DATE))
+    assert usual == [True] * (len(dates) - 5) + [False] * 4 + [None]

@@ -16,6 +16,12 @@ BEYOND_MENTIONS = f"[^{WORD}@ ]|@(?![{WORD}])|(?<![{WORD}@])[{WORD}]"
 WEEKDAY = r"^(?i)(?:mon|tue|wed|thu|fri|sat|sun)[a-z]* "
 ZONE_TOKEN = " [A-Z]{3} "
 DATE_FORMAT = "MMM d HH:mm:ss yyyy"
+# The usual form of a date, whose parts stand at fixed places.
+MONTHS = "JanFebMarAprMayJunJulAugSepOctNovDec"
+USUAL_DATE = (
+    r"^(?:Mon|Tue|Wed|Thu|Fri|Sat|Sun) (?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec) "
+    r"[0-3][0-9] [0-2][0-9]:[0-5][0-9]:[0-5][0-9] [A-Z]{3} [1-9][0-9]{3}\z"
+)
 
 
 def as_column(value: Column | str) -> Column:
@@ -61,8 +67,14 @@ def tweet_timestamp(date: Column | str) -> Column:
 
     The zone token is dropped and the digits are read in the session zone. A
     weekday has to be there, but the default parser has no pattern for it, so
-    it is dropped as well and not checked against the date.
+    it is dropped as well and not checked against the date. Dates of the usual
+    form are put in ISO order and cast, which takes a fraction of the time that
+    a parser with a pattern does.
     """
     date = as_column(date)
+    month = ((F.instr(F.lit(MONTHS), date.substr(5, 3)) + 2) / 3).cast("int").cast("string")
+    day = F.concat_ws("-", date.substr(25, 4), F.lpad(month, 2, "0"), date.substr(9, 2))
+    usual = F.concat_ws(" ", day, date.substr(12, 8)).try_cast("timestamp")
     digits = F.regexp_replace(F.regexp_replace(date, ZONE_TOKEN, " "), WEEKDAY, "")
-    return F.when(date.rlike(WEEKDAY), F.try_to_timestamp(digits, F.lit(DATE_FORMAT)))
+    parsed = F.when(date.rlike(WEEKDAY), F.try_to_timestamp(digits, F.lit(DATE_FORMAT)))
+    return F.when(date.rlike(USUAL_DATE), usual).otherwise(parsed)
