@@ -314,3 +314,23 @@ def test_gold_table_has_the_declared_schema(spark, messages, scorer, new_dir, la
     stages.run_stages(spark, source, layout, scorer)
     found = spark.read.parquet(layout.table("gold")).schema
     assert [(f.name, f.dataType) for f in found] == [(f.name, f.dataType) for f in GOLD]
+
+
+def test_many_short_messages_are_shared_out(spark, scorer, layout, new_dir):
+    """Rows that take next to no bytes: no task gets all of them, and copies of long texts none either."""
+    date = F.lit("Mon Apr 06 22:19:45 PDT 2009")
+    n = 4 * tables.MAX_FILE_ROWS + 1
+    messages = spark.range(0, n, 1, 1).select(
+        date.alias("date"), F.lit("positive").alias("sentiment"), F.lit("@a the").alias("text"), F.lit("u").alias("user")
+    )
+    source = new_dir("landing")
+    messages.write.json(source)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    stages.run_stages(spark, source, layout, scorer)
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+    for layer in ("silver", "gold"):
+        table = read_layer(spark, layout, layer)
+        per_file = table.groupBy(F.col("_metadata.file_path")).count().collect()
+        assert len(per_file) > 1 and max(r["count"] for r in per_file) <= tables.MAX_FILE_ROWS
+        assert sum(r["count"] for r in per_file) == n
+    assert all(name.endswith(".zstd.parquet") for name in map(str, [r[0] for r in per_file]))

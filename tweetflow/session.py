@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import SparkSession
@@ -22,6 +24,14 @@ SPEED_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+#: How a bounded run of a stage shares its input out. Short messages compress so
+#: well that bytes say little about the work; a file counts for many of them, so
+#: that a task gets few files, and files hold a bounded number of rows.
+SCAN_CONF = {
+    "spark.sql.files.maxPartitionBytes": str(32 << 20),
+    "spark.sql.files.openCostInBytes": str(8 << 20),
+}
+
 
 def build_session(
     app_name: str = "tweetflow",
@@ -67,6 +77,27 @@ def with_scan_tasks(spark: SparkSession, max_bytes: int, min_tasks: int) -> Spar
     return sibling
 
 
+@contextmanager
+def spread_scans(spark: SparkSession) -> Iterator[None]:
+    """Within, scans of ``spark`` are cut into ``SCAN_CONF``'s small tasks.
+
+    A stream plans its scans with the settings of the session that its source
+    was made in, so it has to be started and run to its end within. What was
+    set before holds again afterwards.
+    """
+    before = {key: spark.conf.get(key, None) for key in SCAN_CONF}
+    for key, value in SCAN_CONF.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A new, unused path under the folder that all executors can reach.
 

@@ -21,6 +21,13 @@ from tweetflow.sources import files
 
 TARGET_FILE_BYTES = 128 << 20
 
+#: A message is repeated for each of its mentions. Snappy sees 64 KB at once and
+#: misses the copies of long texts.
+TABLE_CODEC = "zstd"
+
+#: Bound of a file of a stage, so that readers can share out short messages too.
+MAX_FILE_ROWS = 200_000
+
 
 @dataclass(frozen=True)
 class Layout:
@@ -141,7 +148,7 @@ def compact(
     if not files.exists(spark, path):
         return None
     table = with_scan_tasks(spark, target_bytes, 1).read.option("mergeSchema", "true").parquet(path)
-    table.write.mode("errorifexists").parquet(snapshot)
+    table.write.mode("errorifexists").parquet(snapshot, compression=TABLE_CODEC)
     return snapshot
 
 

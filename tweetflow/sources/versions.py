@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from tweetflow.schemas import LAYERS
 from tweetflow.session import shared_dir, with_scan_tasks
 from tweetflow.sources import files
-from tweetflow.sources.tables import TARGET_FILE_BYTES, Layout, table_version
+from tweetflow.sources.tables import TABLE_CODEC, TARGET_FILE_BYTES, Layout, table_version
 
 _LOG = re.compile(r"(\d+)(\.compact)?")
 _WIDTH = 12
@@ -154,7 +154,7 @@ def compact_layer(
     if paths:
         segment = f"{layout.snapshots(layer)}/_segments/{version:0{_WIDTH}d}-{uuid.uuid4().hex}"
         reader = with_scan_tasks(spark, target_bytes, 1).read.option("mergeSchema", "true")
-        reader.parquet(*paths).write.parquet(segment)
+        reader.parquet(*paths).write.parquet(segment, compression=TABLE_CODEC)
         segments = (*segments, segment)
     draft = f"{layout.snapshots(layer)}/_draft-{uuid.uuid4().hex}"
     listing = spark.createDataFrame([(json.dumps({"segments": segments}),)], "value string")

@@ -13,9 +13,9 @@ from pyspark.sql.streaming import StreamingQuery
 from tweetflow.functions.scorers import Scorer
 from tweetflow.operators.layers import to_bronze, to_gold, to_silver
 from tweetflow.schemas import LAYERS, RAW
-from tweetflow.session import configure
+from tweetflow.session import configure, spread_scans
 from tweetflow.sources import landing
-from tweetflow.sources.tables import Layout, admit, read_layer, table_version
+from tweetflow.sources.tables import MAX_FILE_ROWS, TABLE_CODEC, Layout, admit, read_layer, table_version
 
 #: Read what is there now, in bounded micro-batches, then end.
 BOUNDED = {"availableNow": True}
@@ -118,6 +118,8 @@ def _append(df: DataFrame, layout: Layout, layer: str, trigger: dict) -> Streami
         .outputMode("append")
         .option("checkpointLocation", layout.checkpoint(layer))
         .option("path", layout.table(layer))
+        .option("compression", TABLE_CODEC)
+        .option("maxRecordsPerFile", str(MAX_FILE_ROWS))
         .queryName(name)
         .trigger(**trigger)
         .start()
@@ -159,7 +161,8 @@ def run_stages(
         version, n_rows = _extent(spark, layout, layer)
         started = time.perf_counter()
         if upstream_ready:
-            start().awaitTermination()
+            with spread_scans(spark):
+                start().awaitTermination()
         seconds = time.perf_counter() - started
         new_version, new_rows = _extent(spark, layout, layer)
         report.append((layer, new_rows - n_rows, new_version - version, seconds))
