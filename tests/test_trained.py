@@ -4,6 +4,7 @@ import random
 
 import pytest
 from compare import multiset
+from pyspark.sql import functions as F
 
 from tweetflow.functions import trained
 from tweetflow.functions.labels import LABELS
@@ -88,3 +89,28 @@ def test_gold_stream_with_a_trained_scorer(spark, sf_dir, scorer, new_dir, layou
     assert multiset(streamed.drop("predicted_score")) == multiset(batch.drop("predicted_score"))
     reports.log_evaluation(spark, layout, "trained", "words and pairs", {"model_version": scorer.version})
     assert tables.read_runs(spark, layout.runs).first().params["model_version"] == "v7"
+
+
+def test_training_reads_its_rows_once(spark):
+    sample = [(i, *r) for i, r in enumerate(rows(120, 6))]
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(text):
+        read.add(1)
+        return text
+
+    df = spark.createDataFrame(sample, f"i int, {SAMPLE}").withColumn("cleaned_text", seen("cleaned_text"))
+    trained.train(df, n_features=1 << 8, iterations=3)
+    assert read.value == len(sample)
+
+
+def test_a_repeated_row_weighs_as_often_as_it_occurs(spark):
+    sample = rows(150, 7)
+    repeated = [*sample, *sample, *sample]
+    one = trained.train(spark.createDataFrame(sample, SAMPLE), n_features=1 << 8)
+    three = trained.train(spark.createDataFrame(repeated, SAMPLE), n_features=1 << 8)
+    others = rows(60, 8)
+    got, wanted = (predictions(spark, scorer, others) for scorer in (three, one))
+    assert [p.label for p in got.values()] == [p.label for p in wanted.values()]
+    assert all(abs(got[i].score - wanted[i].score) < 0.05 for i in got)

@@ -2,7 +2,8 @@
 
 Words and pairs of words are hashed into a vector of fixed size, and a
 multinomial logistic regression gives the probability of each label. Training
-sums gradients over the partitions, scoring runs in the JVM: no Python worker.
+works out the vectors once and sums gradients over the partitions, scoring runs
+in the JVM: no Python worker.
 A trained scorer is saved under a path that ends with its version.
 """
 
@@ -20,11 +21,13 @@ from pyspark.sql import functions as F
 from tweetflow.functions.labels import LABELS, apply_label_rule
 from tweetflow.functions.scorers import Scorer
 from tweetflow.functions.text import as_column
+from tweetflow.session import shared_dir
+from tweetflow.sources import files
 
 #: Given sentiments, in the order of ``LABELS``.
 GIVEN = ("negative", "neutral", "positive")
 
-_TEXT, _LABEL, _PROBABILITY = "__text", "__label", "__probability"
+_TEXT, _LABEL, _WEIGHT, _PROBABILITY = "__text", "__label", "__weight", "__probability"
 #: What the steps add to a frame on the way.
 _STEPS = ("__words", "__pairs", "__word_counts", "__pair_counts", "__features", "__raw", "__prediction")
 
@@ -73,37 +76,51 @@ def train(
 ) -> TrainedScorer:
     """Learn from the rows of ``labelled`` whose sentiment is a label.
 
-    The weights, ``n_features`` for each label, are held by the driver and sent
-    to the tasks for each of the ``iterations``. Rows should be spread over all
-    cores, for every iteration goes through them. Every label has to occur.
+    Equal texts of one label, as a message has for each of its mentions, are one
+    row of that weight. The vectors are written to the shared folder and removed
+    afterwards; the regression goes through them for each of the ``iterations``.
+    Its coefficients, ``n_features`` for each label, are held by the driver and
+    sent to the tasks for each iteration. Every label has to occur.
     """
     label = label_of(sentiment)
     rows = labelled.select(F.coalesce(as_column(text), F.lit("")).alias(_TEXT), label.alias("label"))
     rows = rows.filter(F.col("label").isNotNull())
-    known = {row.label for row in rows.select("label").distinct().collect()}  # three at most
-    if missing := [name for name in LABELS if name not in known]:
-        raise ValueError(f"no row is labelled {', '.join(missing)}")
-    number = F.array_position(F.array(*map(F.lit, LABELS)), F.col("label")) - 1
+    rows = rows.groupBy(_TEXT, "label").agg(F.count("*").cast("double").alias(_WEIGHT))
     words, pairs, word_counts, pair_counts, features, raw, prediction = _STEPS
-    steps = [
-        RegexTokenizer(inputCol=_TEXT, outputCol=words, pattern=r"[^\p{L}]+"),
-        NGram(n=2, inputCol=words, outputCol=pairs),
-        HashingTF(numFeatures=n_features // 2, binary=True, inputCol=words, outputCol=word_counts),
-        HashingTF(numFeatures=n_features // 2, binary=True, inputCol=pairs, outputCol=pair_counts),
-        VectorAssembler(inputCols=[word_counts, pair_counts], outputCol=features),
-        LogisticRegression(
-            family="multinomial",
-            maxIter=iterations,
-            regParam=penalty,
-            featuresCol=features,
-            labelCol=_LABEL,
-            rawPredictionCol=raw,
-            probabilityCol=_PROBABILITY,
-            predictionCol=prediction,
-        ),
-    ]
-    fitted = Pipeline(stages=steps).fit(rows.select(_TEXT, number.cast("double").alias(_LABEL)))
-    return TrainedScorer(fitted, version)
+    vectorize = Pipeline(
+        stages=[
+            RegexTokenizer(inputCol=_TEXT, outputCol=words, pattern=r"[^\p{L}]+"),
+            NGram(n=2, inputCol=words, outputCol=pairs),
+            HashingTF(numFeatures=n_features // 2, binary=True, inputCol=words, outputCol=word_counts),
+            HashingTF(numFeatures=n_features // 2, binary=True, inputCol=pairs, outputCol=pair_counts),
+            VectorAssembler(inputCols=[word_counts, pair_counts], outputCol=features),
+        ]
+    ).fit(rows)
+    regression = LogisticRegression(
+        family="multinomial",
+        maxIter=iterations,
+        regParam=penalty,
+        featuresCol=features,
+        labelCol=_LABEL,
+        weightCol=_WEIGHT,
+        rawPredictionCol=raw,
+        probabilityCol=_PROBABILITY,
+        predictionCol=prediction,
+    )
+    number = F.array_position(F.array(*map(F.lit, LABELS)), F.col("label")) - 1
+    spark = labelled.sparkSession
+    path = files.make_scratch(spark, shared_dir(spark, "vectors")) + "/vectors"
+    vectors = vectorize.transform(rows).select("label", number.cast("double").alias(_LABEL), _WEIGHT, features)
+    vectors.write.parquet(path, compression="zstd")
+    kept = spark.read.schema(vectors.schema).parquet(path)
+    try:
+        known = {row.label for row in kept.select("label").distinct().collect()}  # three at most
+        if missing := [name for name in LABELS if name not in known]:
+            raise ValueError(f"no row is labelled {', '.join(missing)}")
+        fitted = regression.fit(kept)
+    finally:
+        files.delete(spark, path)
+    return TrainedScorer(PipelineModel([*vectorize.stages, fitted]), version)
 
 
 def load_scorer(path: str) -> Scorer:
