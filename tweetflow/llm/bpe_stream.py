@@ -45,6 +45,8 @@ PIECE = 1 << 16
 _MARGIN = 3
 #: What a run of the pattern consists of, but for a blank before it.
 _LETTERS, _NUMBERS, _OTHERS, _SPACES = map(regex.compile, (r"\p{L}+", r"\p{N}+", r"[^\s\p{L}\p{N}]+", r"\s+"))
+#: Letters up to U+024F with signs behind them: two runs of the pattern at most.
+_WORD = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,;:!?#$%&*|)]*)")
 _TOKEN = -1
 _SPACE = frozenset(regex.findall(r"\s", "".join(map(chr, range(0x3001)))))
 #: Entries of the caches before they are begun anew.
@@ -99,6 +101,13 @@ class Merges:
             for byte in text:
                 node = node.setdefault(byte, {})
             node[_TOKEN] = token
+        #: Nodes two bytes deep, each with the longest token up to there.
+        self.pairs = {
+            bytes([a, b]): (node, node.get(_TOKEN, self.single[a]))
+            for a, first in self.forward.items()
+            for b, node in first.items()
+            if b != _TOKEN
+        }
         self.size = {token: len(text) for text, token in self.vocab.items()}
         #: The longest token that is a proper beginning of a token.
         self.shorter: dict[int, int | None] = {}
@@ -187,17 +196,23 @@ class Merges:
     def cut(self, data: bytes, before: int | None) -> list[int]:
         """The tokens of ``data`` that may stand side by side, and behind ``before``."""
         size, shorter, beside = self.size, self.shorter, self.beside
-        known, forward = self._beside, self.forward
+        known, pairs, single = self._beside, self.pairs, self.single
         tokens: list[int] = []
         dead: set[int] = set()
         at, end, last = 0, len(data), before
         while at < end:
-            # The longest token that begins here; single bytes are tokens.
-            node, place, token = forward, at, None
-            while place < end and (node := node.get(data[place])) is not None:
-                place += 1
-                if _TOKEN in node:
-                    token = node[_TOKEN]
+            # The longest token that begins here; single bytes are tokens, and two
+            # bytes lead to where they and the token among them are known.
+            found = pairs.get(data[at : at + 2])
+            if found is None:
+                token = single[data[at]]
+            else:
+                node, token = found
+                place = at + 2
+                while place < end and (node := node.get(data[place])) is not None:
+                    place += 1
+                    if _TOKEN in node:
+                        token = node[_TOKEN]
             while True:
                 while token is not None:
                     if not dead or at + size[token] not in dead:
@@ -308,7 +323,7 @@ class Encoder:
         So the text falls into words with the blank before them, and a word
         that has been met needs no look at the pattern.
         """
-        words = self.words
+        words, known = self.words, self.known
         pieces = iter(text.split(" "))
         pending = next(pieces)
         for word in pieces:
@@ -317,7 +332,20 @@ class Encoder:
                 if not word or word[0].isspace() or word[0] in _SPACE:
                     pending += " " + word
                     continue
-                tokens = self._cut(" " + word)
+                plain = _WORD.fullmatch(word)
+                if plain is None or len(word) >= _KEPT:
+                    tokens = self._cut(" " + word)
+                else:
+                    # A run of letters, and one of signs that no letter follows.
+                    stem, signs = plain.groups()
+                    tokens = words.get(stem)
+                    if tokens is None:
+                        tokens = tuple(self.merges.cut(b" " + stem.encode(), None))
+                        if signs:
+                            self._keep(words, stem, tokens)
+                    if signs:
+                        tail = known.get(signs)
+                        tokens += tuple(self._cut(signs)) if tail is None else tail
                 self._keep(words, word, tokens)
             if pending:
                 ids += self._cut(pending)
