@@ -283,3 +283,15 @@ def test_evaluation_scans_the_predictions_once(spark, filled):
     plan = metrics._jdf.queryExecution().executedPlan().toString()
     final = plan[: plan.index("Initial Plan")]
     assert final.count("FileScan") == 1 and "Reused" in final
+
+
+def test_landing_files_are_compressed_and_bounded(spark, new_dir, monkeypatch):
+    monkeypatch.setitem(landing.LANDED, "maxRecordsPerFile", "100")
+    source, target = new_dir("landing"), new_dir("replay")
+    rows = [("d", "positive", f"@a text {i} " + "word " * 200, "u") for i in range(300)]
+    spark.createDataFrame(rows, RAW).coalesce(1).write.options(**landing.LANDED).json(source)
+    assert landing.count_files(spark, source).first().n_files == 3
+    assert landing.replay_newest(spark, source, target, 3) == 3
+    assert multiset(landing.read_batch(spark, target)) == multiset(landing.read_batch(spark, source))
+    sizes = [r.length for r in landing.list_files(spark, target).collect()]
+    assert len(sizes) == 3 and sum(sizes) < 100_000

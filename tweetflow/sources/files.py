@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tweetflow.session import with_scan_tasks
@@ -92,7 +95,12 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in fs.listStatus(hadoop_path)]
 
 
-def list_files(spark: SparkSession, path: str, suffix: str) -> DataFrame:
+def ends_with(path: Column, *suffixes: str) -> Column:
+    """Whether a path ends with any of the suffixes."""
+    return reduce(or_, (path.endswith(suffix) for suffix in suffixes))
+
+
+def list_files(spark: SparkSession, path: str, *suffixes: str) -> DataFrame:
     """``(path, modificationTime, length)`` of the files; contents are not read.
 
     Of a table written by a stream only committed files are listed. Scan tasks
@@ -105,11 +113,11 @@ def list_files(spark: SparkSession, path: str, suffix: str) -> DataFrame:
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_modification_time").alias("modificationTime"),
         F.col("_metadata.file_size").alias("length"),
-    ).filter(F.col("path").endswith(suffix))
+    ).filter(ends_with(F.col("path"), *suffixes))
 
 
-def file_sizes(spark: SparkSession, path: str, suffix: str) -> DataFrame:
+def file_sizes(spark: SparkSession, path: str, *suffixes: str) -> DataFrame:
     """``(n_files, n_bytes)`` of a directory, one row."""
-    return list_files(spark, path, suffix).agg(
+    return list_files(spark, path, *suffixes).agg(
         F.count("*").alias("n_files"), F.coalesce(F.sum("length"), F.lit(0)).alias("n_bytes")
     )

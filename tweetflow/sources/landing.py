@@ -21,6 +21,12 @@ MAX_FILE_AGE = "36500d"
 ARCHIVE_AGE = "1d"
 
 SUFFIX = ".json"
+#: Names of landing files, as they are and compressed.
+SUFFIXES = (SUFFIX, SUFFIX + ".gz", SUFFIX + ".snappy")
+
+#: How files are landed: compressed, with the codec that costs no time, and
+#: bounded in rows, for a compressed file is read by one task.
+LANDED = {"compression": "snappy", "maxRecordsPerFile": "50000"}
 
 
 def read_stream(
@@ -128,11 +134,11 @@ def read_inferred(spark: SparkSession, path: str) -> DataFrame:
 
 def list_files(spark: SparkSession, path: str) -> DataFrame:
     """``(path, modificationTime, length)`` of the JSON files."""
-    return files.list_files(spark, path, SUFFIX)
+    return files.list_files(spark, path, *SUFFIXES)
 
 
 def count_files(spark: SparkSession, path: str) -> DataFrame:
-    return files.file_sizes(spark, path, SUFFIX).select("n_files")
+    return files.file_sizes(spark, path, *SUFFIXES).select("n_files")
 
 
 def newest_files(spark: SparkSession, path: str, n: int) -> DataFrame:
@@ -148,7 +154,7 @@ def hand_on(spark: SparkSession, inbox: str, path: str) -> int:
     file is moved whole or stays: after a failure the rest is moved by the next
     call.
     """
-    names = [n for n in sorted(files.child_names(spark, inbox)) if n.endswith(SUFFIX) and n[0] not in "._"]
+    names = [n for n in sorted(files.child_names(spark, inbox)) if n.endswith(SUFFIXES) and n[0] not in "._"]
     for name in names:
         files.hand_into(spark, f"{inbox}/{name}", path, f"{uuid.uuid4().hex}-{name}")
     return len(names)
@@ -161,7 +167,7 @@ def replay_newest(
     num_files: int = 50,
     schema: T.StructType = RAW,
 ) -> int:
-    """Land the records of the newest files again, in new files under ``target``.
+    """Land the records of the newest files again, in new, compressed files under ``target``.
 
     Returns the number of files replayed: 0, and nothing done, where the source
     does not exist or holds none. Only the place of the last file in the order
@@ -185,8 +191,9 @@ def replay_newest(
     among_newest = (age < last.age) | ((age == last.age) & (path <= last.path))
     (
         read_batch(spark, source, schema)
-        .filter(path.endswith(SUFFIX) & among_newest)
+        .filter(files.ends_with(path, *SUFFIXES) & among_newest)
         .write.mode("append")
+        .options(**LANDED)
         .json(target)
     )
     return last.n_files

@@ -36,7 +36,7 @@ def _land_round(
         landing.replay_newest(spark, source, drafts, num_files, schema)
     # Names are settled by the first attempt that wrote all its files.
     for name in sorted(files.child_names(spark, drafts)):
-        if name.endswith(landing.SUFFIX):
+        if name.endswith(landing.SUFFIXES):
             files.move_into(spark, f"{drafts}/{name}", target, f"round-{number:0{_WIDTH}d}-{name}")
     files.make_dir(spark, f"{state}/done/{number:0{_WIDTH}d}")
 
